@@ -418,7 +418,8 @@ def keyword_search(spark, sf):
 def index_sync(spark, sf):
     docs = documents(spark, sf)
     old = index.build_index(labelled(spark, sf, docs), "doc_id", "text", check_key=False)
-    new = not_toxic(spark, sf, docs).select("doc_id", F.upper(X.collapse_whitespace(F.col("text"))).alias("text"))
+    revised = F.concat(X.collapse_whitespace(F.col("text")), F.lit(" (revised)"))
+    new = not_toxic(spark, sf, docs).select("doc_id", F.when(F.col("lang") == "en", revised).otherwise(F.col("text")).alias("text"))
     return index.sync_index(old, new, "doc_id", "text").select(
         "doc_id", "text", F.size("vector").cast("long").alias("n_terms"), "norm2"
     )
