@@ -55,26 +55,33 @@ def squared_norm(vector: Column) -> Column:
 
 
 def dense_counts(vector: Column, dim: int) -> Column:
-    """A sparse vector over ``dim`` buckets as ``array<bigint>``; meant for small ``dim``."""
-    lookup = F.map_from_entries(vector)
-    return let(
-        lookup,
-        lambda m: F.transform(
-            F.sequence(F.lit(0).cast("long"), F.lit(dim - 1).cast("long")),
-            lambda d: F.coalesce(F.try_element_at(m, d), F.lit(0).cast("long")),
-        ),
-    )
+    """A sparse vector over ``dim`` buckets as ``array<bigint>``, zeros filled in; linear in ``dim``."""
+    zero = F.lit(0).cast("long")
+
+    def fill(v: Column) -> Column:
+        filled = F.transform(
+            v,
+            lambda t, j: F.concat(
+                F.array_repeat(zero, (t["term"] - F.coalesce(F.get(v, j - 1)["term"], F.lit(-1)) - 1).cast("int")),
+                F.array(t["tf"]),
+            ),
+        )
+        last = F.coalesce(F.get(v, F.size(v) - 1)["term"], F.lit(-1))
+        return F.concat(F.flatten(filled), F.array_repeat(zero, (dim - 1 - last).cast("int")))
+
+    return let(vector, fill)
 
 
 def l2_normalise(counts: Column) -> Column:
     """``array<float>`` of unit length; a zero vector stays zero."""
-    squared = F.aggregate(
-        counts, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")
-    )
+
+    def length(c: Column) -> Column:
+        return F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+
     return let(
-        F.struct(counts.alias("v"), F.sqrt(squared).alias("n")),
-        lambda s: F.transform(
-            s["v"],
-            lambda x: F.when(s["n"] > 0, x / s["n"]).otherwise(F.lit(0.0)).cast("float"),
+        counts,
+        lambda c: let(
+            length(c),
+            lambda n: F.transform(c, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)).cast("float")),
         ),
     )

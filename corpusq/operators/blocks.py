@@ -18,13 +18,13 @@ _INDEX_ROWS = 1024
 _SLACK = 1e-9
 
 
-def _ids(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    values = column.to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else column.to_numpy()
-    return values if values.dtype.kind in "iu" else values.astype(str)
+def _numpy(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
 
 
-def _flat(column: pa.Array | pa.ChunkedArray) -> pa.ListArray:
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+def _ids(column: pa.Array) -> np.ndarray:
+    values = _numpy(column)
+    return values if values.dtype.kind in "iu" else values.astype(str)
 
 
 @dataclass
@@ -34,10 +34,10 @@ class DenseBlock:
     norms: np.ndarray
 
     @classmethod
-    def read(cls, ids, payload) -> DenseBlock:
-        lists = _flat(payload[0])
+    def read(cls, ids: pa.Array, payload: list[pa.Array]) -> DenseBlock:
+        lists = payload[0]
         n = len(lists)
-        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        flat = _numpy(lists.flatten()).astype(np.float64)
         vectors = flat.reshape(n, -1) if n else np.zeros((0, 0))
         squares = np.zeros(n)
         for d in range(vectors.shape[1]):
@@ -62,17 +62,15 @@ class SparseBlock:
     norms: np.ndarray
 
     @classmethod
-    def read(cls, ids, payload) -> SparseBlock:
-        lists = _flat(payload[0])
+    def read(cls, ids: pa.Array, payload: list[pa.Array]) -> SparseBlock:
+        lists, norms = payload
         items = lists.flatten()
-        offsets = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
-        norms = payload[1].to_numpy(zero_copy_only=False) if isinstance(payload[1], pa.Array) else payload[1].to_numpy()
         return cls(
             _ids(ids),
-            offsets.astype(np.int64),
-            items.field(0).to_numpy(zero_copy_only=False),
-            items.field(1).to_numpy(zero_copy_only=False).astype(np.float64),
-            norms.astype(np.float64),
+            np.concatenate(([0], np.cumsum(_numpy(lists.value_lengths())))).astype(np.int64),
+            _numpy(items.field(0)),
+            _numpy(items.field(1)).astype(np.float64),
+            _numpy(norms).astype(np.float64),
         )
 
     def __len__(self) -> int:

@@ -15,6 +15,7 @@ from corpusq.functions import text as X
 from corpusq.operators import ordered as O
 from corpusq.operators import search as S
 from corpusq.operators.infer import LeadScorer, Scorer, batch_score
+from corpusq.operators.joins import lookup_join
 from corpusq.sources.materialise import materialise
 
 USER, ASSISTANT = "user", "assistant"
@@ -118,18 +119,25 @@ def fold_summary(
 
 
 def turn_keywords(
-    df: DataFrame, n: int = 10, conv: str = "conv_id", turn: str = "turn", text: str = "text", salts: int = 16
+    df: DataFrame, n: int = 10, conv: str = "conv_id", turn: str = "turn", text: str = "text"
 ) -> DataFrame:
     """``(conv, turn, keywords)``: the ``n`` words of highest tf · idf, best first.
 
     Ties go to the word that sorts first. Turns without a word have no row.
+
+    Words in more than a thousandth of the turns are the hot keys of the idf
+    join. There are at most a thousand times as many as a turn has distinct words
+    on average, which bounds their broadcast.
     """
     total = df.count()
     terms = df.select(conv, turn, F.inline(V.word_counts(F.col(text))))
-    idf = terms.groupBy("term").agg(
-        F.log((1 + F.lit(total)) / (1 + F.count(F.lit(1)))).alias("idf")
+    idf = (
+        terms.groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"))
+        .withColumn("idf", F.log((1 + F.lit(total)) / (1 + F.col("df"))))
     )
-    weighted = O.salted_join(terms, idf, "term", [conv, turn], salts).withColumn(
+    hot = F.col("df") > max(total / 1000, 1)
+    weighted = lookup_join(terms, idf, "term", "idf", hot, [conv, turn]).withColumn(
         "score", F.round(F.col("tf") * F.col("idf"), 6)
     )
     w = Window.partitionBy(conv, turn).orderBy(F.desc("score"), "term")

@@ -113,17 +113,26 @@ def chunk_with_tokenizer(
 
 
 def attach_metadata(
-    chunks: DataFrame, meta: DataFrame, key: str, ordinal: str = "chunk_index", rows_per_salt: int = 4096
+    chunks: DataFrame,
+    meta: DataFrame,
+    key: str,
+    ordinal: str = "chunk_index",
+    max_ordinal: Column | None = None,
+    rows_per_salt: int = 4096,
 ) -> DataFrame:
-    """Inner join of stored chunks with their documents' metadata.
+    """Inner join of chunks with their documents' metadata.
 
     One document may own a large share of all chunks, so its chunks are spread
     over salts of ``rows_per_salt`` ordinals and its metadata row is repeated
-    once per salt in use. Documents of ordinary size have one salt.
+    once per salt; documents of ordinary size have one salt. ``max_ordinal``, an
+    upper bound over ``meta``, gives the number of salts; without it they are
+    read from the chunks' key and ordinal columns.
     """
-    salt = F.floor(F.col(ordinal) / rows_per_salt)
-    salted = chunks.withColumn("_salt", salt)
-    salts = salted.filter(F.col(ordinal) >= rows_per_salt).select(key, "_salt").distinct()
-    hot = salts.join(meta, key).select(*meta.columns, "_salt")
-    both = meta.withColumn("_salt", F.lit(0).cast("long")).unionByName(hot)
+    salted = chunks.withColumn("_salt", F.floor(F.col(ordinal) / rows_per_salt))
+    if max_ordinal is not None:
+        salts = F.sequence(F.lit(0).cast("long"), F.floor(max_ordinal / rows_per_salt))
+        return salted.join(meta.withColumn("_salt", F.explode(salts)), [key, "_salt"]).drop("_salt")
+    hot = salted.filter(F.col(ordinal) >= rows_per_salt).select(key, "_salt").distinct()
+    repeated = hot.join(meta, key).select(*meta.columns, "_salt")
+    both = meta.withColumn("_salt", F.lit(0).cast("long")).unionByName(repeated)
     return salted.join(both, [key, "_salt"]).drop("_salt")

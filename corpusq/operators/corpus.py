@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from corpusq.functions import text as X
 from corpusq.functions.predicates import compile_filter
+from corpusq.operators.joins import compute_once
 
 
 def project(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -54,14 +55,18 @@ def with_metrics(
     tokens: Callable[[Column], Column] = X.token_count,
     prefix: str = "document",
 ) -> DataFrame:
-    """Character, word and token counts of a text column."""
+    """Character, word and token counts of a text column.
+
+    The counts are made to be filtered on, so they are computed once.
+    """
     c = F.col(text)
-    return df.withColumns(
-        {
+    return compute_once(
+        df,
+        **{
             f"{prefix}_num_chars": X.char_count(c),
             f"{prefix}_num_words": X.word_count(c),
             f"{prefix}_num_tokens": tokens(c),
-        }
+        },
     )
 
 

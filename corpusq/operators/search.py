@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -30,11 +30,15 @@ QUERY_BLOCK_ROWS = 8192
 
 
 def _payload(df: DataFrame, kind: str, id_col: str, vector: str, norm: str | None) -> DataFrame:
-    """Exactly what scoring needs: id and vector, for sparse vectors the squared norm too."""
+    """Exactly what scoring needs: id and vector, for sparse vectors the squared norm too.
+
+    Rows without a vector are left out when a block is read. A filter here would
+    be pushed below the projection and build every vector twice.
+    """
     columns = [F.col(id_col), F.col(vector).alias("_vector")]
     if kind == "sparse":
         columns.append((F.lit(1) if norm is None else F.col(norm)).cast("long").alias("_norm"))
-    return df.filter(F.col(vector).isNotNull()).select(*columns)
+    return df.select(*columns)
 
 
 def _hits_schema(index: DataFrame, queries: DataFrame) -> T.StructType:
@@ -51,19 +55,22 @@ def _hits_schema(index: DataFrame, queries: DataFrame) -> T.StructType:
     )
 
 
-def _read(kind: str, columns: Sequence[pa.ChunkedArray | pa.Array]):
+def _read(kind: str, rows: pa.Table | pa.RecordBatch, names: Sequence[str]):
+    if rows["_vector"].null_count:
+        rows = rows.filter(rows["_vector"].is_valid())
+    columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (rows[n] for n in names)]
     return _BLOCKS[kind].read(columns[0], columns[1:])
 
 
 def _scan_topk(index: DataFrame, queries: pa.Table, kind: str, k: int, options: dict, schema) -> DataFrame:
     arrow = to_arrow_schema(schema)
-    block = _read(kind, queries.columns)
+    block = _read(kind, queries, queries.column_names)
 
     def task(batches):
         top = TopK(kind, block, k, **options)
         for batch in batches:
             if batch.num_rows:
-                top.add(_read(kind, batch.columns))
+                top.add(_read(kind, batch, batch.schema.names))
         yield from top.emit(arrow)
 
     return index.mapInArrow(task, schema)
@@ -105,8 +112,8 @@ def _block_topk(
     def task(rows: pa.Table, wanted: pa.Table) -> pa.Table:
         if not rows.num_rows or not wanted.num_rows:
             return arrow.empty_table()
-        top = TopK(kind, _read(kind, [wanted[c].combine_chunks() for c in right_names]), k, **options)
-        top.add(_read(kind, [rows[c].combine_chunks() for c in left_names]))
+        top = TopK(kind, _read(kind, wanted, right_names), k, **options)
+        top.add(_read(kind, rows, left_names))
         return pa.Table.from_batches(list(top.emit(arrow)), schema=arrow)
 
     keys = ["_part", "_ib", "_qb"]
@@ -134,11 +141,12 @@ def _search(
     schema = _hits_schema(index, queries)
     wanted = k + 1 if skip_equal else k
     small = queries.limit(max_broadcast + 1).toArrow()
-    if small.num_rows <= max_broadcast:
-        hits = _scan_topk(index, small.combine_chunks(), kind, wanted, options, schema)
-    else:
+    if small.num_rows > max_broadcast:
         hits = _block_topk(index, queries, kind, wanted, options, schema, blocks, part=False)
-    return _finish(hits, schema, k, skip_equal)
+        return _finish(hits, schema, k, skip_equal)
+    hits = _scan_topk(index, small, kind, wanted, options, schema)
+    # At most max_broadcast * k rows of ids and a score: joins may broadcast them.
+    return F.broadcast(_finish(hits, schema, k, skip_equal))
 
 
 def topk_dense(
@@ -271,7 +279,11 @@ def keyword_search(
 
 
 def attach_columns(hits: DataFrame, index: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
-    """The hits with columns of the index, score last. Few hits are broadcast by the optimizer."""
+    """The hits with columns of the index, score last.
+
+    Hits of a bounded set of queries carry a broadcast hint, so the index is read
+    once more without a shuffle; otherwise both sides are shuffled by id.
+    """
     ranked = [c for c in hits.columns if c not in (id_col, "score")]
     out = hits.join(index.select(id_col, *columns), id_col)
     return out.select(*ranked, id_col, *columns, "score")
@@ -287,7 +299,3 @@ def best_hit(queries: DataFrame, hits: DataFrame, query_id: str, threshold: floa
     """One row per query with its best hit if above the threshold, otherwise NULLs and ``matched`` false."""
     top = hits.filter((F.col("rank") == 1) & (F.col("score") > threshold)).drop("rank")
     return queries.join(top, query_id, "left").withColumn("matched", F.col("score").isNotNull())
-
-
-def as_unknown(c: Column, fallback: str) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(fallback))

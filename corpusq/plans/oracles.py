@@ -272,8 +272,11 @@ def oracle_sql() -> dict[str, str]:
       WITH {CHUNKED}
       SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_index) - 1 AS chunk_index FROM chunked"""
     sql["chunk_with_metadata"] = f"""
-      WITH {CHUNKED}, meta AS (SELECT doc_id, lang, source, {tokens('document')} AS num_tokens FROM clean)
-      SELECT doc_id, chunk_index, text, id, m.lang, m.source, num_tokens FROM chunked JOIN meta m USING (doc_id)"""
+      WITH {CHUNKED}, meta AS (
+        SELECT doc_id, lang, source, {tokens('document')} AS document_num_tokens,
+               length(document)::int AS document_num_chars,
+               len(string_split_regex(document, '\\s'))::int AS document_num_words FROM clean)
+      SELECT doc_id, chunk_index, text, id, m.* EXCLUDE (doc_id) FROM chunked JOIN meta m USING (doc_id)"""
     sql["chunk_carry_metadata"] = f"WITH {CHUNKED} SELECT doc_id, lang, source, chunk_index, text, id FROM chunked"
     sql["experiment_grid"] = f"SELECT item_id, prompt_style, temperature, run_name FROM benchmark, {GRID}"
 

@@ -17,6 +17,7 @@ from corpusq.functions import prompts as P
 from corpusq.functions import terms as V
 from corpusq.functions import text as X
 from corpusq.operators import approximate, chat, chunks, corpus, entities, experiments, flow, index, infer, search
+from corpusq.operators.joins import compute_once
 from corpusq.session import spread
 from corpusq.sources import snapshots, tables
 
@@ -116,7 +117,8 @@ def bulk_rename(spark, sf):
 
 @query
 def filter_token_budget(spark, sf):
-    measured = documents(spark, sf).select("doc_id", X.token_count(F.col("text")).alias("document_num_tokens"))
+    docs = documents(spark, sf).select("doc_id", "text")
+    measured = compute_once(docs, document_num_tokens=X.token_count(F.col("text"))).drop("text")
     return corpus.within_budget(measured)
 
 
@@ -259,8 +261,11 @@ def chunk_ordinal(spark, sf):
 @query
 def chunk_with_metadata(spark, sf):
     docs = clean_documents(spark, sf)
-    meta = docs.select("doc_id", "lang", "source", X.token_count(F.col("document")).alias("num_tokens"))
-    return chunks.attach_metadata(chunks.chunk(docs, "doc_id", "document"), meta, "doc_id")
+    meta = corpus.with_metrics(docs).select(
+        "doc_id", "lang", "source", "document_num_tokens", "document_num_chars", "document_num_words"
+    )
+    last = F.col("document_num_words") / (chunks.CHUNK_TOKENS - chunks.CHUNK_OVERLAP)
+    return chunks.attach_metadata(chunks.chunk(docs, "doc_id", "document"), meta, "doc_id", max_ordinal=last)
 
 
 @query
@@ -729,15 +734,17 @@ def entity_report(spark, sf):
 @query
 def answer_questions(spark, sf):
     """Prepare documents, keep those within budget, search, gate and answer every question."""
-    docs = corpus.within_budget(corpus.with_metrics(clean_documents(spark, sf)))
+    raw = documents(spark, sf)
+    clean = raw.select("doc_id", X.collapse_whitespace(F.col("text")).alias("document"))
+    docs = corpus.within_budget(compute_once(clean, document_num_tokens=X.token_count(F.col("document"))))
     asked = _questions(spark, sf)
     hits = search.text_search(
         docs, asked, 3, id_col="doc_id", text="document", query_id="item_id", query_text="question", buckets=64
     )
     top = hits.filter((F.col("rank") == 1) & (F.col("score") > GATE))
-    found = search.attach_columns(top, docs, "doc_id", ["document", "source", "lang"]).drop("rank")
+    found = search.attach_columns(top, raw, "doc_id", ["text", "source", "lang"]).drop("rank")
     values = {"name": F.concat(F.lit("doc "), "doc_id"), "position": F.col("source"), "club": F.col("lang"),
-              "summary": X.lead_words(F.col("document"), 50)}
+              "summary": X.lead_words(X.collapse_whitespace(F.col("text")), 50)}
     matched = F.col("score").isNotNull()
     answer = F.when(matched, P.render(P.RECOMMEND_TEMPLATE, values)).otherwise("no matching report")
     return asked.join(found, "item_id", "left").select(
