@@ -73,7 +73,7 @@ def last_segment(c: Column, marker: str = SUMMARY_MARKER) -> Column:
 
 
 def normalise_label(c: Column) -> Column:
-    return F.lower(F.trim(c))
+    return F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
 
 
 def length_product(a: Column, b: Column) -> Column:

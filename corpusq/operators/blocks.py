@@ -94,24 +94,37 @@ class DenseQueries:
     block: DenseBlock
     metric: str = "cosine"
 
-    def _score(self, dot, q_norm, d_norm):
-        if self.metric == "l2":
-            return 1.0 / (1.0 + np.maximum(q_norm * q_norm + d_norm * d_norm - 2.0 * dot, 0.0))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where((q_norm > 0) & (d_norm > 0), dot / (q_norm * d_norm), -np.inf)
-
     def __call__(self, index: DenseBlock):
         """The matrix product finds candidates; a fixed-order sum then scores them exactly."""
+        return self._euclidean(index) if self.metric == "l2" else self._cosine(index)
+
+    def _cosine(self, index: DenseBlock):
         q = self.block
-        near = self._score(q.vectors @ index.vectors.T, q.norms[:, None], index.norms[None, :])
+
+        def score(dot, q_norm, d_norm):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                return np.where((q_norm > 0) & (d_norm > 0), dot / (q_norm * d_norm), -np.inf)
 
         def exact(qi, di):
             dot = np.zeros(len(qi))
             for d in range(q.vectors.shape[1]):
                 dot += q.vectors[qi, d] * index.vectors[di, d]
-            return self._score(dot, q.norms[qi], index.norms[di])
+            return score(dot, q.norms[qi], index.norms[di])
+
+        return score(q.vectors @ index.vectors.T, q.norms[:, None], index.norms[None, :]), _SLACK, exact
+
+    def _euclidean(self, index: DenseBlock):
+        q = self.block
+        squares = np.square(q.norms)[:, None] + np.square(index.norms)[None, :]
+        near = 1.0 / (1.0 + np.maximum(squares - 2.0 * (q.vectors @ index.vectors.T), 0.0))
+
+        def exact(qi, di):
+            distance = np.zeros(len(qi))
+            for d in range(q.vectors.shape[1]):
+                distance += np.square(q.vectors[qi, d] - index.vectors[di, d])
+            return 1.0 / (1.0 + distance)
 
-        return near, _SLACK, exact
+        return near, _SLACK * (1.0 + squares.max(initial=0.0)), exact
 
 
 @dataclass

@@ -32,6 +32,12 @@ class SpaceTokenizer:
         return " ".join(tokens)
 
 
+def _check_names(*names: str) -> None:
+    taken = sorted(set(names) & {"chunk_index", "text", "id"})
+    if taken:
+        raise ValueError(f"columns {taken} are names of the chunk's own columns")
+
+
 def _check(size: int, overlap: int) -> int:
     if not 0 <= overlap < size:
         raise ValueError(f"overlap {overlap} must be at least 0 and below size {size}")
@@ -65,9 +71,10 @@ def chunk(
     Small metadata is best carried along here: it needs no join and so no
     shuffle. Empty texts give no chunk.
     """
-    out = df.filter(F.col(text) != "").select(
-        key, *carry, F.posexplode(chunk_array(F.col(text), size, overlap)).alias("_pos", "_chunk")
-    )
+    _check_names(key, *carry)
+    # A filter on the text would be pushed below its computation and run that twice.
+    windows = F.when(F.col(text) != "", chunk_array(F.col(text), size, overlap))
+    out = df.select(key, *carry, F.posexplode(windows).alias("_pos", "_chunk"))
     return out.select(
         key,
         *carry,
@@ -86,6 +93,7 @@ def chunk_with_tokenizer(
     overlap: int = CHUNK_OVERLAP,
 ) -> DataFrame:
     """As ``chunk`` with an injected tokenizer, built once per task."""
+    _check_names(key)
     step = _check(size, overlap)
     schema = T.StructType(
         [
@@ -100,15 +108,15 @@ def chunk_with_tokenizer(
         for pdf in batches:
             pieces = []
             for value in pdf[text]:
-                tokens = tokenizer.encode(value)
+                tokens = tokenizer.encode(value) if value else []
                 starts = range(0, max(0, len(tokens) - overlap - 1) + 1, step)
-                pieces.append([(i, tokenizer.decode(tokens[s : s + size])) for i, s in enumerate(starts)])
+                pieces.append([(i, tokenizer.decode(tokens[s : s + size])) for i, s in enumerate(starts) if value])
             out = pd.DataFrame({key: pdf[key], "piece": pieces}).explode("piece").dropna(subset=["piece"])
             out["chunk_index"] = out["piece"].str[0].astype("int64")
             out["text"] = out["piece"].str[1]
             yield out[[key, "chunk_index", "text"]]
 
-    out = df.filter(F.col(text) != "").select(key, text).mapInPandas(windows, schema)
+    out = df.select(key, text).mapInPandas(windows, schema)
     return out.withColumn("id", composite_id(F.col(key), F.col("chunk_index")))
 
 

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -25,8 +25,8 @@ from corpusq.operators.blocks import DenseBlock, SparseBlock, TopK
 _BLOCKS = {"dense": DenseBlock, "sparse": SparseBlock}
 
 MAX_BROADCAST_QUERIES = 4096
-INDEX_BLOCK_ROWS = 65536
-QUERY_BLOCK_ROWS = 8192
+INDEX_BLOCK_ROWS = 16384
+QUERY_BLOCK_ROWS = 4096
 
 
 def _payload(df: DataFrame, kind: str, id_col: str, vector: str, norm: str | None) -> DataFrame:
@@ -242,6 +242,11 @@ def text_search(
     return topk_sparse(index, queries, k, id_col=id_col, query_id=query_id, **options)
 
 
+def _terms() -> Column:
+    """A vector's terms. Exploding ``vector.term`` itself would infer filters that rebuild the vector."""
+    return F.transform("vector", lambda t: t["term"])
+
+
 def keyword_search(
     index: DataFrame,
     queries: DataFrame,
@@ -262,14 +267,14 @@ def keyword_search(
         raise ValueError(f"{buckets} buckets exceed the broadcast bound {V.DEFAULT_BUCKETS}")
     total = index.count()
     frequency = (
-        index.select(F.explode("vector.term").alias("term"))
+        index.select(F.explode(_terms()).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .withColumn("idf", F.round(F.log((1 + F.lit(total)) / (1 + F.col("df"))) * 1000000).cast("long"))
     )
     # A query's terms are one row's content, so regrouping them is bounded by its text.
     weighted = (
-        queries.select(query_id, F.explode("vector.term").alias("term"))
+        queries.select(query_id, F.explode(_terms()).alias("term"))
         .join(F.broadcast(frequency), "term")
         .groupBy(query_id)
         .agg(F.sort_array(F.collect_list(F.struct("term", F.col("idf").alias("tf")))).alias("vector"))

@@ -310,9 +310,9 @@ def oracle_sql() -> dict[str, str]:
       SELECT query_id, rank, vec_id, label, round(score, 6) AS score FROM hits JOIN embeddings USING (vec_id)"""
     sql["topk_filtered"] = f"""
       WITH {vector_hits(where='d.label = 3')} SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hits"""
-    squares = f"({NORM.format('q')} ** 2 + {NORM.format('d')} ** 2 - 2.0 * {DOT})"
+    distance = "list_distance(q.embedding::double[], d.embedding::double[])"
     sql["topk_euclidean"] = f"""
-      WITH {vector_hits(f'1.0::double / (1.0::double + greatest({squares}, 0.0))')}
+      WITH {vector_hits(f'1.0::double / (1.0::double + {distance} * {distance})')}
       SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hits"""
     sql["best_hit_gated"] = f"""
       WITH {vector_hits(where='q.vec_id <> d.vec_id')},

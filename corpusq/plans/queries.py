@@ -605,7 +605,7 @@ def dispatch_rows(spark, sf):
 
 
 def _turns(spark, sf):
-    return tables.scan(spark, sf, "conversations")
+    return spread(tables.scan(spark, sf, "conversations"))
 
 
 @query
