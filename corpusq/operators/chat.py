@@ -125,9 +125,8 @@ def turn_keywords(
 
     Ties go to the word that sorts first. Turns without a word have no row.
 
-    Words in more than a thousandth of the turns are the hot keys of the idf
-    join. There are at most a thousand times as many as a turn has distinct words
-    on average, which bounds their broadcast.
+    Common words are hot keys of the idf join; ``lookup_join`` keeps them out of
+    the shuffle.
     """
     total = df.count()
     terms = df.select(conv, turn, F.inline(V.word_counts(F.col(text))))
@@ -136,8 +135,7 @@ def turn_keywords(
         .agg(F.count(F.lit(1)).alias("df"))
         .withColumn("idf", F.log((1 + F.lit(total)) / (1 + F.col("df"))))
     )
-    hot = F.col("df") > max(total / 1000, 1)
-    weighted = lookup_join(terms, idf, "term", "idf", hot, [conv, turn]).withColumn(
+    weighted = lookup_join(terms, idf, "term", "idf", "df", [conv, turn]).withColumn(
         "score", F.round(F.col("tf") * F.col("idf"), 6)
     )
     w = Window.partitionBy(conv, turn).orderBy(F.desc("score"), "term")

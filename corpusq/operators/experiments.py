@@ -37,17 +37,20 @@ def experiment_grid(
 def run_experiments(
     retrieved: DataFrame,
     report: str,
+    group: str,
     factory: Callable[[], Scorer] = LeadScorer,
     fallback: str = "no matching report",
 ) -> DataFrame:
     """Score the grid over questions that were retrieved once each.
 
     ``retrieved`` is the output of ``best_hit`` with the report's text; a question
-    without a hit is asked with the fallback text.
+    without a hit is asked with the fallback text. ``group`` names the question
+    and becomes the run group; style and temperature name the run in it.
     """
     template = "Use this report. content: {report}"
     prompt = P.render(template, {"report": F.coalesce(F.col(report), F.lit(fallback))})
-    asked = experiment_grid(retrieved.withColumn("prompt", prompt))
+    named = retrieved.withColumns({"run_group": F.col(group).cast("string"), "prompt": prompt})
+    asked = experiment_grid(named)
     requests = asked.withColumn("system_prompt", P.style_prompt(F.col("prompt_style"))).withColumn(
         "max_new_tokens", F.lit(MAX_NEW_TOKENS).cast("long")
     )

@@ -52,6 +52,11 @@ def dispatch(df: DataFrame, branches: Sequence[tuple[Column, Step]], default: St
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def message_content(messages: Column) -> Column:
+    """The text of the last message of a list, as a string parser gives it."""
+    return F.try_element_at(messages, F.lit(-1))["content"]
+
+
 def lookup(choices: Mapping[str, str], key: Column, default: str) -> Column:
     """Template or text by label."""
     return route([(key == name, F.lit(text)) for name, text in choices.items()], F.lit(default))

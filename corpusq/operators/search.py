@@ -24,7 +24,9 @@ from corpusq.operators.blocks import DenseBlock, SparseBlock, TopK
 
 _BLOCKS = {"dense": DenseBlock, "sparse": SparseBlock}
 
+# What may travel to every task: rows, and vector elements of 16 bytes at most.
 MAX_BROADCAST_QUERIES = 4096
+MAX_BROADCAST_VALUES = 4 << 20
 INDEX_BLOCK_ROWS = 16384
 QUERY_BLOCK_ROWS = 4096
 
@@ -140,11 +142,13 @@ def _search(
 ) -> DataFrame:
     schema = _hits_schema(index, queries)
     wanted = k + 1 if skip_equal else k
-    small = queries.limit(max_broadcast + 1).toArrow()
-    if small.num_rows > max_broadcast:
+    rows, values = (
+        queries.limit(max_broadcast + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_vector")), F.lit(0))).first()
+    )
+    if rows > max_broadcast or values > MAX_BROADCAST_VALUES:
         hits = _block_topk(index, queries, kind, wanted, options, schema, blocks, part=False)
         return _finish(hits, schema, k, skip_equal)
-    hits = _scan_topk(index, small, kind, wanted, options, schema)
+    hits = _scan_topk(index, queries.toArrow(), kind, wanted, options, schema)
     # At most max_broadcast * k rows of ids and a score: joins may broadcast them.
     return F.broadcast(_finish(hits, schema, k, skip_equal))
 

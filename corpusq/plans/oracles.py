@@ -358,6 +358,7 @@ def oracle_sql() -> dict[str, str]:
     sql["message_list"] = f"""
       SELECT conv_id, turn, 'system' AS role, {system} AS content FROM conversations
       UNION ALL SELECT conv_id, turn, 'user', text FROM conversations"""
+    sql["message_content"] = "SELECT conv_id, turn, text AS content FROM conversations"
     styles = " ".join(f"WHEN '{s}' THEN {lit(p)}" for s, p in P.STYLES.items())
     sql["styled_prompts"] = (
         f"SELECT item_id, run_name, CASE prompt_style {styles} END AS system_prompt FROM benchmark, {GRID}"
@@ -376,7 +377,7 @@ def oracle_sql() -> dict[str, str]:
              CASE WHEN score IS NOT NULL THEN {answer} ELSE 'no matching report' END AS answer FROM found"""
     sql["experiment_results"] = f"""
       WITH {retrieved(Q.TEXT_GATE)}
-      SELECT item_id, run_name, prompt_style, temperature, {REPORT_PROMPT} AS prompt,
+      SELECT item_id, item_id::varchar AS run_group, run_name, prompt_style, temperature, {REPORT_PROMPT} AS prompt,
              {lead(content(REPORT_PROMPT), 150)} AS model_output FROM found, {GRID}"""
     runs = ", ".join(
         f"'{run}: ' || {lead(content(REPORT_PROMPT), 150)} AS \"{run}\"" for run in Q.RUNS

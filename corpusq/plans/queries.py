@@ -455,6 +455,14 @@ def message_list(spark, sf):
     )
 
 
+@query
+def message_content(spark, sf):
+    messages = P.message_list(F.lit(P.DEFAULT_SYSTEM_PROMPT), F.col("text"))
+    return tables.scan(spark, sf, "conversations").select(
+        "conv_id", "turn", flow.message_content(messages).alias("content")
+    )
+
+
 @query
 def styled_prompts(spark, sf):
     grid = experiments.experiment_grid(_questions(spark, sf))
@@ -512,8 +520,8 @@ def recommend(spark, sf):
 
 @query
 def experiment_results(spark, sf):
-    results = experiments.run_experiments(_retrieved(spark, sf, TEXT_GATE), "text")
-    return results.select("item_id", "run_name", "prompt_style", "temperature", "prompt", "model_output")
+    results = experiments.run_experiments(_retrieved(spark, sf, TEXT_GATE), "text", "item_id")
+    return results.select("item_id", "run_group", "run_name", "prompt_style", "temperature", "prompt", "model_output")
 
 
 RUNS = [f"{s}_{t}" for s in experiments.GRID_STYLES for t in experiments.GRID_TEMPERATURES]
@@ -522,7 +530,7 @@ RUNS = [f"{s}_{t}" for s in experiments.GRID_STYLES for t in experiments.GRID_TE
 @query
 def compare_by_prompt(spark, sf):
     asked = _questions(spark, sf).withColumnRenamed("question", "text")
-    results = experiments.run_experiments(asked, "text")
+    results = experiments.run_experiments(asked, "text", "item_id")
     shortened = results.withColumn("model_output", F.concat_ws(": ", "run_name", "model_output"))
     return experiments.compare_by_prompt(shortened, "item_id", RUNS)
 

@@ -89,7 +89,7 @@ def test_upsert(spark):
 def test_lookup_join_with_hot_keys(spark):
     big = spark.createDataFrame([("hot", i) for i in range(300)] + [("cold", 1), ("cold", 2), ("none", 3)], "k string, i int")
     small = spark.createDataFrame([("hot", 300, 0.1), ("cold", 2, 0.2)], "k string, n int, v double")
-    got = joins.lookup_join(big, small, "k", "v", F.col("n") > 100, ["i"])
+    got = joins.lookup_join(big, small, "k", "v", "n", ["i"], hot_keys=1)
     assert got.columns == ["k", "i", "v"] and got.count() == 303
     assert rows(got.groupBy("k", "v").count(), "k") == [("cold", 0.2, 2), ("hot", 0.1, 300), ("none", None, 1)]
 
@@ -257,15 +257,15 @@ def test_classify_with_scorer(spark):
 
     class Model:
         def __call__(self, requests):
-            return requests["prompt"].map(lambda p: " Cooking \n" if "cook" in p.split("<question>")[1] else "Plumbing")
+            return requests["prompt"].map(lambda p: " Cooking \n" if "cook" in p.split("<question>")[1] else "Gardening")
 
-    got = infer.classify(df, "q", ["Langchain", "Cooking", "Other"], factory=Model)
+    got = infer.classify(df, "q", ["Plumbing", "Cooking", "Other"], factory=Model)
     assert rows(got, F.desc("q")) == [("what", "other"), ("how to cook", "cooking")]
 
 
 def test_experiments(spark, tmp_path):
     asked = spark.createDataFrame([(1, "r one"), (2, None)], "item_id long, text string")
-    results = experiments.run_experiments(asked, "text")
+    results = experiments.run_experiments(asked, "text", "item_id")
     assert results.count() == 12
     assert {r.run_name for r in results.collect()} >= {"DIRECT_0.1", "PERSUASIVE_1"}
     wide = experiments.compare_by_prompt(results, "item_id", ["DIRECT_0.1", "DIRECT_1"])
@@ -334,3 +334,23 @@ def test_entity_reports(spark):
 
 def test_templates_name_known_fields():
     assert set(P.fields(P.REPORT_TEMPLATE)) == {"name", "position", "age", "club", "statistics", "text"}
+
+
+# --- a model tokenizer ------------------------------------------------------------------------
+
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@pytest.mark.skipif(not __import__("os").path.exists(MODEL), reason="no tokenizer model here")
+def test_model_tokenizer_counts_and_chunks(spark, sf):
+    from corpusq.functions.tokenizers import sentencepiece_factory
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    factory = sentencepiece_factory(MODEL)
+    count = corpus.tokenizer_udf(factory)
+    counted = corpus.with_metrics(docs, "text", tokens=lambda c: count(c))
+    model = factory()
+    expected = {r.doc_id: model(r.text) for r in docs.collect()}
+    assert {r.doc_id: r.document_num_tokens for r in counted.collect()} == expected
+    pieces = chunks.chunk_with_tokenizer(docs, "doc_id", "text", factory).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in pieces} == {d: max(1, -(-(n - 50) // 150)) for d, n in expected.items()}
