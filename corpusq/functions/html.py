@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusq.functions.text import let
+
 # Entities decoded in page text; the ampersand must come last.
 ENTITIES = {
     "&nbsp;": " ",
@@ -45,7 +47,7 @@ def inner_text(c: Column) -> Column:
 
 
 def _empty_to_null(c: Column) -> Column:
-    return F.when(c != "", c)
+    return let(c, lambda x: F.when(x != "", x))
 
 
 def first_containing(html: Column, label: str, tag: str = "p") -> Column:

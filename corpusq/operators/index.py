@@ -13,7 +13,10 @@ from pyspark.sql import types as T
 
 from corpusq.functions import terms as V
 from corpusq.operators.search import with_term_vector
-from corpusq.sources.snapshots import assert_unique, row_digest, upsert
+from corpusq.sources.materialise import materialise
+from corpusq.sources.snapshots import assert_unique, row_digest
+
+MAX_BROADCAST_KEYS = 200_000
 
 
 class Encoder(Protocol):
@@ -54,16 +57,15 @@ def build_index(
     return with_term_vector(df.select(*columns), text, buckets).withColumn("digest", row_digest(columns[1:]))
 
 
-def changed_rows(index: DataFrame, source: DataFrame, key: str, text: str, meta: Sequence[str] = ()) -> DataFrame:
-    """Source rows whose key is new or whose content differs from what the index holds.
+def changed_keys(index: DataFrame, source: DataFrame, key: str, text: str, meta: Sequence[str] = ()) -> DataFrame:
+    """Keys of the source that are new or whose content differs from what the index holds.
 
-    Only key and digest meet the index; unchanged rows are not embedded again.
+    Key and digest are all that meets the index. The keys are written once, since
+    a sync reads them several times, and carry a broadcast hint while few.
     """
-    columns = [text, *meta]
-    rows = source.select(key, *columns).withColumn("_digest", row_digest(columns))
-    known = index.select(F.col(key).alias("_key"), F.col("digest").alias("_known"))
-    same = (F.col(key) == F.col("_key")) & (F.col("_digest") == F.col("_known"))
-    return rows.join(known, same, "left_anti").drop("_digest")
+    rows = source.select(key, row_digest([text, *meta]).alias("digest"))
+    keys = materialise(rows.join(index.select(key, "digest"), [key, "digest"], "left_anti").select(key))
+    return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys
 
 
 def sync_index(
@@ -75,8 +77,23 @@ def sync_index(
     deleted: DataFrame | None = None,
     buckets: int = V.DEFAULT_BUCKETS,
 ) -> DataFrame:
-    """The index with changed source rows embedded and replaced, and deleted keys removed."""
-    changed = changed_rows(index, source, key, text, meta)
+    """The index with changed source rows embedded and replaced, and deleted keys removed.
+
+    Unchanged rows are not embedded again, and with few changes neither the index
+    nor the source texts are shuffled.
+    """
+    keys = changed_keys(index, source, key, text, meta)
+    changed = build_index(source.join(keys, key, "left_semi"), key, text, meta, buckets, check_key=False)
     if deleted is not None:
         index = index.join(deleted.select(key), key, "left_anti")
-    return upsert(index, build_index(changed, key, text, meta, buckets, check_key=False), key)
+    return index.join(keys, key, "left_anti").unionByName(changed)
+
+
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")
+
+
+def write_index(df: DataFrame, path: str, key: str, shards: int) -> None:
+    """Parquet in ``shards`` folders by key hash, so that fetching rows by key reads few folders."""
+    sharded = df.withColumn("shard", shard_of(F.col(key), shards))
+    sharded.repartition("shard").sortWithinPartitions("shard", key).write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusq.functions import prompts as P
-from corpusq.functions.text import lead_words, normalise_label
+from corpusq.functions.text import lead_words, let, normalise_label
 
 # The request a scorer receives, one row per call.
 REQUEST = ("prompt", "system_prompt", "temperature", "max_new_tokens")
@@ -109,6 +109,6 @@ def classify(
             F.lit(1).cast("long").alias("max_new_tokens"),
         )
         answered = asked.withColumn("_raw", scorer_udf(factory)(request)).drop("_prompt")
-    label = normalise_label(F.col("_raw"))
     known = [lab.lower() for lab in labels]
-    return answered.withColumn(out, F.when(label.isin(known), label).otherwise("other")).drop("_raw")
+    topic = let(normalise_label(F.col("_raw")), lambda t: F.when(t.isin(known), t).otherwise("other"))
+    return answered.withColumn(out, topic).drop("_raw")

@@ -21,6 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from corpusq.functions import terms as V
 from corpusq.functions.predicates import compile_filter
 from corpusq.operators.blocks import DenseBlock, SparseBlock, TopK
+from corpusq.sources.materialise import materialise
 
 _BLOCKS = {"dense": DenseBlock, "sparse": SparseBlock}
 
@@ -283,18 +284,27 @@ def keyword_search(
         .groupBy(query_id)
         .agg(F.sort_array(F.collect_list(F.struct("term", F.col("idf").alias("tf")))).alias("vector"))
     )
+    # Read several times by the search, and each reading would count the index again.
+    weighted = materialise(weighted)
     hits = topk_sparse(index, weighted, k, id_col=id_col, query_id=query_id, norm=None, **options)
     return hits.withColumn("score", F.col("score") / 1000000)
 
 
-def attach_columns(hits: DataFrame, index: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
+def attach_columns(
+    hits: DataFrame, index: DataFrame, id_col: str, columns: Sequence[str], shards: int | None = None
+) -> DataFrame:
     """The hits with columns of the index, score last.
 
     Hits of a bounded set of queries carry a broadcast hint, so the index is read
-    once more without a shuffle; otherwise both sides are shuffled by id.
+    once more without a shuffle; otherwise both sides are shuffled by id. Of an
+    index stored in ``shards`` only the folders that hold a hit are read.
     """
     ranked = [c for c in hits.columns if c not in (id_col, "score")]
-    out = hits.join(index.select(id_col, *columns), id_col)
+    if shards is None:
+        out = hits.join(index.select(id_col, *columns), id_col)
+    else:
+        placed = hits.withColumn("shard", F.pmod(F.xxhash64(id_col), F.lit(shards)).cast("int"))
+        out = placed.join(index.select(id_col, "shard", *columns), ["shard", id_col])
     return out.select(*ranked, id_col, *columns, "score")
 
 

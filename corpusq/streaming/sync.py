@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusq.operators.index import build_index, changed_rows
+from corpusq.operators.index import build_index, changed_keys
 from corpusq.sources.snapshots import latest_by_key, upsert
 
 
@@ -70,7 +70,7 @@ def apply_batch(
     rows = latest_by_key(rows, key, newest).select(key, text, *meta)
     index = read_index(spark, path, key, before=batch_id)
     if index is not None:
-        rows = changed_rows(index, rows, key, text, meta)
+        rows = rows.join(changed_keys(index, rows, key, text, meta), key, "left_semi")
     build_index(rows, key, text, meta, check_key=False).write.mode("overwrite").parquet(
         f"{path}/delta/batch={batch_id}"
     )

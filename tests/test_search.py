@@ -180,7 +180,7 @@ def test_sync_embeds_only_changes_and_is_idempotent(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, t string")
     built = index.build_index(base, "id", "t")
     source = spark.createDataFrame([(2, "b"), (3, "C2"), (4, "d")], "id long, t string")
-    assert sorted(r.id for r in index.changed_rows(built, source, "id", "t").collect()) == [3, 4]
+    assert sorted(r.id for r in index.changed_keys(built, source, "id", "t").collect()) == [3, 4]
     gone = spark.createDataFrame([(1,)], "id long")
     once = index.sync_index(built, source, "id", "t", deleted=gone)
     twice = index.sync_index(once, source, "id", "t", deleted=gone)
@@ -188,6 +188,22 @@ def test_sync_embeds_only_changes_and_is_idempotent(spark):
     assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect())) == expected
 
 
+def test_stored_index_reads_only_the_shards_of_hits(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    asked = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", F.col("text").alias("question"))
+    path = str(tmp_path / "index")
+    index.write_index(index.build_index(docs, "doc_id", "text", ["lang"]), path, "doc_id", 16)
+    stored = spark.read.parquet(path)
+    queries = search.with_term_vector(asked, "question")
+    found = search.topk_sparse(stored, queries, 3, id_col="doc_id", query_id="item_id")
+    top = found.filter("rank = 1 AND score > 0.5")
+    got = search.attach_columns(top, stored, "doc_id", ["text"], shards=16)
+    assert "dynamicpruning" in plan(got) and "MapInArrow" in plan(got)
+    inline = search.text_search(docs, asked, 3, id_col="doc_id", text="text", query_id="item_id", query_text="question")
+    plain = search.attach_columns(inline.filter("rank = 1 AND score > 0.5"), docs, "doc_id", ["text"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect())) and got.count() > 0
+
+
 # --- plans ----------------------------------------------------------------------------------
 
 
