@@ -54,7 +54,7 @@ def dispatch(df: DataFrame, branches: Sequence[tuple[Column, Step]], default: St
 
 def message_content(messages: Column) -> Column:
     """The text of the last message of a list, as a string parser gives it."""
-    return F.try_element_at(messages, F.lit(-1))["content"]
+    return F.get(messages, F.size(messages) - 1)["content"]
 
 
 def lookup(choices: Mapping[str, str], key: Column, default: str) -> Column:
