@@ -82,26 +82,34 @@ def _scan_topk(index: DataFrame, queries: pa.Table, kind: str, k: int, options:
 def _block_topk(
     index: DataFrame, queries: DataFrame, kind: str, k: int, options: dict, schema, rows: tuple[int, int], part: bool
 ) -> DataFrame:
-    """Co-group (part, index block, query block). Hot parts get as many blocks as they need."""
+    """Co-group (part, index block, query block). Hot parts get as many blocks as they need.
+
+    With ``part`` the rows carry a column ``_part`` and meet only rows of the same
+    part; the caller bounds the number of parts.
+    """
     arrow = to_arrow_schema(schema)
     index_rows, query_rows = rows
-    if not part:
-        index, queries = (d.withColumn("_part", F.lit(0)) for d in (index, queries))
     id_col, query_id = schema.names[1], schema.names[0]
-    # One row per part: a single one for exact search, tables × 2^bits with signatures.
-    sizes = (
-        index.groupBy("_part")
-        .agg(F.ceil(F.count(F.lit(1)) / index_rows).cast("int").alias("_ni"))
-        .join(
-            queries.groupBy("_part").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("_nq")),
-            "_part",
+
+    def n_blocks(n: Column, size: int) -> Column:
+        return F.greatest(F.ceil(n / size), F.lit(1)).cast("int")
+
+    if part:
+        count = F.count(F.lit(1))
+        sizes = index.groupBy("_part").agg(n_blocks(count, index_rows).alias("_ni")).join(
+            queries.groupBy("_part").agg(n_blocks(count, query_rows).alias("_nq")), "_part"
         )
-    )
+    else:
+        counts = {
+            "_part": F.lit(0),
+            "_ni": n_blocks(F.lit(index.count()), index_rows),
+            "_nq": n_blocks(F.lit(queries.count()), query_rows),
+        }
 
     def blocks(df: DataFrame, key: str, own: tuple[str, str], other: tuple[str, str]) -> DataFrame:
+        sized = df.join(F.broadcast(sizes), "_part") if part else df.withColumns(counts)
         return (
-            df.join(F.broadcast(sizes), "_part")
-            .withColumn(own[0], F.pmod(F.xxhash64(F.col(key)), F.col(own[1])).cast("int"))
+            sized.withColumn(own[0], F.pmod(F.xxhash64(F.col(key)), F.col(own[1])).cast("int"))
             .withColumn(other[0], F.explode(F.sequence(F.lit(0), F.col(other[1]) - 1)))
             .drop("_ni", "_nq")
         )

@@ -220,6 +220,12 @@ def test_filters_reach_the_scan(spark, sf):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_blocked_search_has_no_join(spark, data):
+    a, b = frames(spark, *data)
+    text = plan(search.topk_dense(a, b, 3, max_broadcast=4, **COLUMNS))
+    assert "FlatMapCoGroupsInArrow" in text and "Join" not in text
+
+
 def test_no_query_builds_a_cross_join_or_row_udf(spark, sf):
     import __spark_entry__ as entry
 
