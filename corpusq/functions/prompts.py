@@ -29,6 +29,7 @@ REPORT_TEMPLATE = (
     "Write a report on {name}.\nPosition: {position}\nAge: {age}\nClub: {club}\n"
     "Statistics:\n{statistics}\ncontent: {text}"
 )
+# Fixed value: the form of a recommendation.
 RECOMMEND_TEMPLATE = (
     "Have you thought of recruiting {name}? He is a {position} and currently plays for {club}. He is {summary}"
 )

@@ -13,9 +13,14 @@ from pyspark.sql import types as T
 from corpusq.operators import search as S
 
 
+def random_planes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
+    """Normal vectors of ``tables * bits`` random planes, one per column."""
+    return np.random.default_rng(seed).standard_normal((dim, tables * bits))
+
+
 def signatures(dim: int, tables: int, bits: int, seed: int) -> Callable[[Column], Column]:
     """Column of one bucket number per table: the sides of ``bits`` random planes."""
-    planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
+    planes = random_planes(dim, tables, bits, seed)
     powers = 1 << np.arange(bits)
     offsets = np.arange(tables) << bits
 

@@ -43,7 +43,8 @@ def dispatch(df: DataFrame, branches: Sequence[tuple[Column, Step]], default: St
     """Run a different step per branch: for handlers too costly to run on every row.
 
     Rows are numbered by their first matching branch, so the parts are disjoint
-    and cover the input, rows with a NULL condition included.
+    and cover the input, rows with a NULL condition included. The input is read
+    once per branch: ``materialise`` it first when it is costly.
     """
     number = route([(c, F.lit(i)) for i, (c, _) in enumerate(branches)], F.lit(len(branches)))
     numbered = df.withColumn("_branch", number)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
@@ -89,13 +90,15 @@ def classify(
     if (factory is None) == (rules is None):
         raise ValueError("give either a scorer factory or rules")
     if rules is not None:
-        raw = F.lit("other")
-        for label, marks in reversed(list(rules.items())):
-            found = F.lit(False)
-            for mark in marks:
-                found = found | F.lower(F.col(text)).contains(mark)
-            raw = F.when(found, label).otherwise(raw)
-        answered = df.withColumn("_raw", raw)
+
+        def first_rule(lowered: Column) -> Column:
+            raw = F.lit("other")
+            for label, marks in reversed(list(rules.items())):
+                found = reduce(lambda a, b: a | b, [lowered.contains(m) for m in marks], F.lit(False))
+                raw = F.when(found, label).otherwise(raw)
+            return raw
+
+        answered = df.withColumn("_raw", let(F.lower(F.col(text)), first_rule))
     else:
         prompt = P.render(
             "Name the topic of the question in one word, one of {labels}.\n<question>\n{question}\n</question>\nTopic:",

@@ -9,6 +9,7 @@ from corpusq.functions import terms as V
 from corpusq.functions import text as X
 from corpusq.functions.html import ENTITIES
 from corpusq.operators import experiments
+from corpusq.operators.approximate import random_planes
 from corpusq.plans import queries as Q
 
 
@@ -323,6 +324,19 @@ def oracle_sql() -> dict[str, str]:
       WITH {vector_hits(where='q.vec_id <> d.vec_id')}
       SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hits
       WHERE query_id IN (SELECT query_id FROM hits WHERE rank = 1 AND score > {Q.VECTOR_GATE})"""
+    planes = random_planes(**Q.LSH).T.tolist()
+    bits = Q.LSH["bits"]
+    sql["topk_lsh"] = f"""
+      WITH planes AS (SELECT unnest({planes}::double[][]) AS p, unnest(range({len(planes)})) AS n),
+      sides AS (SELECT vec_id, n // {bits} AS part,
+                       sum(CASE WHEN list_inner_product(embedding::double[], p) > 0 THEN 1 << (n % {bits}) ELSE 0 END) AS s
+                FROM embeddings, planes GROUP BY ALL),
+      near AS (SELECT DISTINCT q.vec_id AS query_id, d.vec_id FROM sides q JOIN sides d USING (part, s)
+               WHERE q.vec_id <> d.vec_id),
+      pairs AS (SELECT query_id, d.vec_id, {COSINE} AS score FROM near
+                JOIN embeddings q ON q.vec_id = query_id JOIN embeddings d ON d.vec_id = near.vec_id),
+      hits AS (SELECT *, {RANKED} FROM pairs QUALIFY rank <= 3)
+      SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hits"""
     asks = "asks AS (SELECT item_id, text AS question FROM benchmark)"
     for name, buckets in (("text_search", V.DEFAULT_BUCKETS), ("text_search_dense64", 64)):
         sql[name] = f"""
@@ -396,6 +410,7 @@ def oracle_sql() -> dict[str, str]:
       SELECT doc_id, quality AS passed, quality * 3 AS mult, quality + 1 AS modified,
              'joke on ' || doc_id AS joke, 'poem on ' || toxic AS poem FROM labels"""
     sql["classify_rows"] = f"WITH {TOPICS} SELECT conv_id, turn, topic FROM topics"
+    sql["classify_scored"] = sql["classify_rows"]
     routes = " ".join(f"WHEN '{n}' THEN {filled(t, question='text')}" for n, t in Q.ROUTES.items())
     sql["route_rows"] = f"""
       WITH {TOPICS}
@@ -419,6 +434,12 @@ def oracle_sql() -> dict[str, str]:
                lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS output FROM conversations)
       WHERE role = 'user' AND next_role = 'assistant'"""
     sql["history_summary"] = f"WITH {SUMMARY} SELECT * FROM summaries"
+    sql["summary_fold"] = rf"""
+      WITH pairs AS ({sql['turn_pairs']}),
+      said AS (SELECT conv_id, turn, string_agg(input || ' ' || output, ' ') OVER (PARTITION BY conv_id ORDER BY turn
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t FROM pairs)
+      SELECT conv_id, turn, array_to_string((string_split_regex(trim({collapse('t')}), ' '))[-20:], ' ') AS summary
+      FROM said"""
     sql["accumulate_query"] = f"WITH {ACCUMULATED} SELECT * FROM accumulated"
     sql["turn_keywords"] = f"WITH {keyword_table('conversations', 'text')} SELECT * FROM kw".replace("WITH \n", "WITH ")
     sql["chat_recommend"] = chat_answers(

@@ -20,6 +20,7 @@ from corpusq.operators import approximate, chat, chunks, corpus, entities, exper
 from corpusq.operators.joins import compute_once
 from corpusq.session import spread
 from corpusq.sources import snapshots, tables
+from corpusq.streaming.memory import keep_last_words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -388,10 +389,13 @@ def hits_gated(spark, sf):
     return _rounded(search.gate(hits, "query_id", VECTOR_GATE))
 
 
+LSH = {"dim": 64, "tables": 8, "bits": 2, "seed": 42}
+
+
 @query
 def topk_lsh(spark, sf):
     vectors, asked = _vectors(spark, sf)
-    return _rounded(approximate.topk_lsh(vectors, asked, 3, dim=64, skip_equal=True, **_VECTOR_COLUMNS))
+    return _rounded(approximate.topk_lsh(vectors, asked, 3, skip_equal=True, **LSH, **_VECTOR_COLUMNS))
 
 
 _TEXT_COLUMNS = {"id_col": "doc_id", "text": "text", "query_id": "item_id", "query_text": "question"}
@@ -589,6 +593,25 @@ def classify_rows(spark, sf):
     return _topics(spark, sf).select("conv_id", "turn", "topic")
 
 
+class TopicScorer:
+    """A stand-in for a model that answers with a topic: the rules, read off the prompt."""
+
+    def __call__(self, requests):
+        return requests["prompt"].map(self.answer)
+
+    @staticmethod
+    def answer(prompt: str) -> str:
+        question = prompt.split("<question>", 1)[1].rsplit("</question>", 1)[0].lower()
+        found = (label for label, marks in TOPIC_RULES.items() if any(m in question for m in marks))
+        return f" {next(found, 'unknown').title()}\n"
+
+
+@query
+def classify_scored(spark, sf):
+    turns = infer.classify(_turns(spark, sf), "text", list(TOPICS), factory=TopicScorer)
+    return turns.select("conv_id", "turn", "topic")
+
+
 @query
 def route_rows(spark, sf):
     question = {"question": F.col("text")}
@@ -631,6 +654,11 @@ def history_summary(spark, sf):
     return chat.history_summary(_turns(spark, sf))
 
 
+@query
+def summary_fold(spark, sf):
+    return chat.fold_summary(chat.turn_pairs(_turns(spark, sf)), lambda: keep_last_words(20))
+
+
 @query
 def accumulate_query(spark, sf):
     return chat.accumulate_query(_turns(spark, sf)).select("conv_id", "turn", "request")

@@ -61,11 +61,17 @@ def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     The copies are removed before the join, where partial aggregation collapses
     them in each task; ``EXCEPT`` on its own would shuffle every copy to one task.
     """
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in left.columns]).distinct()
+    columns = left.columns
+    rows = left.distinct().withColumn("_hash", F.xxhash64(*columns))
+    others = right.select(columns).distinct().withColumn("_other_hash", F.xxhash64(*columns))
+    others = others.select("_other_hash", *[F.col(c).alias(f"_other_{c}") for c in columns])
+    # The hash comes first, so that sorting and probing seldom compare the texts.
     same = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in left.columns]
+        lambda a, b: a & b,
+        [F.col(c).eqNullSafe(F.col(f"_other_{c}")) for c in columns],
+        F.col("_hash") == F.col("_other_hash"),
     )
-    return left.distinct().join(r, same, "left_anti")
+    return rows.join(others, same, "left_anti").drop("_hash")
 
 
 def new_rows_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
