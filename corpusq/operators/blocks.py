@@ -13,8 +13,13 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 
+# Rows of one scoring step; a step's score block has at most _CELLS cells.
 _QUERY_ROWS = 256
 _INDEX_ROWS = 1024
+_CELLS = 1 << 21
+# Term pairs of a sparse step that are expanded at once.
+_PAIRS = 1 << 21
+# How far a matrix product may differ from the fixed-order sum.
 _SLACK = 1e-9
 
 
@@ -129,33 +134,52 @@ class DenseQueries:
 
 @dataclass
 class SparseQueries:
-    """Integer dot product over the query terms, divided by both norms."""
+    """Integer dot product over shared terms, divided by both norms.
+
+    Query terms are kept as postings: per term the queries that hold it. Memory
+    grows with the postings and with the score block, not with the vocabulary.
+    """
 
     block: SparseBlock
     vocabulary: np.ndarray = field(init=False)
-    matrix: np.ndarray = field(init=False)
 
     def __post_init__(self) -> None:
         b = self.block
-        self.vocabulary, column = np.unique(b.terms, return_inverse=True)
-        self.matrix = np.zeros((len(self.vocabulary), len(b)))
-        self.matrix[column, np.repeat(np.arange(len(b)), np.diff(b.offsets))] = b.weights
+        order = np.argsort(b.terms, kind="stable")
+        self.query = np.repeat(np.arange(len(b)), np.diff(b.offsets))[order]
+        self.weight = b.weights[order]
+        self.vocabulary, self.first, self.held = np.unique(b.terms[order], return_index=True, return_counts=True)
 
     def __call__(self, index: SparseBlock):
-        if not len(self.vocabulary):
-            near = np.full((len(self.block), len(index)), -np.inf)
-            return near, 0.0, lambda qi, di: near[qi, di]
-        at = np.minimum(np.searchsorted(self.vocabulary, index.terms), len(self.vocabulary) - 1)
-        hit = self.vocabulary[at] == index.terms
-        rows = np.repeat(np.arange(len(index)), np.diff(index.offsets))
-        dense = np.zeros((len(index), len(self.vocabulary)))
-        dense[rows[hit], at[hit]] = index.weights[hit]
-        dot = (dense @ self.matrix).T
+        dot = self._dots(index)
         with np.errstate(divide="ignore", invalid="ignore"):
             near = dot / (np.sqrt(self.block.norms)[:, None] * np.sqrt(index.norms)[None, :])
         near = np.where(dot > 0, near, -np.inf)
         return near, 0.0, lambda qi, di: near[qi, di]
 
+    def _dots(self, index: SparseBlock) -> np.ndarray:
+        n, width = len(self.block), len(index)
+        dot = np.zeros(n * width)
+        if not len(self.vocabulary):
+            return dot.reshape(n, width)
+        at = np.minimum(np.searchsorted(self.vocabulary, index.terms), len(self.vocabulary) - 1)
+        hit = self.vocabulary[at] == index.terms
+        row = np.repeat(np.arange(width), np.diff(index.offsets))[hit]
+        term, weight = at[hit], index.weights[hit]
+        held = self.held[term]
+        reach = np.concatenate(([0], np.cumsum(held)))
+        start = 0
+        while start < len(term):
+            stop = max(start + 1, int(np.searchsorted(reach, reach[start] + _PAIRS, side="right")) - 1)
+            times = held[start:stop]
+            place = np.arange(reach[stop] - reach[start]) + np.repeat(
+                self.first[term[start:stop]] - (reach[start:stop] - reach[start]), times
+            )
+            cell = self.query[place] * width + np.repeat(row[start:stop], times)
+            dot += np.bincount(cell, self.weight[place] * np.repeat(weight[start:stop], times), n * width)
+            start = stop
+        return dot.reshape(n, width)
+
 
 def _rank_keys(ids: np.ndarray) -> np.ndarray:
     return ids if ids.dtype.kind in "iu" else np.unique(ids, return_inverse=True)[1]
@@ -176,12 +200,14 @@ class TopK:
 
     def __init__(self, kind: str, queries, k: int, keep_zero: bool, metric: str = "cosine") -> None:
         self.k, self.keep_zero, self.query_ids = k, keep_zero, queries.ids
+        step = _QUERY_ROWS if kind == "dense" else max(1, len(queries))
+        self.rows = min(_INDEX_ROWS, max(1, _CELLS // step))
+        # Per part: first query, scorer, best rows so far, score of the k-th.
         self.parts = []
-        for start in range(0, len(queries), _QUERY_ROWS):
-            block = queries.part(start, start + _QUERY_ROWS)
+        for start in range(0, len(queries), step):
+            block = queries.part(start, start + step)
             scorer = DenseQueries(block, metric) if kind == "dense" else SparseQueries(block)
-            self.parts.append([scorer, None, np.full(len(block), -np.inf)])
-        self.rows = _INDEX_ROWS if kind == "dense" else _INDEX_ROWS // 4
+            self.parts.append([start, scorer, None, np.full(len(block), -np.inf)])
 
     def add(self, index) -> None:
         for start in range(0, len(index), self.rows):
@@ -190,7 +216,7 @@ class TopK:
                 self._add(part, block)
 
     def _add(self, part, block) -> None:
-        scorer, best, floor = part
+        _, scorer, best, floor = part
         near, slack, exact = scorer(block)
         if len(block) > self.k:
             floor = np.maximum(floor, np.partition(near, len(block) - self.k, axis=1)[:, -self.k])
@@ -205,21 +231,19 @@ class TopK:
             query = np.concatenate((best[0], query))
             score = np.concatenate((best[1], score))
             ids = np.concatenate((best[2], ids))
-        query, score, ids = part[1] = _best(query, score, ids, self.k)
-        full = np.bincount(query, minlength=len(floor)) >= self.k
-        last = np.full(len(floor), -np.inf)
-        np.minimum.at(lowest := np.full(len(floor), np.inf), query, score)
-        last[full] = lowest[full]
-        part[2] = last
+        query, score, ids = part[2] = _best(query, score, ids, self.k)
+        lowest = np.full(len(floor), np.inf)
+        np.minimum.at(lowest, query, score)
+        part[3] = np.where(np.bincount(query, minlength=len(floor)) >= self.k, lowest, -np.inf)
 
     def emit(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        for n, (_, best, _) in enumerate(self.parts):
+        for start, _, best, _ in self.parts:
             if best is None or not len(best[0]):
                 continue
             query, score, ids = best
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(self.query_ids[query + n * _QUERY_ROWS]).cast(schema.field(0).type),
+                    pa.array(self.query_ids[query + start]).cast(schema.field(0).type),
                     pa.array(ids).cast(schema.field(1).type),
                     pa.array(np.where(np.isneginf(score), 0.0, score), mask=np.isneginf(score)),
                 ],
