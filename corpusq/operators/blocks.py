@@ -19,6 +19,9 @@ _INDEX_ROWS = 1024
 _CELLS = 1 << 21
 # Term pairs of a sparse step that are expanded at once.
 _PAIRS = 1 << 21
+# Terms held by one query in _COMMON_SHARE are common; at most _COMMON_TERMS of them.
+_COMMON_SHARE = 32
+_COMMON_TERMS = 256
 # How far a matrix product may differ from the fixed-order sum.
 _SLACK = 1e-9
 
@@ -92,6 +95,10 @@ class SparseBlock:
         )
 
 
+def _inverse(norms: np.ndarray) -> np.ndarray:
+    return np.divide(1.0, norms, out=np.zeros(len(norms)), where=norms > 0)
+
+
 @dataclass
 class DenseQueries:
     """Cosine, or ``1 / (1 + d²)`` of the Euclidean distance d with ``metric="l2"``."""
@@ -106,17 +113,17 @@ class DenseQueries:
     def _cosine(self, index: DenseBlock):
         q = self.block
 
-        def score(dot, q_norm, d_norm):
-            with np.errstate(divide="ignore", invalid="ignore"):
-                return np.where((q_norm > 0) & (d_norm > 0), dot / (q_norm * d_norm), -np.inf)
-
         def exact(qi, di):
             dot = np.zeros(len(qi))
             for d in range(q.vectors.shape[1]):
                 dot += q.vectors[qi, d] * index.vectors[di, d]
-            return score(dot, q.norms[qi], index.norms[di])
+            norm = q.norms[qi] * index.norms[di]
+            return np.divide(dot, norm, out=np.full(len(qi), -np.inf), where=norm > 0)
 
-        return score(q.vectors @ index.vectors.T, q.norms[:, None], index.norms[None, :]), _SLACK, exact
+        near = (q.vectors * _inverse(q.norms)[:, None]) @ (index.vectors * _inverse(index.norms)[:, None]).T
+        near[:, index.norms == 0] = -np.inf
+        near[q.norms == 0, :] = -np.inf
+        return near, _SLACK, exact
 
     def _euclidean(self, index: DenseBlock):
         q = self.block
@@ -138,6 +145,8 @@ class SparseQueries:
 
     Query terms are kept as postings: per term the queries that hold it. Memory
     grows with the postings and with the score block, not with the vocabulary.
+    The few terms that many queries hold would expand to almost every pair; they
+    go through a matrix product. Integer sums are exact in either way.
     """
 
     block: SparseBlock
@@ -149,13 +158,21 @@ class SparseQueries:
         self.query = np.repeat(np.arange(len(b)), np.diff(b.offsets))[order]
         self.weight = b.weights[order]
         self.vocabulary, self.first, self.held = np.unique(b.terms[order], return_index=True, return_counts=True)
+        common = np.argsort(-self.held, kind="stable")[:_COMMON_TERMS]
+        common = common[self.held[common] * _COMMON_SHARE >= max(len(b), _COMMON_SHARE)]
+        self.column = np.full(len(self.vocabulary), -1)
+        self.column[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), len(b)))
+        for n, term in enumerate(common):
+            part = slice(self.first[term], self.first[term] + self.held[term])
+            self.matrix[n, self.query[part]] = self.weight[part]
 
     def __call__(self, index: SparseBlock):
         dot = self._dots(index)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            near = dot / (np.sqrt(self.block.norms)[:, None] * np.sqrt(index.norms)[None, :])
-        near = np.where(dot > 0, near, -np.inf)
-        return near, 0.0, lambda qi, di: near[qi, di]
+        q_norm, d_norm = np.sqrt(self.block.norms), np.sqrt(index.norms)
+        near = dot * _inverse(d_norm)[None, :]
+        near *= _inverse(q_norm)[:, None]
+        return near, _SLACK, lambda qi, di: dot[qi, di] / (q_norm[qi] * d_norm[di])
 
     def _dots(self, index: SparseBlock) -> np.ndarray:
         n, width = len(self.block), len(index)
@@ -166,6 +183,13 @@ class SparseQueries:
         hit = self.vocabulary[at] == index.terms
         row = np.repeat(np.arange(width), np.diff(index.offsets))[hit]
         term, weight = at[hit], index.weights[hit]
+        column = self.column[term]
+        common = column >= 0
+        if common.any():
+            held_by = np.zeros((width, len(self.matrix)))
+            held_by[row[common], column[common]] = weight[common]
+            dot += (self.matrix.T @ held_by.T).ravel()
+            row, term, weight = row[~common], term[~common], weight[~common]
         held = self.held[term]
         reach = np.concatenate(([0], np.cumsum(held)))
         start = 0
@@ -202,12 +226,12 @@ class TopK:
         self.k, self.keep_zero, self.query_ids = k, keep_zero, queries.ids
         step = _QUERY_ROWS if kind == "dense" else max(1, len(queries))
         self.rows = min(_INDEX_ROWS, max(1, _CELLS // step))
-        # Per part: first query, scorer, best rows so far, score of the k-th.
+        # Per part: first query, scorer, best rows so far; score and id of the k-th, whether there is one.
         self.parts = []
         for start in range(0, len(queries), step):
             block = queries.part(start, start + step)
             scorer = DenseQueries(block, metric) if kind == "dense" else SparseQueries(block)
-            self.parts.append([start, scorer, None, np.full(len(block), -np.inf)])
+            self.parts.append([start, scorer, None, np.full(len(block), -np.inf), None, None])
 
     def add(self, index) -> None:
         for start in range(0, len(index), self.rows):
@@ -215,29 +239,43 @@ class TopK:
             for part in self.parts:
                 self._add(part, block)
 
+    def _least(self, floor: np.ndarray, slack: float) -> np.ndarray:
+        """The score a row needs: of the k-th row so far, above zero where zero is no hit."""
+        least = floor - slack
+        return (least if self.keep_zero else np.maximum(least, np.finfo(float).tiny))[:, None]
+
     def _add(self, part, block) -> None:
-        _, scorer, best, floor = part
+        _, scorer, best, floor, _, _ = part
         near, slack, exact = scorer(block)
-        if len(block) > self.k:
+        wanted = near >= self._least(floor, slack)
+        # Once the floors are up few rows pass them; before that the block's own k-th score helps.
+        if len(block) > self.k and np.count_nonzero(wanted) > 4 * self.k * len(floor):
             floor = np.maximum(floor, np.partition(near, len(block) - self.k, axis=1)[:, -self.k])
-        wanted = near >= floor[:, None] - slack
-        if not self.keep_zero:
-            wanted &= near > -np.inf
+            wanted = near >= self._least(floor, slack)
         qi, di = np.nonzero(wanted)
         if not len(qi):
             return
         query, score, ids = qi, exact(qi, di), block.ids[di]
         if best is not None:
+            # A row that only ties with the k-th is wanted for a smaller id: copies are cut here.
+            last = part[4][query]
+            keep = (score > part[3][query]) | ((score == part[3][query]) & (ids < last)) | ~part[5][query]
+            query, score, ids = query[keep], score[keep], ids[keep]
             query = np.concatenate((best[0], query))
             score = np.concatenate((best[1], score))
             ids = np.concatenate((best[2], ids))
         query, score, ids = part[2] = _best(query, score, ids, self.k)
-        lowest = np.full(len(floor), np.inf)
-        np.minimum.at(lowest, query, score)
-        part[3] = np.where(np.bincount(query, minlength=len(floor)) >= self.k, lowest, -np.inf)
+        ends = np.flatnonzero(np.r_[query[1:] != query[:-1], True])
+        full = np.bincount(query, minlength=len(floor)) >= self.k
+        part[3] = np.full(len(floor), -np.inf)
+        part[3][query[ends]] = score[ends]
+        part[3][~full] = -np.inf
+        part[4] = np.zeros(len(floor), ids.dtype)
+        part[4][query[ends]] = ids[ends]
+        part[5] = full
 
     def emit(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        for start, _, best, _ in self.parts:
+        for start, _, best, *_ in self.parts:
             if best is None or not len(best[0]):
                 continue
             query, score, ids = best

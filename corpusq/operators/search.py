@@ -29,7 +29,7 @@ _BLOCKS = {"dense": DenseBlock, "sparse": SparseBlock}
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_VALUES = 4 << 20
 INDEX_BLOCK_ROWS = 16384
-QUERY_BLOCK_ROWS = 4096
+QUERY_BLOCK_ROWS = 16384
 
 
 def _payload(df: DataFrame, kind: str, id_col: str, vector: str, norm: str | None) -> DataFrame:
