@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusq.operators import search as S
+from corpusq.session import one_blas_thread
 
 
 def random_planes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
@@ -57,6 +58,7 @@ def topk_lsh(
     """
     if tables << bits > 1 << 17:
         raise ValueError("tables * 2**bits exceeds the broadcast bound 131072")
+    one_blas_thread(index.sparkSession)
     hashed = signatures(dim, tables, bits, seed)
 
     def exploded(df: DataFrame, key: str, column: str) -> DataFrame:

@@ -16,9 +16,9 @@ import pyarrow as pa
 # Rows of one scoring step; a step's score block has at most _CELLS cells.
 _QUERY_ROWS = 256
 _INDEX_ROWS = 1024
-_CELLS = 1 << 21
+_CELLS = 1 << 19
 # Term pairs of a sparse step that are expanded at once.
-_PAIRS = 1 << 21
+_PAIRS = 1 << 20
 # Terms held by one query in _COMMON_SHARE are common; at most _COMMON_TERMS of them.
 _COMMON_SHARE = 32
 _COMMON_TERMS = 256

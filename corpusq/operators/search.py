@@ -21,6 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from corpusq.functions import terms as V
 from corpusq.functions.predicates import compile_filter
 from corpusq.operators.blocks import DenseBlock, SparseBlock, TopK
+from corpusq.session import one_blas_thread
 from corpusq.sources.materialise import materialise
 
 _BLOCKS = {"dense": DenseBlock, "sparse": SparseBlock}
@@ -30,6 +31,7 @@ MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_VALUES = 4 << 20
 INDEX_BLOCK_ROWS = 16384
 QUERY_BLOCK_ROWS = 16384
+MAX_BLOCK_TASKS = 20_000
 
 
 def _payload(df: DataFrame, kind: str, id_col: str, vector: str, norm: str | None) -> DataFrame:
@@ -91,20 +93,21 @@ def _block_topk(
     index_rows, query_rows = rows
     id_col, query_id = schema.names[1], schema.names[0]
 
-    def n_blocks(n: Column, size: int) -> Column:
-        return F.greatest(F.ceil(n / size), F.lit(1)).cast("int")
-
+    keys = ["_part", "_ib", "_qb"]
+    partitions = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if part:
-        count = F.count(F.lit(1))
-        sizes = index.groupBy("_part").agg(n_blocks(count, index_rows).alias("_ni")).join(
-            queries.groupBy("_part").agg(n_blocks(count, query_rows).alias("_nq")), "_part"
+
+        def n_blocks(size: int) -> Column:
+            return F.ceil(F.count(F.lit(1)) / size).cast("int")
+
+        sizes = index.groupBy("_part").agg(n_blocks(index_rows).alias("_ni")).join(
+            queries.groupBy("_part").agg(n_blocks(query_rows).alias("_nq")), "_part"
         )
     else:
-        counts = {
-            "_part": F.lit(0),
-            "_ni": n_blocks(F.lit(index.count()), index_rows),
-            "_nq": n_blocks(F.lit(queries.count()), query_rows),
-        }
+        ni, nq = (max(1, -(-df.count() // size)) for df, size in ((index, index_rows), (queries, query_rows)))
+        counts = {"_part": F.lit(0), "_ni": F.lit(ni), "_nq": F.lit(nq)}
+        # A group is much work on little data: as many tasks as groups keep the cores even.
+        partitions = min(max(partitions, 2 * ni * nq), MAX_BLOCK_TASKS)
 
     def blocks(df: DataFrame, key: str, own: tuple[str, str], other: tuple[str, str]) -> DataFrame:
         sized = df.join(F.broadcast(sizes), "_part") if part else df.withColumns(counts)
@@ -112,6 +115,7 @@ def _block_topk(
             sized.withColumn(own[0], F.pmod(F.xxhash64(F.col(key)), F.col(own[1])).cast("int"))
             .withColumn(other[0], F.explode(F.sequence(F.lit(0), F.col(other[1]) - 1)))
             .drop("_ni", "_nq")
+            .repartition(partitions, *keys)
         )
 
     left = blocks(index, id_col, ("_ib", "_ni"), ("_qb", "_nq"))
@@ -127,7 +131,6 @@ def _block_topk(
         top.add(_read(kind, rows, left_names))
         return pa.Table.from_batches(list(top.emit(arrow)), schema=arrow)
 
-    keys = ["_part", "_ib", "_qb"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(task, schema)
 
 
@@ -151,6 +154,7 @@ def _search(
 ) -> DataFrame:
     schema = _hits_schema(index, queries)
     wanted = k + 1 if skip_equal else k
+    one_blas_thread(index.sparkSession)
     rows, values = (
         queries.limit(max_broadcast + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_vector")), F.lit(0))).first()
     )

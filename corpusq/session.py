@@ -22,6 +22,16 @@ def local_session(cpus: int = 8, name: str = "corpusq") -> SparkSession:
     return builder.getOrCreate()
 
 
+def one_blas_thread(spark: SparkSession) -> None:
+    """Keep numpy in Python workers to the one core its task has.
+
+    A matrix product would otherwise start as many threads as the machine has
+    cores in every task, which costs far more than it gains.
+    """
+    for name in ("OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):
+        spark.sparkContext.environment.setdefault(name, "1")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rebalance a scan that has fewer splits than the cluster has cores.
 
