@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusq.functions import terms as V
-from corpusq.operators.search import with_term_vector
+from corpusq.operators.search import shard_of, with_term_vector
 from corpusq.sources.materialise import materialise
 from corpusq.sources.snapshots import assert_unique, row_digest
 
@@ -89,10 +89,6 @@ def sync_index(
     return index.join(keys, key, "left_anti").unionByName(changed)
 
 
-def shard_of(key: Column, shards: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")
-
-
 def write_index(df: DataFrame, path: str, key: str, shards: int) -> None:
     """Parquet in ``shards`` folders by key hash, so that fetching rows by key reads few folders."""
     sharded = df.withColumn("shard", shard_of(F.col(key), shards))

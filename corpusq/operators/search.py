@@ -29,6 +29,7 @@ _BLOCKS = {"dense": DenseBlock, "sparse": SparseBlock}
 # What may travel to every task: rows, and vector elements of 16 bytes at most.
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_VALUES = 4 << 20
+MAX_BROADCAST_HITS = 1 << 18
 INDEX_BLOCK_ROWS = 16384
 QUERY_BLOCK_ROWS = 16384
 MAX_BLOCK_TASKS = 20_000
@@ -162,8 +163,9 @@ def _search(
         hits = _block_topk(index, queries, kind, wanted, options, schema, blocks, part=False)
         return _finish(hits, schema, k, skip_equal)
     hits = _scan_topk(index, queries.toArrow(), kind, wanted, options, schema)
-    # At most max_broadcast * k rows of ids and a score: joins may broadcast them.
-    return F.broadcast(_finish(hits, schema, k, skip_equal))
+    ranked = _finish(hits, schema, k, skip_equal)
+    # Two ids, a score and a rank per row: joins may broadcast that many.
+    return F.broadcast(ranked) if rows * k <= MAX_BROADCAST_HITS else ranked
 
 
 def topk_dense(
@@ -302,6 +304,10 @@ def keyword_search(
     return hits.withColumn("score", F.col("score") / 1000000)
 
 
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")
+
+
 def attach_columns(
     hits: DataFrame, index: DataFrame, id_col: str, columns: Sequence[str], shards: int | None = None
 ) -> DataFrame:
@@ -315,7 +321,7 @@ def attach_columns(
     if shards is None:
         out = hits.join(index.select(id_col, *columns), id_col)
     else:
-        placed = hits.withColumn("shard", F.pmod(F.xxhash64(id_col), F.lit(shards)).cast("int"))
+        placed = hits.withColumn("shard", shard_of(F.col(id_col), shards))
         out = placed.join(index.select(id_col, "shard", *columns), ["shard", id_col])
     return out.select(*ranked, id_col, *columns, "score")
 
