@@ -174,7 +174,8 @@ def chat_recommend(
     if requests is None:
         requests = turns.filter(F.col(role) == USER).select(conv, turn, F.col(text).alias("request"))
     found = turn_keywords(requests, keywords, conv, turn, "request")
-    questions = materialise(found.select(conv, turn, X.composite_id(F.col(conv), F.col(turn)).alias("ask_id"), "keywords"))
+    ask_id = X.composite_id(F.col(conv), F.col(turn)).alias("ask_id")
+    questions = materialise(found.select(conv, turn, ask_id, "keywords"))
     hits = S.text_search(
         documents, questions, k, id_col=doc_id, text=doc_text, query_id="ask_id", query_text="keywords"
     )

@@ -92,4 +92,5 @@ def sync_index(
 def write_index(df: DataFrame, path: str, key: str, shards: int) -> None:
     """Parquet in ``shards`` folders by key hash, so that fetching rows by key reads few folders."""
     sharded = df.withColumn("shard", shard_of(F.col(key), shards))
-    sharded.repartition("shard").sortWithinPartitions("shard", key).write.mode("overwrite").partitionBy("shard").parquet(path)
+    placed = sharded.repartition("shard").sortWithinPartitions("shard", key)
+    placed.write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+MAX_SPREAD_SPLITS = 64
+
 
 def local_session(cpus: int = 8, name: str = "corpusq") -> SparkSession:
     """A local session; on a cluster the submitted configuration is used instead."""
@@ -36,10 +38,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Rebalance a scan that has fewer splits than the cluster has cores.
 
     Text expressions cost far more CPU than the bytes they read, so a table in
-    one small file would keep most cores idle. A table with enough splits is
-    returned unchanged: no shuffle is added at scale.
+    one small file would keep most cores idle. A table with enough splits, or
+    with so many that moving it would cost more than it gains, is returned
+    unchanged: no shuffle is added at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    splits = df.rdd.getNumPartitions()
+    if splits >= cores or splits > MAX_SPREAD_SPLITS:
         return df
-    return df.repartition(cores)
+    return df.repartition(min(cores, 16 * max(splits, 1)))

@@ -104,6 +104,30 @@ def test_compute_once_keeps_filter_above(spark, sf):
 # --- tables ---------------------------------------------------------------------------
 
 
+def test_spread_moves_small_tables_only(spark):
+    from corpusq.session import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
+    assert "Exchange" not in spread(spark.range(10, numPartitions=cores))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_materialise_reads_the_session_folder(spark, tmp_path):
+    from corpusq.sources.materialise import materialise
+
+    calls = tmp_path / "calls"
+
+    def tick(batches):
+        with open(calls, "a") as f:
+            f.write("x")
+        yield from batches
+
+    df = materialise(spark.range(5, numPartitions=1).mapInPandas(tick, "id long"))
+    before = calls.read_text()
+    assert df.count() == 5 and calls.read_text() == before
+    assert spark.sparkContext.getCheckpointDir().startswith("file:" + spark.conf.get("spark.checkpoint.dir"))
+
+
 def test_landing_csv(spark, tmp_path):
     path = tmp_path / "players.csv"
     path.write_text('"name","url","pos"\n"A, B","u1","FW"\n"C ""x""\nD",NA,"MF"\n')
