@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CHUNK_ROWS = 20_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``.
@@ -51,12 +53,12 @@ def map_arrow(df: DataFrame, function: Callable[[pa.Table], pa.Table], schema: s
         for batch in batches:
             for piece in _pieces(batch, batch_bytes):
                 if held and size + piece.nbytes > batch_bytes:
-                    yield from function(pa.Table.from_batches(held)).to_batches()
+                    yield from function(pa.Table.from_batches(held)).to_batches(max_chunksize=CHUNK_ROWS)
                     held, size = [], 0
                 held.append(piece)
                 size += piece.nbytes
         if held:
-            yield from function(pa.Table.from_batches(held)).to_batches()
+            yield from function(pa.Table.from_batches(held)).to_batches(max_chunksize=CHUNK_ROWS)
 
     return df.mapInArrow(run, schema)
 

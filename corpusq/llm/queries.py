@@ -7,12 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import linefreq, sharding
+from corpusq.llm import decontaminate, linefreq, sharding
 from corpusq.llm.common import scan_documents
 
 SHARDS = 24
 
 
+def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontaminate.build_index(scan_documents(spark, sf_dir, "doc_id", "text"))
+    windows = decontaminate.item_windows(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = decontaminate.search(index, windows)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near",
+    )
+
+
 def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan_documents(spark, sf_dir, "doc_id", "source", "text")
     judged = linefreq.apply_line_limits(docs)
@@ -37,7 +52,7 @@ def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_line_frequency, op9_external_shuffle)}
+    return {f.__name__: f for f in (op3_positional_index, op6_line_frequency, op9_external_shuffle)}
 
 
 def oracle_sql() -> dict[str, str]:
