@@ -7,10 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import decontaminate, linefreq, sharding
-from corpusq.llm.common import scan_documents
+from corpusq.llm import blobs, decontaminate, linefreq, pseudonyms, sharding, spans
+from corpusq.llm.common import scan_documents, scratch_path
 
 SHARDS = 24
+#: The key of the registered query; a user of the operator keeps their own secret.
+DEMO_KEY = b"pseudonym key of the registered query"
+
+
+def _joined(found, kinds=None):
+    """``kind:start:end`` of the findings, comma-joined in their order."""
+    chosen = F.filter(found, lambda x: x["kind"].isin(*kinds)) if kinds else found
+    one = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
+    return F.array_join(F.transform(chosen, one), ",")
+
+
+def op2_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = spans.remove_repeated_spans(scan_documents(spark, sf_dir, "doc_id", "text"))
+    return cut.select(
+        F.col("id").alias("doc_id"), "n_sentences", "n_removed", "removed_words", "spans", "clean_text"
+    )
 
 
 def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +44,20 @@ def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = scan_documents(spark, sf_dir, "doc_id", "text")
+    found = blobs.scan_versions(docs, scratch_path(spark, "ledger"))
+    count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = [r.name for r in blobs.BASE_RULES]
+    return found.select(
+        "doc_id",
+        *map(count, base),
+        F.sha2(_joined(F.col("found"), base), 256).alias("base_sha256"),
+        _joined(F.col("found")).alias("spans"),
+        "blob",
+    )
+
+
 def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan_documents(spark, sf_dir, "doc_id", "source", "text")
     judged = linefreq.apply_line_limits(docs)
@@ -37,6 +67,11 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = pseudonyms.pseudonymise(scan_documents(spark, sf_dir, "doc_id", "text"), DEMO_KEY)
+    return changed.withColumnRenamed("id", "doc_id")
+
+
 def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan_documents(spark, sf_dir, "doc_id", "text")
     placed = sharding.shuffled_shards(docs, SHARDS)
@@ -52,7 +87,15 @@ def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_positional_index, op6_line_frequency, op9_external_shuffle)}
+    named = (
+        op2_sentence_spans,
+        op3_positional_index,
+        op5_blob_ledger,
+        op6_line_frequency,
+        op8_feistel_pseudonyms,
+        op9_external_shuffle,
+    )
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
