@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import blobs, decontaminate, linefreq, pseudonyms, sharding, spans
+from corpusq.llm import blobs, decontaminate, jaccard, linefreq, pseudonyms, sharding, spans
 from corpusq.llm.common import scan_documents, scratch_path
 
 SHARDS = 24
@@ -44,6 +44,10 @@ def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(scan_documents(spark, sf_dir, "doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
 def op5_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = scan_documents(spark, sf_dir, "doc_id", "text")
     found = blobs.scan_versions(docs, scratch_path(spark, "ledger"))
@@ -90,6 +94,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op2_sentence_spans,
         op3_positional_index,
+        op4_lsh_forest,
         op5_blob_ledger,
         op6_line_frequency,
         op8_feistel_pseudonyms,
