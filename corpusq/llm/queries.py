@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import blobs, decontaminate, jaccard, linefreq, pseudonyms, sharding, spans
-from corpusq.llm.common import scan_documents, scratch_path
+from corpusq.llm import blobs, decontaminate, jaccard, linefreq, pieces, pseudonyms, ranking, sharding, spans, toxicity
+from corpusq.llm.common import held_out, scan_documents, scratch_path
 
 SHARDS = 24
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: The key of the registered query; a user of the operator keeps their own secret.
 DEMO_KEY = b"pseudonym key of the registered query"
 
@@ -22,6 +23,12 @@ def _joined(found, kinds=None):
     return F.array_join(F.transform(chosen, one), ",")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.load_model(MODEL_PATH, "bpe")
+    encoded = pieces.encode(scan_documents(spark, sf_dir, "doc_id", "text"), model)
+    return encoded.withColumnRenamed("id", "doc_id")
+
+
 def op2_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = spans.remove_repeated_spans(scan_documents(spark, sf_dir, "doc_id", "text"))
     return cut.select(
@@ -71,6 +78,24 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _training_labels(spark: SparkSession, sf_dir: str, parts: int, part: int) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return labels.filter(~held_out(F.col("doc_id"), parts, part))
+
+
+def op7_convolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = scan_documents(spark, sf_dir, "doc_id", "lang", "text")
+    model = toxicity.train(docs, _training_labels(spark, sf_dir, 4, 2))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        held_out(F.col("id"), 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "threshold",
+        "flagged",
+    )
+
+
 def op8_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = pseudonyms.pseudonymise(scan_documents(spark, sf_dir, "doc_id", "text"), DEMO_KEY)
     return changed.withColumnRenamed("id", "doc_id")
@@ -90,15 +115,29 @@ def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = scan_documents(spark, sf_dir, "doc_id", "text")
+    model = ranking.train(docs, _training_labels(spark, sf_dir, 5, 0))
+    return ranking.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        held_out(F.col("id"), 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= ranking.CUT).cast("int").alias("predicted"),
+    )
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
+        op1_sentencepiece,
         op2_sentence_spans,
         op3_positional_index,
         op4_lsh_forest,
         op5_blob_ledger,
         op6_line_frequency,
+        op7_convolution,
         op8_feistel_pseudonyms,
         op9_external_shuffle,
+        op10_pairwise_ranking,
     )
     return {f.__name__: f for f in named}
 
