@@ -148,12 +148,13 @@ def search(
     windows: DataFrame,
     near_words: int = NEAR_WORDS,
     near_span: int = NEAR_SPAN,
+    near: bool = True,
 ) -> DataFrame:
     """``(id, n_words, n_hit, n_near, items, spans)`` per indexed document row.
 
     ``n_hit`` counts the words inside any occurrence of a window, ``items`` the sorted
     ids of the items with an occurring window, ``spans`` the merged hit ranges as word
-    positions. ``n_near`` counts the windows with a proximity match. Items may repeat and be
+    positions. ``n_near`` counts the windows with a proximity match (0 without ``near``). Items may repeat and be
     empty; without windows every document has no hit.
     """
     if near_span >= GAP:
@@ -188,7 +189,7 @@ def search(
     matched = (
         asked.groupBy("asked_segment")
         .cogroup(needed.unionByName(directory).groupBy("segment"))
-        .applyInArrow(_matcher(near_words, near_span), schema)
+        .applyInArrow(_matcher(near_words if near else 0, near_span), schema)
     )
     matched = written(matched, "matches")
     found = (
@@ -223,7 +224,7 @@ def _matcher(near_words: int, near_span: int):
                 )
             return decoded[term]
 
-        hits, owners, near = [], [], np.zeros(len(n_words), np.int64)
+        hits, owners, n_near = [], [], np.zeros(len(n_words), np.int64)
         wins = asked["win"].to_pylist() if asked.num_rows else []
         ranked = asked["ranked"].to_pylist() if asked.num_rows else []
         for number, query in enumerate(ranked):
@@ -241,7 +242,7 @@ def _matcher(near_words: int, near_span: int):
                 hits.append((start[:, None] + np.arange(len(query))).ravel())
                 owners.append((np.unique(_owner(bounds, start)), number))
             distinct = list(dict.fromkeys(x["term"] for x in query))[:near_words]
-            spot = places(distinct[0])
+            spot = places(distinct[0]) if distinct else np.zeros(0, np.int64)
             for term in distinct[1:]:
                 if not len(spot):
                     break
@@ -252,7 +253,7 @@ def _matcher(near_words: int, near_span: int):
                 close[ok] = there[i[ok]] <= spot[ok] + near_span
                 spot = spot[close]
             if len(spot):
-                near[np.unique(_owner(bounds, spot))] += 1
+                n_near[np.unique(_owner(bounds, spot))] += 1
 
         n_hit = np.zeros(len(n_words), np.int64)
         held: list[list[bytes]] = [[] for _ in n_words]
@@ -277,7 +278,7 @@ def _matcher(near_words: int, near_span: int):
                 "id": ids,
                 "n_words": pa.array(n_words),
                 "n_hit": pa.array(n_hit.astype(np.int64)),
-                "n_near": pa.array(near),
+                "n_near": pa.array(n_near),
                 "wins": pa.array(held, pa.list_(pa.binary())),
                 "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
             }
