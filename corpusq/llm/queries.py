@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import blobs, decontaminate, jaccard, linefreq, pieces, pseudonyms, ranking, sharding, spans, toxicity
+from corpusq.llm import blobs, decontaminate, jaccard, linefreq, oracles, pieces, pseudonyms, ranking, sharding, spans, toxicity
 from corpusq.llm.common import held_out, scan_documents, scratch_path
 
 SHARDS = 24
@@ -143,4 +143,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
