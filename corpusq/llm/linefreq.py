@@ -4,10 +4,11 @@ Lines are normalised (lower case, digits as 0, white space runs as one space) an
 hashed. A line that stands in many different documents of one host is boilerplate
 and is removed; a document of which little is left is rejected.
 
-Documents are told apart by the rest of their content: the least hash among the
-other lines of the document. A page and its copies or near copies so count as one
-document, and a much-copied clean text is not taken for boilerplate. Line hashes
-and document marks are shuffled, texts are not, unless the cleaned text is asked for.
+Equal texts are one document. Documents are further told apart by a mark of the rest of
+their content, the least hash among their other lines: near copies mostly share it. A
+line counts once per mark, and one whose texts share few marks is a copied text, not
+boilerplate. Line hashes and marks are shuffled, texts are not, unless the cleaned text
+is asked for.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_DOCS = 20
 HOST_SHARE = 0.01
 MIN_LEFT = 0.3
+#: Least share of different marks among the texts with a line; near copies stay well below it.
+VARIETY = 0.5
 #: Up to so many frequent lines (16 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LINES = 200_000
 
@@ -163,8 +166,8 @@ def frequent_lines(
 ) -> DataFrame:
     """Keys of ``lines`` above the limit: in more than ``min_docs`` documents and ``host_share`` of their host's.
 
-    Distinct marks are counted in two steps, both combined before their shuffle,
-    so a line of every document meets no task as more than one row per mark.
+    Texts are counted per mark, then marks per line. Every step is combined before its
+    shuffle, so the last one gets a line of every document as one row per task.
     """
     hosts = (
         docs.select(F.xxhash64(F.coalesce(F.col(host), F.lit(""))).alias("_host"), F.xxhash64(text).alias("_tx"))
@@ -173,11 +176,13 @@ def frequent_lines(
         .agg(F.count(F.lit(1)).alias("_host_docs"))
     )
     counts = (
-        lines.select("_host", "_key1", "_key2", "mark")
+        lines.select("_host", "_key1", "_key2", "mark", "_tx")
         .distinct()
+        .groupBy("_host", "_key1", "_key2", "mark")
+        .agg(F.count(F.lit(1)).alias("_n"))
         .groupBy("_host", "_key1", "_key2")
-        .agg(F.count(F.lit(1)).alias("_docs"))
-        .filter(F.col("_docs") > min_docs)
+        .agg(F.count(F.lit(1)).alias("_docs"), F.sum("_n").alias("_texts"))
+        .filter((F.col("_docs") > min_docs) & (F.col("_docs") >= VARIETY * F.col("_texts")))
     )
     above = counts.join(hosts, "_host").filter(F.col("_docs") > host_share * F.col("_host_docs"))
     return above.select("_key1", "_key2")
@@ -197,10 +202,12 @@ def apply_line_limits(
     ``clean_text`` is the text without its frequent lines (NULL stays NULL). ``kept``
     is false for a document that fails the base rules or keeps fewer than
     ``min_left`` of its words. A NULL host is the host ''. Rows that repeat are each
-    judged alike and all returned; NULL ids are allowed; an empty table gives an empty one.
+    judged alike and all returned; NULL ids are allowed; an empty table gives an empty one. Input
+    columns with the name of an added one are replaced.
     """
     names = ["n_words", "n_repeat_words", "word_chars", "n_symbols", "n_dup_lines", "base_failed"]
-    own = docs.columns
+    added = [*names, "clean_text", "n_removed_lines", "n_removed_words", "kept"]
+    own = [c for c in docs.columns if c not in added]
     # The input goes into one struct, so extra columns never clash with the working ones.
     rows = docs.select(F.struct(*[docs[c] for c in own]).alias("_doc")).select(
         "_doc",
@@ -241,7 +248,7 @@ def apply_line_limits(
     clean = F.when(F.col("_places").isNull(), F.col("_text")).otherwise(let(F.split("_text", "\n"), without))
     left_enough = F.col("n_words") - gone >= min_left * F.col("n_words")
     return joined.select(
-        *[F.col("_doc")[c].alias(c) for c in own if c not in names],
+        *[F.col("_doc")[c].alias(c) for c in own],
         *names,
         clean.alias("clean_text"),
         F.coalesce(F.size("_places"), F.lit(0)).cast("long").alias("n_removed_lines"),

@@ -34,9 +34,10 @@ WITH d AS (
 ), hosts AS (
   SELECT host, count(DISTINCT text) + max((text IS NULL)::int) AS n FROM d GROUP BY host
 ), frequent AS (
-  SELECT host, h FROM lines JOIN marks USING (doc_id) JOIN hosts USING (host) GROUP BY host, h
-  HAVING count(DISTINCT CASE WHEN h = a THEN b ELSE a END) > {linefreq.MIN_DOCS}
-     AND count(DISTINCT CASE WHEN h = a THEN b ELSE a END) > {linefreq.HOST_SHARE}::DOUBLE * max(n)
+  SELECT host, h FROM (
+    SELECT host, h, any_value(n) AS n, count(DISTINCT CASE WHEN h = a THEN b ELSE a END) AS docs, count(DISTINCT t) AS texts
+    FROM lines JOIN marks USING (doc_id) JOIN hosts USING (host) JOIN (SELECT doc_id, t FROM d) USING (doc_id) GROUP BY host, h)
+  WHERE docs > {linefreq.MIN_DOCS} AND docs > {linefreq.HOST_SHARE}::DOUBLE * n AND docs >= {linefreq.VARIETY}::DOUBLE * texts
 ), gone AS (
   SELECT doc_id, count(*) AS n, sum(words) AS words FROM lines JOIN frequent USING (host, h) GROUP BY doc_id
 ), m AS (

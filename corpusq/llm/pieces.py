@@ -207,13 +207,13 @@ def compatible(model: PieceModel, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     while len(live):
         clash = _pair_rank(model, a, b) < limit
         ok[live[clash]] = False
-        ra = np.where(a >= 0, model.rank[a], -1)
-        rb = np.where(b >= 0, model.rank[b], -1)
+        ra = np.where(a >= 0, model.rank[np.maximum(a, 0)], -1)
+        rb = np.where(b >= 0, model.rank[np.maximum(b, 0)], -1)
         go = ~clash & ((ra >= 0) | (rb >= 0))
         live, a, b, ra, rb = live[go], a[go], b[go], ra[go], rb[go]
         undo_a = ra > rb
         limit = np.where(undo_a, ra, rb + 1)
-        a, b = np.where(undo_a, model.right[a], a), np.where(undo_a, b, model.left[b])
+        a, b = np.where(undo_a, model.right[np.maximum(a, 0)], a), np.where(undo_a, b, model.left[np.maximum(b, 0)])
     return ok
 
 
@@ -288,7 +288,7 @@ def _viterbi(model: PieceModel, chars: np.ndarray) -> tuple[np.ndarray, np.ndarr
                     open_, found = open_[fits], found[fits]
                 total = np.zeros(len(open_))
             else:
-                total = best[start, open_] + np.where(found >= 0, model.scores[found], worst)
+                total = best[start, open_] + np.where(found >= 0, model.scores[np.maximum(found, 0)], worst)
             better = total > best[end, open_]
             best[end, open_[better]] = total[better]
             piece[end, open_[better]] = found[better]
