@@ -28,7 +28,7 @@ def _row_key() -> F.Column:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Frequent lines are cut out; documents that fail the base rules or are depleted go."""
-    judged = linefreq.apply_line_limits(docs).filter("kept")
+    judged = linefreq.apply_line_limits(docs.select(*COLUMNS)).filter("kept")
     return _sized(judged.withColumn("text", F.col("clean_text")))
 
 
@@ -61,7 +61,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    found = blobs.scan_versions(docs, scratch_path(spark, "ledger"))
+    found = blobs.scan_versions(docs.select(*COLUMNS), scratch_path(spark, "ledger"))
     return _sized(blobs.redact(found))
 
 
