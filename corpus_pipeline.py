@@ -28,7 +28,8 @@ def _row_key() -> F.Column:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Frequent lines are cut out; documents that fail the base rules or are depleted go."""
-    judged = linefreq.apply_line_limits(docs.select(*COLUMNS)).filter("kept")
+    docs = docs.select(*COLUMNS)
+    judged = linefreq.apply_line_limits(docs).filter("kept")
     return _sized(judged.withColumn("text", F.col("clean_text")))
 
 
@@ -37,6 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document without words is a class of its own and stays. Without any id in a class one of its rows stays.
     """
+    docs = docs.select(*COLUMNS)
     classes = jaccard.near_duplicates(docs.select(_row_key().alias("key"), "text"), "key")
     ids = docs.select(_row_key().alias("key"), "doc_id").distinct()
     least = (
@@ -53,6 +55,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
+    docs = docs.select(*COLUMNS)
     index = decontaminate.build_index(docs.select(_row_key().alias("key"), "text"), "key")
     windows = decontaminate.item_windows(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     hit = decontaminate.search(index, windows, near=False).filter("n_hit > 0").select(F.col("id").alias("hit")).distinct()
@@ -61,7 +64,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    found = blobs.scan_versions(docs.select(*COLUMNS), scratch_path(spark, "ledger"))
+    docs = docs.select(*COLUMNS)
+    found = blobs.scan_versions(docs, scratch_path(spark, "ledger"))
     return _sized(blobs.redact(found))
 
 
