@@ -3,23 +3,19 @@
 from __future__ import annotations
 
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusq.functions.text import let
 
-# Entities decoded in page text; the ampersand must come last.
-ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
-}
+# The named entities of HTML 4 and the apostrophe; a no-break space becomes a plain one.
+ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+#: Levels of tables in tables that ``table_rows`` looks through.
+NESTED = 4
 
 # White space at the ends of a field, no-break space included (Java's trim keeps it).
 _EDGES = "^[\\s ]+|[\\s ]+$"
@@ -29,10 +25,30 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, _EDGES, "")
 
 
+def _decoded(entity: Column) -> Column:
+    """The sign of one entity, given without ``&`` and ``;``; NULL if it is unknown."""
+    number = (
+        F.when(F.lower(F.substring(entity, 2, 1)) == "x", F.conv(F.substring(entity, 3, 8), 16, 10))
+        .when(F.startswith(entity, F.lit("#")), F.substring(entity, 2, 8))
+        .cast("int")
+    )
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    sign = F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")
+    named = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    return F.when(valid, F.when(number == 160, F.lit(" ")).otherwise(sign)).otherwise(F.try_element_at(named, entity))
+
+
 def unescape(c: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Named and numbered entities decoded in one pass; an unknown one stays as it is."""
+
+    def parts(text: Column) -> Column:
+        between = F.split(text, _ENTITY)
+        found = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(1))
+        signs = F.transform(found, lambda e: F.coalesce(_decoded(e), F.concat(F.lit("&"), e, F.lit(";"))))
+        both = F.zip_with(between, signs, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+        return F.when(text.contains("&"), F.array_join(both, "")).otherwise(text)
+
+    return let(c, parts)
 
 
 def escape(c: Column) -> Column:
@@ -66,8 +82,14 @@ def last_colon_segment(html: Column, label: str, tag: str = "p") -> Column:
     return strip(F.substring_index(first_containing(html, label, tag), ":", -1))
 
 
+def _open_tag(tag: str, element_id: str) -> str:
+    """Pattern of an opening tag whose attribute ``id``, quoted or not, has the value; case-insensitive like the rest."""
+    value = re.escape(element_id)
+    return rf"""<{tag}(?=\s)(?:[^>]*?\s)?id\s*=\s*(?:"{value}"|'{value}'|{value}(?=[\s>/]))[^>]*>"""
+
+
 def element_by_id(html: Column, element_id: str, tag: str = "span") -> Column:
-    pattern = rf"""(?is)<{tag}\s[^>]*?\bid\s*=\s*["']{re.escape(element_id)}["'][^>]*>(.*?)</{tag}>"""
+    pattern = rf"(?is){_open_tag(tag, element_id)}(.*?)</{tag}>"
     return _empty_to_null(strip(inner_text(F.regexp_extract(html, pattern, 1))))
 
 
@@ -88,12 +110,14 @@ def links(html: Column) -> Column:
 def table_rows(html: Column, table_id: str) -> Column:
     """Rows of the first table with the id, header first: ``array<array<string>>``.
 
-    A page without the table gives an empty array, and an empty cell is NULL.
+    A page without the table gives an empty array, and an empty cell is NULL. Tables inside the
+    table's cells are left out, up to ``NESTED`` levels of them.
     """
-    pattern = rf"""(?is)<table\s[^>]*?\bid\s*=\s*["']{re.escape(table_id)}["'][^>]*>(.*?)</table>"""
-    rows = F.regexp_extract_all(
-        F.regexp_extract(html, pattern, 1), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1)
-    )
+    after = F.regexp_extract(html, rf"(?is){_open_tag('table', table_id)}(.*)$", 1)
+    for _ in range(NESTED):
+        after = F.regexp_replace(after, r"(?is)<table\b(?:(?!</?table\b).)*+</table\s*>", "")
+    body = F.regexp_extract(after, r"(?is)^(.*?)</table\s*>", 1)
+    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
     return F.transform(
         rows,
         lambda r: F.transform(

@@ -53,11 +53,8 @@ def topk_lsh(
     """``(query_id, id, score, rank)`` over pairs that share a bucket in at least one table.
 
     Buckets without a query leave the shuffle, a bucket that holds a large share
-    of the rows is cut into blocks, and each block yields k rows per query. The
-    bucket sizes are ``tables · 2^bits`` rows, which bounds their broadcast.
+    of the rows is cut into blocks, and each block yields k rows per query.
     """
-    if tables << bits > 1 << 17:
-        raise ValueError("tables * 2**bits exceeds the broadcast bound 131072")
     one_blas_thread(index.sparkSession)
     hashed = signatures(dim, tables, bits, seed)
 

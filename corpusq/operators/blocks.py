@@ -45,8 +45,16 @@ class DenseBlock:
     def read(cls, ids: pa.Array, payload: list[pa.Array]) -> DenseBlock:
         lists = payload[0]
         n = len(lists)
+        lengths = _numpy(lists.value_lengths())
+        if n and (odd := np.flatnonzero(lengths != lengths[0])).size:
+            at = int(odd[0])
+            raise ValueError(
+                f"vectors differ in length: {lengths[0]} for {ids[0].as_py()!r}, {lengths[at]} for {ids[at].as_py()!r}"
+            )
         flat = _numpy(lists.flatten()).astype(np.float64)
         vectors = flat.reshape(n, -1) if n else np.zeros((0, 0))
+        # A vector with NaN, NULL or infinite values has no direction: it is scored as a zero vector.
+        vectors[~np.isfinite(vectors).all(axis=1)] = 0
         squares = np.zeros(n)
         for d in range(vectors.shape[1]):
             squares += vectors[:, d] * vectors[:, d]
@@ -108,6 +116,11 @@ class DenseQueries:
 
     def __call__(self, index: DenseBlock):
         """The matrix product finds candidates; a fixed-order sum then scores them exactly."""
+        own, other = self.block.vectors.shape[1], index.vectors.shape[1]
+        if len(index) and len(self.block) and own != other:
+            raise ValueError(
+                f"vectors differ in length: {own} for query {self.block.ids[0]!r}, {other} for row {index.ids[0]!r}"
+            )
         return self._euclidean(index) if self.metric == "l2" else self._cosine(index)
 
     def _cosine(self, index: DenseBlock):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -14,7 +15,7 @@ from corpusq.functions import terms as V
 from corpusq.functions import text as X
 from corpusq.operators import ordered as O
 from corpusq.operators import search as S
-from corpusq.operators.infer import LeadScorer, Scorer, batch_score
+from corpusq.operators.infer import Scorer, batch_score
 from corpusq.operators.joins import lookup_join
 from corpusq.sources.materialise import materialise
 
@@ -89,6 +90,11 @@ def history_summary(
     )
 
 
+def summary_step(summarise: Callable[[str, str, str], str], summary: str, said: str, answer: str) -> str:
+    """One step of a running summary, in batch and in streams: the summariser's text after its last marker."""
+    return summarise(summary, said, answer).split(X.SUMMARY_MARKER)[-1]
+
+
 def fold_summary(
     df: DataFrame,
     factory: Callable[[], Callable[[str, str, str], str]],
@@ -110,7 +116,7 @@ def fold_summary(
             for c, said, answer in zip(pdf[conv], pdf["input"], pdf["output"]):
                 if c != current:
                     current, summary = c, ""
-                summary = summarise(summary, said, answer).split(X.SUMMARY_MARKER)[-1]
+                summary = summary_step(summarise, summary, said, answer)
                 out.append(summary)
             yield pdf[[conv, turn]].assign(summary=out)
 
@@ -128,8 +134,10 @@ def turn_keywords(
     Common words are hot keys of the idf join; ``lookup_join`` keeps them out of
     the shuffle.
     """
-    total = df.count()
-    terms = df.select(conv, turn, F.inline(V.word_counts(F.col(text))))
+    # Words are extracted once; the document frequencies and the join read the written rows.
+    terms = materialise(df.select(conv, turn, F.inline_outer(V.word_counts(F.col(text)))))
+    total = terms.select(conv, turn).distinct().count()
+    terms = terms.filter("term IS NOT NULL")
     idf = (
         terms.groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
@@ -155,44 +163,58 @@ def chat_recommend(
     doc_id: str,
     doc_text: str,
     requests: DataFrame | None = None,
+    history: DataFrame | None = None,
     k: int = 3,
     threshold: float = 0.70,
     words: int = 100,
-    keywords: int = 10,
-    factory: Callable[[], Scorer] = LeadScorer,
+    keywords: int | None = None,
+    filters: Mapping[str, Any] | None = None,
+    encode: Callable[[DataFrame, str, str], DataFrame] | None = None,
+    factory: Callable[[], Scorer] | None = None,
     fallback: str = "no matching report",
     conv: str = "conv_id",
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
 ) -> DataFrame:
-    """One answer per user turn: keywords, gated search, prompt with history, score.
+    """One answer per user turn: gated search, prompt with history and report, score.
 
-    ``requests`` replaces the user turns' own text, e.g. by ``accumulate_query``.
-    All conversations run in one plan.
+    ``requests`` replaces the user turns' own text, e.g. by ``accumulate_query``. The whole request is searched
+    for, or with ``keywords`` its words of highest tf · idf. The history is all earlier turns, or the column ``summary`` of
+    ``history`` (``history_summary``, ``fold_summary``); a turn that it lacks has none. ``filters`` choose documents before
+    the search. All conversations run in one plan.
     """
     if requests is None:
         requests = turns.filter(F.col(role) == USER).select(conv, turn, F.col(text).alias("request"))
-    found = turn_keywords(requests, keywords, conv, turn, "request")
+    if keywords is None:
+        found = requests.select(conv, turn, F.col("request").alias("keywords"))
+    else:
+        found = turn_keywords(requests, keywords, conv, turn, "request")
     ask_id = X.composite_id(F.col(conv), F.col(turn)).alias("ask_id")
     questions = materialise(found.select(conv, turn, ask_id, "keywords"))
     hits = S.text_search(
-        documents, questions, k, id_col=doc_id, text=doc_text, query_id="ask_id", query_text="keywords"
-    )
+        documents, questions, k, id_col=doc_id, text=doc_text, query_id="ask_id", query_text="keywords",
+        filters=filters, encode=encode,
+    )
     top = hits.filter((F.col("rank") == 1) & (F.col("score") > threshold))
     reports = S.attach_columns(top, documents, doc_id, [doc_text]).select(
         "ask_id", doc_id, "score", F.col(doc_text).alias("_report")
     )
+    if history is None:
+        buffered = history_buffer(turns.select(conv, turn, role, text), conv, turn, role, text)
+        history = buffered.select(conv, turn, F.col("history").alias("summary"))
     asked = (
         requests.select(conv, turn)
-        .join(history_summary(turns, conv=conv, turn=turn, role=role, text=text), [conv, turn])
+        .join(history.select(conv, turn, "summary"), [conv, turn], "left")
         .join(questions, [conv, turn], "left")
         .join(reports, "ask_id", "left")
     )
     report = F.coalesce(F.col("_report"), F.lit(fallback))
     prompt = P.render(P.ANSWER_TEMPLATE, {"history": F.col("summary"), "report": report})
     scored = batch_score(
-        asked.withColumn("prompt", prompt).withColumn("max_new_tokens", F.lit(words).cast("long")), factory
+        asked.withColumn("prompt", prompt).withColumn("max_new_tokens", F.lit(words).cast("long")),
+        factory,
+        content=report,
     )
     return scored.select(
         conv,
@@ -201,5 +223,6 @@ def chat_recommend(
         doc_id,
         "score",
         F.col("score").isNotNull().alias("matched"),
+        "prompt",
         F.col("model_output").alias("answer"),
     )

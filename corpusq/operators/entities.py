@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from corpusq.functions import html as H
 from corpusq.functions import prompts as P
 from corpusq.functions import text as X
-from corpusq.operators.infer import LeadScorer, Scorer, batch_score
+from corpusq.functions.text import let
+from corpusq.operators.infer import Scorer, batch_score
 
 # What a page calls its fields.
 POSITION_LABEL = "Position"
@@ -31,26 +32,38 @@ def entity_fields(df: DataFrame, as_of: Column, html: str = "html") -> DataFrame
 
 
 def page_table(df: DataFrame, key: str, table_id: str, columns: Sequence[str], html: str = "html") -> DataFrame:
-    """``(key, row_idx, *columns)``: the body rows of the first table with the id, by position."""
-    cells = F.col("_cells")
+    """``(key, row_idx, *columns)``: the body rows of the first table with the id.
+
+    Cells are found by the names in the header row, wherever those stand; a column
+    that the header lacks is NULL.
+    """
+    rows = H.table_rows(F.col(html), table_id)
     return (
-        df.select(key, F.posexplode(H.table_rows(F.col(html), table_id)).alias("_pos", "_cells"))
-        .filter("_pos > 0")
-        .select(
-            key,
-            (F.col("_pos") - 1).alias("row_idx"),
-            *[F.get(cells, i).alias(name) for i, name in enumerate(columns)],
-        )
+        df.select(key, F.posexplode(let(rows, lambda r: named_cells(r, columns))).alias("row_idx", "_cells"))
+        .select(key, "row_idx", *[F.get("_cells", i).alias(name) for i, name in enumerate(columns)])
     )
 
 
+def named_cells(rows: Column, columns: Sequence[str]) -> Column:
+    """The body rows with their cells in the order of ``columns``, looked up in the header row."""
+    head = F.get(rows, 0)
+    at = F.array(*[F.array_position(F.transform(head, lambda c: F.coalesce(c, F.lit(""))), F.lit(n)).cast("int") for n in columns])
+
+    def ordered(places: Column) -> Column:
+        cells = lambda r: F.transform(places, lambda p: F.when(p > 0, F.get(r, p - 1)))
+        return F.transform(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), cells)
+
+    return F.when(F.size(rows) > 0, let(at, ordered)).otherwise(F.array().cast("array<array<string>>"))
+
+
 def drop_missing(df: DataFrame, columns: Sequence[str] = (REQUIRED_COLUMN,)) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
 def markdown_line(cells: Sequence[Column]) -> Column:
-    """One table row, ``| a | b |``; a NULL cell is empty."""
-    joined = F.concat_ws(" | ", *[F.coalesce(c.cast("string"), F.lit("")) for c in cells])
+    """One table row, ``| a | b |``; a NULL cell is empty, and a pipe in a cell is escaped."""
+    shown = [F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit("|"), F.lit("\\|")) for c in cells]
+    joined = F.concat_ws(" | ", *shown)
     return F.concat(F.lit("| "), joined, F.lit(" |"))
 
 
@@ -85,11 +98,15 @@ def rows_to_markdown(
 def table_to_markdown(rows: Column, columns: Sequence[str]) -> Column:
     """As ``rows_to_markdown`` for a table that is still an array in its page's row.
 
-    Rows whose first cell is missing are left out; the header row comes first.
+    Cells are found by the header's names. Rows whose first column is missing are left out. A table without
+    rows, and a page without the table, give NULL, as they give no row there.
     """
-    body = F.filter(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), lambda r: F.get(r, 0).isNotNull())
-    lines = F.transform(body, lambda r: markdown_line([F.get(r, i) for i in range(len(columns))]))
-    return F.concat_ws("\n", F.lit(markdown_head(columns)), F.array_join(lines, "\n"))
+
+    def joined(body: Column) -> Column:
+        lines = F.transform(body, lambda r: markdown_line([F.get(r, i) for i in range(len(columns))]))
+        return F.when(F.size(body) > 0, F.concat_ws("\n", F.lit(markdown_head(columns)), F.array_join(lines, "\n")))
+
+    return let(let(rows, lambda r: F.filter(named_cells(r, columns), lambda c: F.get(c, 0).isNotNull())), joined)
 
 
 def entity_reports(
@@ -101,7 +118,7 @@ def entity_reports(
     as_of: Column,
     html: str = "html",
     max_new_tokens: int = 100,
-    factory: Callable[[], Scorer] = LeadScorer,
+    factory: Callable[[], Scorer] | None = None,
 ) -> DataFrame:
     """Fields, statistics and page text into one prompt per entity, scored in batches."""
     ready = entity_fields(df, as_of, html).withColumns(
@@ -115,4 +132,4 @@ def entity_reports(
     asked = ready.withColumn("prompt", prompt).withColumn(
         "max_new_tokens", F.lit(max_new_tokens).cast("long")
     )
-    return batch_score(asked, factory, out="report")
+    return batch_score(asked, factory, out="report", content=F.col("text"))

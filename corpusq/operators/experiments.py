@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusq.functions import prompts as P
-from corpusq.operators.infer import LeadScorer, Scorer, batch_score
+from corpusq.operators.infer import Scorer, batch_score
 
 # The experiment grid; temperatures as text name the runs.
 GRID_STYLES = ("DIRECT", "PERSUASIVE")
@@ -38,7 +38,7 @@ def run_experiments(
     retrieved: DataFrame,
     report: str,
     group: str,
-    factory: Callable[[], Scorer] = LeadScorer,
+    factory: Callable[[], Scorer] | None = None,
     fallback: str = "no matching report",
 ) -> DataFrame:
     """Score the grid over questions that were retrieved once each.
@@ -48,13 +48,14 @@ def run_experiments(
     and becomes the run group; style and temperature name the run in it.
     """
     template = "Use this report. content: {report}"
-    prompt = P.render(template, {"report": F.coalesce(F.col(report), F.lit(fallback))})
+    content = F.coalesce(F.col(report), F.lit(fallback))
+    prompt = P.render(template, {"report": content})
     named = retrieved.withColumns({"run_group": F.col(group).cast("string"), "prompt": prompt})
     asked = experiment_grid(named)
     requests = asked.withColumn("system_prompt", P.style_prompt(F.col("prompt_style"))).withColumn(
         "max_new_tokens", F.lit(MAX_NEW_TOKENS).cast("long")
     )
-    return batch_score(requests, factory)
+    return batch_score(requests, factory, content=content)
 
 
 def write_results(df: DataFrame, path: str) -> None:
@@ -63,5 +64,15 @@ def write_results(df: DataFrame, path: str) -> None:
 
 
 def compare_by_prompt(results: DataFrame, question: str, runs: Sequence[str]) -> DataFrame:
-    """One row per question and prompt with one output column per run."""
-    return results.groupBy(question, "prompt").pivot("run_name", list(runs)).agg(F.first("model_output"))
+    """One row per question and prompt with one output column per run.
+
+    A run that was repeated shows all its outputs, sorted, one per line. Prompts are grouped by
+    their digest, so that whole texts are no shuffle key.
+    """
+
+    def cell(run: str) -> Column:
+        own = F.collect_list(F.when(F.col("run_name") == run, F.col("model_output")))
+        return F.when(F.size(own) > 0, F.array_join(F.sort_array(own), "\n")).alias(run)
+
+    grouped = results.withColumn("_digest", F.sha2("prompt", 256)).groupBy(question, "_digest")
+    return grouped.agg(F.first("prompt").alias("prompt"), *map(cell, runs)).drop("_digest")

@@ -42,6 +42,18 @@ def embed_hashed(df: DataFrame, text: str, dim: int = 64, out: str = "embedding"
     ).drop("_counts")
 
 
+Encode = Callable[[DataFrame, str, str], DataFrame]
+
+
+def encoded_by(factory: Callable[[], Encoder]) -> Encode:
+    """An injected sentence encoder in the form of ``embed_hashed``."""
+    return lambda df, text, out: df.withColumn(out, encoder_udf(factory)(F.col(text)))
+
+
+def hashed_encoder(dim: int = 64) -> Encode:
+    return lambda df, text, out: embed_hashed(df, text, dim, out)
+
+
 def build_index(
     df: DataFrame,
     key: str,
@@ -49,22 +61,33 @@ def build_index(
     meta: Sequence[str] = (),
     buckets: int = V.DEFAULT_BUCKETS,
     check_key: bool = True,
+    encode: Encode | None = None,
 ) -> DataFrame:
-    """Key, text, metadata, term vector, squared norm and a digest of the source columns."""
+    """Key, text, metadata, vector and a digest of the source columns.
+
+    The vector is ``vector`` (hashed terms) with its squared norm ``norm2``, or with ``encode``
+    the dense ``embedding``.
+    """
     if check_key:
         assert_unique(df, key)
     columns = [key, text, *meta]
-    return with_term_vector(df.select(*columns), text, buckets).withColumn("digest", row_digest(columns[1:]))
+    rows = df.select(*columns)
+    vectors = with_term_vector(rows, text, buckets) if encode is None else encode(rows, text, "embedding")
+    return vectors.withColumn("digest", row_digest(columns[1:]))
 
 
 def changed_keys(index: DataFrame, source: DataFrame, key: str, text: str, meta: Sequence[str] = ()) -> DataFrame:
     """Keys of the source that are new or whose content differs from what the index holds.
 
-    Key and digest are all that meets the index. The keys are written once, since
+    Key and digest are all that meets the index. Of a small source the keys go to the
+    index, which is then only scanned: no row of it is shuffled. The changed keys are written once, since
     a sync reads them several times, and carry a broadcast hint while few.
     """
-    rows = source.select(key, row_digest([text, *meta]).alias("digest"))
-    keys = materialise(rows.join(index.select(key, "digest"), [key, "digest"], "left_anti").select(key))
+    rows = materialise(source.select(key, row_digest([text, *meta]).alias("digest")))
+    held = index.select(key, "digest")
+    if rows.count() <= MAX_BROADCAST_KEYS:
+        held = held.join(F.broadcast(rows.select(key)), key, "left_semi")
+    keys = materialise(rows.join(held, [key, "digest"], "left_anti").select(key))
     return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys
 
 
@@ -76,6 +99,7 @@ def sync_index(
     meta: Sequence[str] = (),
     deleted: DataFrame | None = None,
     buckets: int = V.DEFAULT_BUCKETS,
+    encode: Encode | None = None,
 ) -> DataFrame:
     """The index with changed source rows embedded and replaced, and deleted keys removed.
 
@@ -83,12 +107,17 @@ def sync_index(
     nor the source texts are shuffled.
     """
     keys = changed_keys(index, source, key, text, meta)
-    changed = build_index(source.join(keys, key, "left_semi"), key, text, meta, buckets, check_key=False)
+    changed = build_index(source.join(keys, key, "left_semi"), key, text, meta, buckets, False, encode)
     if deleted is not None:
-        index = index.join(deleted.select(key), key, "left_anti")
+        index = index.join(_few(deleted.select(key)), key, "left_anti")
     return index.join(keys, key, "left_anti").unionByName(changed)
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    keys = materialise(keys)
+    return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys
+
+
 def write_index(df: DataFrame, path: str, key: str, shards: int) -> None:
     """Parquet in ``shards`` folders by key hash, so that fetching rows by key reads few folders."""
     sharded = df.withColumn("shard", shard_of(F.col(key), shards))

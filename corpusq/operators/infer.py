@@ -15,7 +15,7 @@ from corpusq.functions import prompts as P
 from corpusq.functions.text import lead_words, let, normalise_label
 
 # The request a scorer receives, one row per call.
-REQUEST = ("prompt", "system_prompt", "temperature", "max_new_tokens")
+REQUEST = ("prompt", "system_prompt", "temperature", "max_new_tokens", "content")
 CONTENT_MARKER = "content: "
 
 
@@ -26,13 +26,20 @@ class Scorer(Protocol):
 
 
 class LeadScorer:
-    """The first ``max_new_tokens`` words of what follows the prompt's last content marker."""
+    """The first ``max_new_tokens`` words of the request's content; ``lead_answer`` for models' interface.
+
+    A request without ``content`` is answered from what follows its first marker, or from
+    the whole prompt. The template's own marker is the first as long as no filled-in text stands before it;
+    where one does, give ``content``.
+    """
 
     def __call__(self, requests: pd.DataFrame) -> pd.Series:
-        content = requests["prompt"].str.rsplit(CONTENT_MARKER, n=1).str[-1]
+        after = requests["prompt"].str.split(CONTENT_MARKER, n=1).str[-1]
+        content = requests["content"].fillna(after) if "content" in requests else after
         return pd.Series(
             [" ".join(c.split(" ")[: int(n)]) for c, n in zip(content, requests["max_new_tokens"])],
             index=requests.index,
+            dtype=object,
         )
 
 
@@ -63,16 +70,28 @@ def with_request_defaults(df: DataFrame, system_prompt: str = P.DEFAULT_SYSTEM_P
 
 
 def batch_score(
-    df: DataFrame, factory: Callable[[], Scorer] = LeadScorer, out: str = "model_output"
+    df: DataFrame,
+    factory: Callable[[], Scorer] | None = None,
+    out: str = "model_output",
+    content: Column | None = None,
 ) -> DataFrame:
-    """Score every row of a request frame. Only the request columns travel to Python."""
+    """Score every row of a request frame.
+
+    Without a ``factory`` the built-in scorer runs as a column expression. With one only the
+    request columns travel to Python. ``content`` is the text that the prompt is about.
+    """
     ready = with_request_defaults(df)
-    return ready.withColumn(out, scorer_udf(factory)(F.struct(*REQUEST)))
+    given = F.lit(None).cast("string") if content is None else content
+    if factory is None:
+        return ready.withColumn(out, lead_answer(F.col("prompt"), F.col("max_new_tokens"), given))
+    request = F.struct(*REQUEST[:-1], given.alias("content"))
+    return ready.withColumn(out, scorer_udf(factory)(request))
 
 
-def lead_answer(prompt: Column, max_new_tokens: Column | int) -> Column:
+def lead_answer(prompt: Column, max_new_tokens: Column | int, content: Column | None = None) -> Column:
     """``LeadScorer`` as a column expression, for plans that need no Python worker."""
-    return lead_words(F.substring_index(prompt, CONTENT_MARKER, -1), max_new_tokens)
+    after = F.array_join(F.slice(F.split(prompt, CONTENT_MARKER, 2), -1, 1), "")
+    return lead_words(after if content is None else F.coalesce(content, after), max_new_tokens)
 
 
 def classify(
@@ -110,6 +129,7 @@ def classify(
             F.lit(P.DEFAULT_SYSTEM_PROMPT).alias("system_prompt"),
             F.lit(P.DEFAULT_TEMPERATURE).alias("temperature"),
             F.lit(1).cast("long").alias("max_new_tokens"),
+            F.col(text).alias("content"),
         )
         answered = asked.withColumn("_raw", scorer_udf(factory)(request)).drop("_prompt")
     known = [lab.lower() for lab in labels]

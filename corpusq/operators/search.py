@@ -9,7 +9,7 @@ side has to fit anywhere; the result is the same.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 import pyarrow as pa
@@ -62,8 +62,9 @@ def _hits_schema(index: DataFrame, queries: DataFrame) -> T.StructType:
 
 
 def _read(kind: str, rows: pa.Table | pa.RecordBatch, names: Sequence[str]):
-    if rows["_vector"].null_count:
-        rows = rows.filter(rows["_vector"].is_valid())
+    for name in ("_vector", names[0]):  # a row without a vector or an id cannot be a hit
+        if rows[name].null_count:
+            rows = rows.filter(rows[name].is_valid())
     columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (rows[n] for n in names)]
     return _BLOCKS[kind].read(columns[0], columns[1:])
 
@@ -111,7 +112,7 @@ def _block_topk(
         partitions = min(max(partitions, 2 * ni * nq), MAX_BLOCK_TASKS)
 
     def blocks(df: DataFrame, key: str, own: tuple[str, str], other: tuple[str, str]) -> DataFrame:
-        sized = df.join(F.broadcast(sizes), "_part") if part else df.withColumns(counts)
+        sized = df.join(sizes, "_part") if part else df.withColumns(counts)
         return (
             sized.withColumn(own[0], F.pmod(F.xxhash64(F.col(key)), F.col(own[1])).cast("int"))
             .withColumn(other[0], F.explode(F.sequence(F.lit(0), F.col(other[1]) - 1)))
@@ -253,12 +254,35 @@ def text_search(
     query_id: str,
     query_text: str,
     buckets: int = V.DEFAULT_BUCKETS,
+    filters: Mapping[str, Any] | None = None,
+    columns: Sequence[str] = (),
+    encode: Callable[[DataFrame, str, str], DataFrame] | None = None,
     **options: Any,
 ) -> DataFrame:
-    """Embed documents and questions the same way and search, in one pass over the documents."""
-    index = with_term_vector(documents.select(id_col, text), text, buckets)
-    queries = with_term_vector(questions.select(query_id, query_text), query_text, buckets)
-    return topk_sparse(index, queries, k, id_col=id_col, query_id=query_id, **options)
+    """Embed documents and questions the same way and search, in one pass over the documents.
+
+    ``filters`` name any column of the documents and are applied before a vector is built, so they reach the scan.
+    ``columns`` of the documents are returned with the hits. Vectors are hashed terms, or what
+    ``encode(df, text, out)`` adds (``index.embed_hashed``, ``index.encoded_by``).
+    """
+    if filters:
+        documents = documents.filter(compile_filter(filters, documents.columns))
+    rows, asked = documents.select(id_col, text), questions.select(query_id, query_text)
+    if encode is not None:
+        hits = topk_dense(
+            encode(rows, text, "_document_vector"),
+            encode(asked, query_text, "_query_vector"),
+            k,
+            id_col=id_col,
+            vector="_document_vector",
+            query_id=query_id,
+            query_vector="_query_vector",
+            **options,
+        )
+    else:
+        index = with_term_vector(rows, text, buckets)
+        hits = topk_sparse(index, with_term_vector(asked, query_text, buckets), k, id_col=id_col, query_id=query_id, **options)
+    return attach_columns(hits, documents, id_col, columns) if columns else hits
 
 
 def _terms() -> Column:
@@ -273,28 +297,32 @@ def keyword_search(
     *,
     id_col: str,
     query_id: str,
-    buckets: int = V.DEFAULT_BUCKETS,
     **options: Any,
 ) -> DataFrame:
     """Sum of ``tf · idf`` over the distinct query terms; score in units of one.
 
     ``idf`` is rounded to six digits and carried as an integer, so sums are exact.
-    The document frequencies number at most ``buckets`` rows, which bounds the
-    broadcast; the hot terms are pre-aggregated in each task.
+    Only the terms that a query asks for are counted; they are pre-aggregated in each
+    task, and the optimizer broadcasts what turns out to be small. The row count comes
+    from the same pass, as the term -1 that every row holds.
     """
-    if buckets > V.DEFAULT_BUCKETS:
-        raise ValueError(f"{buckets} buckets exceed the broadcast bound {V.DEFAULT_BUCKETS}")
-    total = index.count()
-    frequency = (
-        index.select(F.explode(_terms()).alias("term"))
+    asked_terms = queries.select(query_id, F.explode(_terms()).alias("term"))
+    every_row = F.lit(-1).cast("long")
+    wanted = asked_terms.select("term").distinct().unionByName(
+        asked_terms.sparkSession.range(1).select(every_row.alias("term"))
+    )
+    counted = materialise(
+        index.select(F.explode(F.concat(F.array(every_row), _terms())).alias("term"))
+        .join(wanted, "term", "left_semi")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
-        .withColumn("idf", F.round(F.log((1 + F.lit(total)) / (1 + F.col("df"))) * 1000000).cast("long"))
     )
+    total = counted.filter("term = -1").agg(F.coalesce(F.max("df"), F.lit(0))).first()[0]
+    idf = F.round(F.log((1 + F.lit(total)) / (1 + F.col("df"))) * 1000000).cast("long")
+    frequency = counted.filter("term >= 0").withColumn("idf", idf)
     # A query's terms are one row's content, so regrouping them is bounded by its text.
     weighted = (
-        queries.select(query_id, F.explode(_terms()).alias("term"))
-        .join(F.broadcast(frequency), "term")
+        asked_terms.join(frequency, "term")
         .groupBy(query_id)
         .agg(F.sort_array(F.collect_list(F.struct("term", F.col("idf").alias("tf")))).alias("vector"))
     )

@@ -7,7 +7,6 @@ import re
 from corpusq.functions import prompts as P
 from corpusq.functions import terms as V
 from corpusq.functions import text as X
-from corpusq.functions.html import ENTITIES
 from corpusq.operators import experiments
 from corpusq.operators.approximate import random_planes
 from corpusq.plans import queries as Q
@@ -43,7 +42,8 @@ def lead(expr: str, n: int | str) -> str:
 
 
 def content(expr: str) -> str:
-    return f"(string_split({expr}, 'content: '))[-1]"
+    """What follows the first marker, or all."""
+    return f"(CASE WHEN contains({expr}, 'content: ') THEN substr({expr}, strpos({expr}, 'content: ') + 9) ELSE {expr} END)"
 
 
 def bucket(word: str, buckets: int) -> str:
@@ -54,9 +54,13 @@ def strip(expr: str) -> str:
     return rf"regexp_replace({expr}, '^[\s\x{{00a0}}]+|[\s\x{{00a0}}]+$', '', 'g')"
 
 
+#: The entities that the fixture pages hold.
+PAGE_ENTITIES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "#39": "'", "copy": "©", "middot": "·", "amp": "&"}
+
+
 def unescape(expr: str) -> str:
-    for entity, char in ENTITIES.items():
-        expr = f"replace({expr}, {lit(entity)}, {lit(char)})"
+    for entity, char in PAGE_ENTITIES.items():
+        expr = f"replace({expr}, {lit(f'&{entity};')}, {lit(char)})"
     return expr
 
 
@@ -177,16 +181,23 @@ def keyword_table(table: str, text: str) -> str:
       kw AS (SELECT conv_id, turn, string_agg(w, ' ' ORDER BY r) AS keywords FROM wr GROUP BY ALL)"""
 
 
-def chat_answers(requests: str) -> str:
-    prompt = filled(P.ANSWER_TEMPLATE, history="summary", report="coalesce(d.text, 'no matching report')")
+HISTORY = f"""
+      SELECT conv_id, turn, coalesce(string_agg({LINE}, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS history FROM conversations"""
+
+
+def chat_answers(requests: str, where: str = "true", columns: str | None = None) -> str:
+    report = "coalesce(d.text, 'no matching report')"
+    prompt = filled(P.ANSWER_TEMPLATE, history="history", report=report)
+    columns = columns or "keywords, top.doc_id, round(score, 6) AS score, score IS NOT NULL AS matched, "
     return f"""
-      WITH {SUMMARY}, {requests}, {keyword_table('requests', 'request')},
-      asks AS (SELECT *, conv_id || '_' || turn AS ask_id FROM kw),
-      {search('documents', 'doc_id', 'text', 'asks', 'ask_id', 'keywords', V.DEFAULT_BUCKETS)},
+      WITH past AS ({HISTORY}), {requests},
+      asks AS (SELECT conv_id, turn, request AS keywords, conv_id || '_' || turn AS ask_id FROM requests),
+      found AS (SELECT * FROM documents WHERE {where}),
+      {search('found', 'doc_id', 'text', 'asks', 'ask_id', 'keywords', V.DEFAULT_BUCKETS)},
       top AS (SELECT * FROM hits WHERE rank = 1 AND score > {Q.CHAT_GATE})
-      SELECT r.conv_id, r.turn, keywords, top.doc_id, round(score, 6) AS score, score IS NOT NULL AS matched,
-             {lead(content(prompt), 100)} AS answer
-      FROM requests r JOIN summaries USING (conv_id, turn) LEFT JOIN asks USING (conv_id, turn)
+      SELECT r.conv_id, r.turn, {columns} {prompt} AS prompt, {lead(report, 100)} AS answer
+      FROM requests r JOIN past USING (conv_id, turn) LEFT JOIN asks USING (conv_id, turn)
       LEFT JOIN top USING (ask_id) LEFT JOIN documents d ON d.doc_id = top.doc_id"""
 
 
@@ -202,6 +213,7 @@ def retrieved(threshold: float) -> str:
 GRID = "(VALUES " + ", ".join(
     f"('{s}', {float(t)}::double, '{s}_{t}')" for s in experiments.GRID_STYLES for t in experiments.GRID_TEMPERATURES
 ) + ") AS g(prompt_style, temperature, run_name)"
+REPORT = "coalesce(text, 'no matching report')"
 REPORT_PROMPT = "'Use this report. content: ' || coalesce(text, 'no matching report')"
 
 
@@ -222,6 +234,17 @@ def oracle_sql() -> dict[str, str]:
       FROM o FULL JOIN n ON o.doc_id = n.doc_id
       WHERE o.doc_id IS NULL OR n.doc_id IS NULL
          OR o.text IS DISTINCT FROM n.text OR o.lang IS DISTINCT FROM n.lang"""
+    sql["landing_csv"] = "SELECT doc_id, text, CASE WHEN lang <> 'es' THEN lang END AS lang FROM documents"
+    sql["overwrite_table"] = "SELECT doc_id, lang FROM documents WHERE lang = 'en'"
+    sql["overwrite_merging_schema"] = "SELECT doc_id, NULL::varchar AS lang, n_chars FROM documents WHERE lang = 'fr'"
+    sql["append_rows"] = "SELECT doc_id, lang, CASE WHEN lang = 'en' THEN n_chars END AS n_chars FROM documents"
+    sql["align_schema"] = "SELECT doc_id, NULL::varchar AS lang, NULL::varchar AS source, n_chars FROM documents"
+    sql["write_clustered"] = "SELECT lang, doc_id FROM documents WHERE doc_id >= 100"
+    sql["stream_sync"] = f"""
+      WITH s AS (SELECT doc_id, {collapse("CASE WHEN doc_id % 5 = 0 THEN text || ' (revised)' ELSE text END")} AS text, lang
+                 FROM documents WHERE doc_id % 10 <> 0),
+      t AS ({term_table('s', 'doc_id', 'text', V.DEFAULT_BUCKETS)})
+      SELECT doc_id, text, lang, coalesce(sum(tf * tf), 0)::bigint AS norm2 FROM s LEFT JOIN t USING (doc_id) GROUP BY ALL"""
     sql["project_alias"] = (
         "SELECT doc_id AS player_id, text AS document, source AS player_position FROM documents"
     )
@@ -342,6 +365,27 @@ def oracle_sql() -> dict[str, str]:
         sql[name] = f"""
           WITH {asks}, {search('documents', 'doc_id', 'text', 'asks', 'item_id', 'question', buckets)}
           SELECT item_id, doc_id, round(score, 6) AS score, rank FROM hits"""
+    sql["text_search_filtered"] = f"""
+      WITH {asks}, few AS (SELECT * FROM documents WHERE lang = 'en' AND n_chars > 500),
+      {search('few', 'doc_id', 'text', 'asks', 'item_id', 'question', V.DEFAULT_BUCKETS)}
+      SELECT item_id, doc_id, round(score, 6) AS score, rank, lang, n_chars FROM hits JOIN documents USING (doc_id)"""
+    sql["text_search_encoder"] = f"""
+      WITH {asks}, {search('documents', 'doc_id', 'text', 'asks', 'item_id', 'question', 64, k=1)}
+      SELECT item_id, round(score, 4) AS score, rank FROM hits"""
+    unit = "CASE WHEN count(term) > 0 THEN 1.0::double ELSE 0.0::double END AS length"
+    sql["index_build_dense"] = f"""
+      WITH t AS ({term_table('documents', 'doc_id', 'text', 64)})
+      SELECT d.doc_id, lang, 64::bigint AS dim, {unit} FROM documents d LEFT JOIN t USING (doc_id) GROUP BY ALL"""
+    synced = f"""
+      s AS (SELECT doc_id, CASE WHEN lang = 'en' THEN {collapse('text')} || ' (revised)' ELSE text END AS text
+            FROM documents WHERE {NOT_TOXIC})"""
+    sql["index_sync_deletes"] = f"""
+      WITH {synced}, t AS ({term_table('s', 'doc_id', 'text', V.DEFAULT_BUCKETS)})
+      SELECT doc_id, text, count(term) AS n_terms, coalesce(sum(tf * tf), 0)::bigint AS norm2
+      FROM s LEFT JOIN t USING (doc_id) GROUP BY ALL"""
+    sql["index_sync_dense"] = f"""
+      WITH {synced}, t AS ({term_table('s', 'doc_id', 'text', 64)})
+      SELECT doc_id, text, {unit} FROM s LEFT JOIN t USING (doc_id) GROUP BY ALL"""
     sql["keyword_search"] = f"""
       WITH dt AS ({term_table('documents', 'doc_id', 'text', V.DEFAULT_BUCKETS)}),
       qt AS ({term_table('benchmark', 'item_id', 'text', V.DEFAULT_BUCKETS)}),
@@ -382,6 +426,8 @@ def oracle_sql() -> dict[str, str]:
              {system} AS system_prompt, 100::bigint AS max_new_tokens FROM conversations"""
     scored = content("'Use this report. content: ' || text")
     sql["batch_score"] = f"SELECT doc_id, {lead(scored, 50)} AS model_output FROM documents"
+    sql["batch_score_marker"] = f"SELECT doc_id, {lead("'Table of content: ' || text", 50)} AS model_output FROM documents"
+    sql["batch_score_injected"] = f"SELECT conv_id, turn, {lead('text', 20)} AS model_output FROM conversations"
     sql["strip_prompt"] = "SELECT conv_id, turn, text AS answer FROM conversations"
     sql["lead_summary"] = f"SELECT doc_id, {lead('text', 50)} AS summary FROM documents"
     answer = recommendation("lang", "source", lead(collapse("text"), 50))
@@ -392,9 +438,9 @@ def oracle_sql() -> dict[str, str]:
     sql["experiment_results"] = f"""
       WITH {retrieved(Q.TEXT_GATE)}
       SELECT item_id, item_id::varchar AS run_group, run_name, prompt_style, temperature, {REPORT_PROMPT} AS prompt,
-             {lead(content(REPORT_PROMPT), 150)} AS model_output FROM found, {GRID}"""
+             {lead(REPORT, 150)} AS model_output FROM found, {GRID}"""
     runs = ", ".join(
-        f"'{run}: ' || {lead(content(REPORT_PROMPT), 150)} AS \"{run}\"" for run in Q.RUNS
+        f"'{run}: ' || {lead(REPORT, 150)} AS \"{run}\"" for run in Q.RUNS
     )
     sql["compare_by_prompt"] = f"SELECT item_id, {REPORT_PROMPT} AS prompt, {runs} FROM benchmark"
 
@@ -424,9 +470,12 @@ def oracle_sql() -> dict[str, str]:
       FROM topics"""
 
     # conversations
-    sql["history_buffer"] = f"""
-      SELECT conv_id, turn, coalesce(string_agg({LINE}, chr(10)) OVER (PARTITION BY conv_id ORDER BY turn
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS history FROM conversations"""
+    sql["history_buffer"] = HISTORY
+    sql["chat_long_history"] = f"""
+      SELECT 1::bigint AS conv_id, turn, length(history)::int AS n_chars, md5(history) AS digest FROM (
+        SELECT row_number() OVER w - 1 AS turn, coalesce(string_agg({LINE}, chr(10)) OVER (ORDER BY conv_id, turn
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS history
+        FROM conversations WINDOW w AS (ORDER BY conv_id, turn))"""
     sql["turn_pairs"] = """
       SELECT conv_id, turn, input, output FROM (
         SELECT conv_id, turn, role, text AS input,
@@ -440,11 +489,16 @@ def oracle_sql() -> dict[str, str]:
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t FROM pairs)
       SELECT conv_id, turn, array_to_string((string_split_regex(trim({collapse('t')}), ' '))[-20:], ' ') AS summary
       FROM said"""
+    sql["stream_memory"] = sql["summary_fold"]
     sql["accumulate_query"] = f"WITH {ACCUMULATED} SELECT * FROM accumulated"
     sql["turn_keywords"] = f"WITH {keyword_table('conversations', 'text')} SELECT * FROM kw".replace("WITH \n", "WITH ")
     sql["chat_recommend"] = chat_answers(
         "requests AS (SELECT conv_id, turn, text AS request FROM conversations WHERE role = 'user')"
     )
+    sql["chat_history_full"] = chat_answers(
+        "requests AS (SELECT conv_id, turn, text AS request FROM conversations WHERE role = 'user')",
+        "lang = 'en'", "top.doc_id, round(score, 6) AS score, ",
+    )
     sql["chat_refine"] = chat_answers(f"{ACCUMULATED}, requests AS (SELECT * FROM accumulated)")
 
     # pages
@@ -467,6 +521,12 @@ def oracle_sql() -> dict[str, str]:
     sql["page_element_by_id"] = f"WITH {ENTITY} SELECT doc_id, birthday FROM entity"
     sql["age_from_date"] = f"WITH {ENTITY} SELECT doc_id, age FROM entity"
     sql["page_table"] = f'WITH {ENTITY}, {STATS} SELECT doc_id, row_idx, "Statistic", "Value" FROM stats'
+    sql["page_table_by_header"] = """
+      WITH e AS (SELECT * FROM documents WHERE lang <> 'fr')
+      SELECT doc_id, 0 AS row_idx, 'chars ééé &lt; &nope;' AS "Statistic", n_chars::varchar AS "Value", NULL::varchar AS "Rank" FROM e
+      UNION ALL SELECT doc_id, 1, 'lang', lang, NULL FROM e"""
+    sql["page_entities"] = f"""
+      SELECT doc_id, trim({collapse("'Café éé … &lt; &unknown; 😀 ' || text")}) AS text FROM documents"""
     sql["dropna_subset"] = sql["page_table"] + ' WHERE "Statistic" IS NOT NULL'
     sql["rows_to_markdown"] = f"WITH {ENTITY} SELECT doc_id, {MARKDOWN} AS markdown FROM entity"
     page = (
@@ -477,7 +537,7 @@ def oracle_sql() -> dict[str, str]:
     sql["entity_report"] = f"""
       WITH {ENTITY}
       SELECT doc_id, position, birthday, age, club, {MARKDOWN} AS statistics,
-             {lead(content(f"'content: ' || trim({collapse(page)})"), 100)} AS report FROM entity"""
+             {lead(f"trim({collapse(page)})", 100)} AS report FROM entity"""
 
     # flagship
     answer = recommendation("lang", "source", lead("document", 50))

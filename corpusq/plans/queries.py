@@ -7,6 +7,7 @@ given tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,11 +17,13 @@ from corpusq.functions import html as H
 from corpusq.functions import prompts as P
 from corpusq.functions import terms as V
 from corpusq.functions import text as X
-from corpusq.operators import approximate, chat, chunks, corpus, entities, experiments, flow, index, infer, search
+from corpusq.operators import approximate, chat, chunks, corpus, entities, experiments, flow, index, infer, ordered, search
 from corpusq.operators.joins import compute_once
 from corpusq.session import spread
 from corpusq.sources import snapshots, tables
-from corpusq.streaming.memory import keep_last_words
+from corpusq.sources.materialise import shared_folder
+from corpusq.streaming import sync
+from corpusq.streaming.memory import keep_last_words, stream_summaries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +105,103 @@ def snapshot_diff(spark, sf):
     return snapshots.snapshot_diff(old, new, "doc_id")
 
 
+def _folder(spark, name: str) -> str:
+    """A new folder below the shared one, for queries that write and read back."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _table(spark, name: str) -> str:
+    return f"corpusq_{name}_{uuid.uuid4().hex}"
+
+
+@query
+def landing_csv(spark, sf):
+    """Documents written as a landing CSV with NA for a missing value, and read back."""
+    path = _folder(spark, "landing")
+    docs = documents(spark, sf).select("doc_id", "text", F.when(F.col("lang") != "es", F.col("lang")).alias("lang"))
+    docs.write.csv(path, header=True, nullValue="NA", quote='"', escape='"', quoteAll=False)
+    return tables.read_landing_csv(spark, path, docs.schema)
+
+
+@query
+def overwrite_table(spark, sf):
+    name = _table(spark, "overwritten")
+    docs = tables.scan(spark, sf, "documents").select("doc_id", "lang")
+    tables.overwrite_table(docs, name)
+    tables.overwrite_table(docs.filter("lang = 'en'"), name)
+    return spark.table(name)
+
+
+@query
+def overwrite_merging_schema(spark, sf):
+    """New rows with another set of columns; the old columns stay and are NULL."""
+    name = _table(spark, "merged")
+    docs = tables.scan(spark, sf, "documents")
+    tables.overwrite_table(docs.select("doc_id", "lang"), name)
+    tables.overwrite_merging_schema(docs.filter("lang = 'fr'").select("doc_id", "n_chars"), name)
+    return spark.table(name)
+
+
+@query
+def append_rows(spark, sf):
+    name = _table(spark, "appended")
+    docs = tables.scan(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    tables.overwrite_table(docs.filter("lang = 'en'"), name)
+    tables.append_rows(docs.filter("lang <> 'en'").select("doc_id", "lang"), name, "doc_id")
+    return spark.table(name)
+
+
+@query
+def align_schema(spark, sf):
+    """Rows brought to another table's columns, as a local list of rows is."""
+    schema = tables.scan(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars").schema
+    return tables.align(tables.scan(spark, sf, "documents").select("n_chars", "doc_id"), schema, required=["doc_id"])
+
+
+@query
+def write_clustered(spark, sf):
+    path = _folder(spark, "clustered")
+    tables.write_clustered(documents(spark, sf).select("lang", "doc_id"), path, "doc_id")
+    return spark.read.parquet(path).filter("doc_id >= 100")
+
+
+@query
+def stream_sync(spark, sf):
+    """A streamed index: all documents, then revised and deleted ones, prepared on the way."""
+    root = _folder(spark, "sync")
+    docs = documents(spark, sf).select("doc_id", "text", "lang")
+    first = docs.withColumns({"at": F.lit(1), "gone": F.lit(False)})
+    revised = F.concat(F.col("text"), F.lit(" (revised)"))
+    second = docs.filter("doc_id % 5 = 0").withColumns({"text": revised, "at": F.lit(2), "gone": F.col("doc_id") % 10 == 0})
+    for rows in (first, second):
+        rows.write.mode("append").parquet(f"{root}/in")
+        sync.start_sync(
+            spark, f"{root}/in", first.schema, f"{root}/index", f"{root}/checkpoint", "doc_id", "text", ["lang"],
+            newest=[F.col("at").desc()], deleted=F.col("gone"),
+            prepare=lambda df: df.withColumn("text", X.collapse_whitespace(F.col("text"))),
+        ).awaitTermination()
+    return sync.read_index(spark, f"{root}/index", "doc_id").select("doc_id", "text", "lang", "norm2")
+
+
+@query
+def stream_memory(spark, sf):
+    """Running summaries of streamed turn pairs, read back from the sink."""
+    root = _folder(spark, "memory")
+    pairs = chat.turn_pairs(_turns(spark, sf))
+    pairs.write.parquet(f"{root}/in")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = spark.readStream.schema(pairs.schema).parquet(f"{root}/in")
+        summaries = stream_summaries(stream, lambda: keep_last_words(20))
+        writer = summaries.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+        writer.format("parquet").option("path", f"{root}/out").start().awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(summaries.schema).parquet(f"{root}/out")
+
+
 @query
 def project_alias(spark, sf):
     return corpus.project(
@@ -416,6 +516,60 @@ def text_search_dense64(spark, sf):
     return _rounded(hits)
 
 
+@query
+def text_search_filtered(spark, sf):
+    hits = search.text_search(
+        documents(spark, sf), _questions(spark, sf), 3, filters={"lang": "en", "n_chars >": 500},
+        columns=["lang", "n_chars"], **_TEXT_COLUMNS,
+    )
+    return _rounded(hits)
+
+
+def _coarse(hits: DataFrame) -> DataFrame:
+    """Scores of single-precision vectors."""
+    return hits.withColumn("score", F.round("score", 4))
+
+
+@query
+def text_search_encoder(spark, sf):
+    hits = search.text_search(
+        documents(spark, sf), _questions(spark, sf), 1, encode=index.hashed_encoder(64), **_TEXT_COLUMNS
+    )
+    return _coarse(hits).select("item_id", "score", "rank")
+
+
+@query
+def index_build_dense(spark, sf):
+    built = index.build_index(documents(spark, sf), "doc_id", "text", ["lang"], encode=index.hashed_encoder(64))
+    return built.select("doc_id", "lang", F.size("embedding").cast("long").alias("dim"), _length("embedding"), "digest").drop("digest")
+
+
+def _length(vector: str) -> Column:
+    square = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    return F.round(F.sqrt(square), 4).alias("length")
+
+
+def _synced(spark, sf, **options):
+    docs = documents(spark, sf)
+    old = index.build_index(labelled(spark, sf, docs), "doc_id", "text", check_key=False, **options)
+    revised = F.concat(X.collapse_whitespace(F.col("text")), F.lit(" (revised)"))
+    new = not_toxic(spark, sf, docs).select(
+        "doc_id", F.when(F.col("lang") == "en", revised).otherwise(F.col("text")).alias("text")
+    )
+    gone = tables.scan(spark, sf, "labels").filter("toxic = 1").select("doc_id")
+    return index.sync_index(old, new, "doc_id", "text", deleted=gone, **options)
+
+
+@query
+def index_sync_deletes(spark, sf):
+    return _synced(spark, sf).select("doc_id", "text", F.size("vector").cast("long").alias("n_terms"), "norm2")
+
+
+@query
+def index_sync_dense(spark, sf):
+    return _synced(spark, sf, encode=index.hashed_encoder(64)).select("doc_id", "text", _length("embedding"))
+
+
 @query
 def keyword_search(spark, sf):
     rows = search.with_term_vector(documents(spark, sf).select("doc_id", "text"), "text")
@@ -491,6 +645,23 @@ def batch_score(spark, sf):
     return infer.batch_score(asked).select("doc_id", "model_output")
 
 
+@query
+def batch_score_marker(spark, sf):
+    """Texts that hold the content marker themselves are answered from their beginning."""
+    text = F.concat(F.lit("Table of content: "), F.col("text"))
+    prompt = P.render("Use this report. content: {text}", {"text": text})
+    asked = documents(spark, sf).select("doc_id", prompt.alias("prompt"), F.lit(50).cast("long").alias("max_new_tokens"))
+    return infer.batch_score(asked).select("doc_id", "model_output")
+
+
+@query
+def batch_score_injected(spark, sf):
+    """The path of an injected model: request columns in Arrow batches, the model built once per task."""
+    prompt = P.render("Use this report. content: {text}", {"text": F.col("text")})
+    asked = _turns(spark, sf).select("conv_id", "turn", prompt.alias("prompt"), F.lit(20).cast("long").alias("max_new_tokens"))
+    return infer.batch_score(asked, infer.LeadScorer).select("conv_id", "turn", "model_output")
+
+
 @query
 def strip_prompt(spark, sf):
     turns = tables.scan(spark, sf, "conversations")
@@ -678,6 +849,26 @@ def chat_recommend(spark, sf):
     )
 
 
+@query
+def chat_history_full(spark, sf):
+    """As ``chat_recommend``, English documents only, with the prompt that the scorer is given."""
+    answers = chat.chat_recommend(
+        _turns(spark, sf), documents(spark, sf), doc_id="doc_id", doc_text="text", threshold=CHAT_GATE, filters={"lang": "en"}
+    )
+    return _rounded(answers).select("conv_id", "turn", "doc_id", "score", "prompt", "answer")
+
+
+@query
+def chat_long_history(spark, sf):
+    """Histories of one derived conversation that holds every turn of the table."""
+    turns = _turns(spark, sf).select(F.lit(1).cast("long").alias("conv_id"), F.col("turn").alias("old"), "role", "text", F.col("conv_id").alias("of"))
+    placed = turns.withColumn("_order", F.col("of") * 1_000_000 + F.col("old"))
+    long = ordered.renumber(placed, "conv_id", "_order", "turn")
+    return chat.history_buffer(long.select("conv_id", "turn", "role", "text")).select(
+        "conv_id", "turn", F.length("history").alias("n_chars"), F.md5("history").alias("digest")
+    )
+
+
 @query
 def chat_refine(spark, sf):
     turns = _turns(spark, sf)
@@ -749,6 +940,26 @@ def dropna_subset(spark, sf):
     return entities.drop_missing(entities.page_table(entity_pages(spark, sf), "doc_id", "scout", STAT_COLUMNS))
 
 
+@query
+def page_table_by_header(spark, sf):
+    """Columns swapped, a table in a cell, an attribute that ends in ``id``, entities; some pages without the table."""
+    docs = documents(spark, sf)
+    table = F.concat(
+        F.lit('<div data-id="scout"><table data-id="scout"><tr><td>no</td></tr></table></div><table class=t id=scout>'
+              "<tr><th>Value</th><th>Statistic</th></tr><tr><td>"), F.col("n_chars").cast("string"),
+        F.lit("<table><tr><td>inner</td></tr></table></td><td>chars &eacute;&#233;&#xE9; &amp;lt; &nope;</td></tr><tr><td>"),
+        F.col("lang"), F.lit("</td><td>lang</td></tr></table>"),
+    )
+    html = F.concat(F.lit("<html>"), F.when(F.col("lang") != "fr", table).otherwise(F.lit("")), F.lit("</html>"))
+    return entities.page_table(docs.select("doc_id", html.alias("html")), "doc_id", "scout", ("Statistic", "Value", "Rank"))
+
+
+@query
+def page_entities(spark, sf):
+    html = F.concat(F.lit("<p>Caf&eacute; &#233;&#xe9; &hellip; &amp;lt; &unknown; &#x1F600;&nbsp;"), H.escape(F.col("text")), F.lit("</p>"))
+    return documents(spark, sf).select("doc_id", H.page_text(html).alias("text"))
+
+
 @query
 def rows_to_markdown(spark, sf):
     rows = entities.page_table(entity_pages(spark, sf), "doc_id", "scout", STAT_COLUMNS)

@@ -41,6 +41,18 @@ def overwrite_with_schema(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
 
 
+def overwrite_merging_schema(df: DataFrame, name: str) -> None:
+    """Replace a table's rows; its old columns stay and are NULL where ``df`` lacks them, new ones are added."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name):
+        old = [f for f in spark.table(name).schema.fields if f.name not in df.columns]
+        kept = [F.lit(None).cast(f.dataType).alias(f.name) for f in old]
+        first = [c for c in spark.table(name).columns if c in df.columns]
+        names = [*spark.table(name).columns, *[c for c in df.columns if c not in first]]
+        df = df.select("*", *kept).select(*names)
+    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+
+
 def align(df: DataFrame, schema: T.StructType, required: Sequence[str] = ()) -> DataFrame:
     """``df`` with the schema's columns in its order; missing ones are NULL unless required."""
     missing = [c for c in required if c not in df.columns]

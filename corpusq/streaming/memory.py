@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from corpusq.operators.chat import summary_step
+
 
 def keep_last_words(n: int) -> Callable[[str, str, str], str]:
     """The built-in summariser: the last ``n`` words of summary, input and output."""
@@ -31,7 +33,7 @@ class SummaryMemory(StatefulProcessor):
         pdf = pd.concat(list(rows)).sort_values(self.turn)
         out = []
         for said, answer in zip(pdf["input"], pdf["output"]):
-            summary = self.summarise(summary, said, answer)
+            summary = summary_step(self.summarise, summary, said, answer)
             out.append(summary)
         self.state.update((summary,))
         yield pdf[[self.conv, self.turn]].assign(summary=out)

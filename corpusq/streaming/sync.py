@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusq.operators.index import build_index, changed_keys
-from corpusq.sources.snapshots import latest_by_key, upsert
+from corpusq.operators.index import Encode, build_index, changed_keys
+from corpusq.sources.snapshots import latest_by_key
 
 
 def _list(spark: SparkSession, path: str, prefix: str) -> list[int]:
@@ -49,7 +49,10 @@ def read_index(spark: SparkSession, path: str, key: str, before: int | None = No
     folders = [f"{path}/delta/batch={n}" for n in batches]
     changes = spark.read.option("basePath", f"{path}/delta").parquet(*folders)
     latest = latest_by_key(changes, key, [F.col("batch").desc()]).drop("batch")
-    return latest if base is None else upsert(base, latest, key)
+    alive = latest.filter(~F.col("deleted")).drop("deleted")
+    if base is None:
+        return alive
+    return base.join(latest.select(key), key, "left_anti").unionByName(alive)
 
 
 def compact(spark: SparkSession, path: str, key: str) -> None:
@@ -63,17 +66,32 @@ def compact(spark: SparkSession, path: str, key: str) -> None:
 
 
 def apply_batch(
-    rows: DataFrame, batch_id: int, path: str, key: str, text: str, meta: Sequence[str], newest: Sequence[Column]
+    rows: DataFrame,
+    batch_id: int,
+    path: str,
+    key: str,
+    text: str,
+    meta: Sequence[str],
+    newest: Sequence[Column],
+    deleted: Column | None = None,
+    encode: Encode | None = None,
 ) -> None:
-    """Write one batch's new and changed rows, embedded. Running it again changes nothing."""
+    """Write one batch's new, changed and deleted rows, embedded. Running it again changes nothing.
+
+    Of several rows with one key the first by ``newest`` counts; if ``deleted`` holds for it the key leaves
+    the index, until a later batch brings it back.
+    """
     spark = rows.sparkSession
-    rows = latest_by_key(rows, key, newest).select(key, text, *meta)
+    gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
+    rows = latest_by_key(rows.withColumn("_deleted", gone), key, newest)
     index = read_index(spark, path, key, before=batch_id)
+    alive, dead = rows.filter("NOT _deleted").select(key, text, *meta), rows.filter("_deleted")
     if index is not None:
-        rows = rows.join(changed_keys(index, rows, key, text, meta), key, "left_semi")
-    build_index(rows, key, text, meta, check_key=False).write.mode("overwrite").parquet(
-        f"{path}/delta/batch={batch_id}"
-    )
+        alive = alive.join(changed_keys(index, alive, key, text, meta), key, "left_semi")
+    built = build_index(alive, key, text, meta, check_key=False, encode=encode).withColumn("deleted", F.lit(False))
+    if deleted is not None:
+        built = built.unionByName(dead.select(key, F.lit(True).alias("deleted")), allowMissingColumns=True)
+    built.write.mode("overwrite").parquet(f"{path}/delta/batch={batch_id}")
 
 
 def start_sync(
@@ -85,19 +103,21 @@ def start_sync(
     key: str,
     text: str,
     meta: Sequence[str] = (),
-    newest: Sequence[Column] | None = None,
+    *,
+    newest: Sequence[Column],
+    deleted: Column | None = None,
+    encode: Encode | None = None,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
     """Process the files that arrived in ``source`` since the last run, then stop.
 
     ``prepare`` is any stateless preparation of the rows; ``newest`` orders rows of
-    the same key within a batch, first wins.
+    the same key within a batch, first wins; ``deleted`` marks rows whose key leaves the index.
     """
-    order = newest or [F.col(text)]
     stream = prepare(spark.readStream.schema(schema).parquet(source))
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda df, batch_id: apply_batch(df, batch_id, path, key, text, meta, order))
+        .foreachBatch(lambda df, batch_id: apply_batch(df, batch_id, path, key, text, meta, newest, deleted, encode))
         .start()
     )
