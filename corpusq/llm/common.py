@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_ROWS = 20_000
+#: Arrow batches between Spark and Python workers hold about so many bytes, or one row.
+BATCH_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,6 +42,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches in bytes; by rows alone a batch of long texts could be of any size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, function: Callable[[pa.Table], pa.Table], schema: str, batch_bytes: int) -> DataFrame:
     """``function`` over runs of Arrow batches that hold about ``batch_bytes`` together.
 
@@ -60,6 +67,7 @@ def map_arrow(df: DataFrame, function: Callable[[pa.Table], pa.Table], schema: s
         if held:
             yield from function(pa.Table.from_batches(held)).to_batches(max_chunksize=CHUNK_ROWS)
 
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -34,7 +34,7 @@ BLOCK_NODES = 256
 BLOCK_SHINGLES = 1_000_000
 #: Up to so many nodes (16 bytes each) are broadcast to pick their texts; more are joined by a shuffle.
 BROADCAST_NODES = 200_000
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def shingle_hashes(texts: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -260,7 +260,7 @@ def _verify(table: pa.Table, threshold: float) -> pa.Table:
     common = np.zeros((len(sets), len(sets)))
     order = np.argsort(column, kind="stable")
     own, column = own[order], column[order]
-    width = max(1, (1 << 22) // len(sets))
+    width = max(1, (1 << 20) // len(sets))
     for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         a, b = np.searchsorted(column, [start, start + width])
         part = np.zeros((len(sets), width), np.float32)
