@@ -273,7 +273,7 @@ def test_lead_scorer_equals_column(spark):
     data = [("x content: a b c", 2), ("no marker here", 2), ("content: content: z", 9), ("content: ", 3)]
     df = spark.createDataFrame(data, "prompt string, max_new_tokens long")
     out = infer.batch_score(df).withColumn("native", infer.lead_answer(F.col("prompt"), F.col("max_new_tokens")))
-    assert [r.model_output for r in out.collect()] == [r.native for r in out.collect()] == ["a b", "no marker", "z", ""]
+    assert [r.model_output for r in out.collect()] == [r.native for r in out.collect()] == ["a b", "no marker", "content: z", ""]
 
 
 def test_classify_with_scorer(spark):
@@ -345,7 +345,7 @@ def test_tables_to_markdown(spark, block_rows):
     from corpusq.functions.html import table_rows
 
     inline = df.select(entities.table_to_markdown(table_rows(F.col("html"), "scout"), ["Statistic", "P90"]).alias("m"))
-    assert [r.m for r in inline.collect()] == [text, "| Statistic | P90 |\n| --- | --- |\n"]
+    assert [r.m for r in inline.collect()] == [text, None]
 
 
 def test_entity_reports(spark):

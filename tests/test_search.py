@@ -240,3 +240,36 @@ def test_vectors_are_built_once_per_pass(spark, sf):
 
     text = plan(registry()["text_search"](spark, sf))
     assert text.count("regexp_extract_all(") == 1 and "Filter isnotnull(transform" not in text
+
+
+def _vectors(spark, rows):
+    return spark.createDataFrame(rows, "id long, v array<float>")
+
+
+def _dense(spark, rows, asked, **options):
+    queries = _vectors(spark, asked).withColumnsRenamed({"id": "q", "v": "qv"})
+    hits = search.topk_dense(_vectors(spark, rows), queries, 5, id_col="id", vector="v", query_id="q", query_vector="qv", **options)
+    return [(r.q, r.id, r.score) for r in hits.orderBy("q", "rank").collect()]
+
+
+def test_vectors_of_different_length_are_refused(spark):
+    for rows, asked in (
+        ([(1, [1.0, 0.0, 0.0]), (2, [1.0] * 5)], [(9, [1.0, 0.0, 0.0])]),
+        ([(1, [1.0, 0.0, 0.0])], [(9, [1.0, 0.0])]),
+    ):
+        with pytest.raises(Exception, match="vectors differ in length"):
+            _dense(spark, rows, asked)
+
+
+def test_vectors_without_direction_rank_last(spark):
+    rows = [(1, [float("nan"), 1.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (None, [1.0, 0.0]), (4, None), (5, [float("inf"), 0.0])]
+    assert _dense(spark, rows, [(9, [2.0, 0.0])]) == [(9, 2, 1.0), (9, 1, None), (9, 3, None), (9, 5, None)]
+
+
+def test_text_search_filters_and_returns_columns(spark):
+    docs = spark.createDataFrame([(1, "red fox", "en"), (2, "red fox", "de"), (3, "blue", "en")], "id long, t string, lang string")
+    asked = spark.createDataFrame([(7, "red")], "q long, x string")
+    kwargs = {"id_col": "id", "text": "t", "query_id": "q", "query_text": "x", "filters": {"lang": "de"}, "columns": ["lang"]}
+    for encode in (None, index.hashed_encoder(32)):
+        hits = search.text_search(docs, asked, 3, encode=encode, **kwargs)
+        assert [(r.q, r.id, r.lang) for r in hits.collect()] == [(7, 2, "de")]

@@ -97,3 +97,29 @@ def test_streaming_memory_equals_batch_fold(spark, sf, tmp_path):
     run()
     got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
     assert got == sorted(map(tuple, chat.fold_summary(pairs, summarise).collect()))
+
+
+def test_sync_deletes_and_brings_back(spark, tmp_path):
+    source, path, checkpoint = (str(tmp_path / n) for n in ("source", "index", "checkpoint"))
+    rows = lambda *r: spark.createDataFrame(r, "doc_id long, text string, at int, gone boolean")
+    schema = spark.createDataFrame([], "doc_id long, text string, at int, gone boolean").schema
+
+    def run(*r):
+        write(rows(*r), source, r[0][2])
+        sync.start_sync(
+            spark, f"{source}/*", schema, path, checkpoint, "doc_id", "text", newest=[F.desc("at")], deleted=F.col("gone")
+        ).awaitTermination()
+        return {x.doc_id: x.text for x in sync.read_index(spark, path, "doc_id").collect()}
+
+    assert run((1, "a", 1, False), (2, "b", 1, False), (3, "c", 1, True)) == {1: "a", 2: "b"}
+    assert run((2, None, 2, True), (4, "d", 2, None)) == {1: "a", 4: "d"}
+    sync.compact(spark, path, "doc_id")
+    assert run((2, "b again", 3, False), (1, "a", 3, True)) == {2: "b again", 4: "d"}
+
+
+def test_small_source_moves_no_index_row(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    built = index.build_index(docs, "doc_id", "text", check_key=False)
+    few = docs.filter("doc_id < 3").withColumn("text", F.lit("changed"))
+    plan = index.sync_index(built, few, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
