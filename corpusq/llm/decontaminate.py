@@ -227,8 +227,8 @@ def _matcher(near_words: int, near_span: int):
         hits, owners, n_near = [], [], np.zeros(len(n_words), np.int64)
         wins = asked["win"].to_pylist() if asked.num_rows else []
         ranked = asked["ranked"].to_pylist() if asked.num_rows else []
-        for number, query in enumerate(ranked):
-            query = sorted(query, key=lambda x: len(places(x["term"])))
+        for number, by_corpus in enumerate(ranked):
+            query = sorted(by_corpus, key=lambda x: len(places(x["term"])))
             start = places(query[0]["term"]) - query[0]["offset"]
             for x in query[1:]:
                 if not len(start):
@@ -241,7 +241,7 @@ def _matcher(near_words: int, near_span: int):
             if len(start):
                 hits.append((start[:, None] + np.arange(len(query))).ravel())
                 owners.append((np.unique(_owner(bounds, start)), number))
-            distinct = list(dict.fromkeys(x["term"] for x in query))[:near_words]
+            distinct = list(dict.fromkeys(x["term"] for x in by_corpus))[:near_words]
             spot = places(distinct[0]) if distinct else np.zeros(0, np.int64)
             for term in distinct[1:]:
                 if not len(spot):

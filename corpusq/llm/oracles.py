@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusq.llm import linefreq
+from corpusq.llm import decontaminate, jaccard, linefreq
 
 OP6 = rf"""
 WITH d AS (
@@ -53,5 +53,73 @@ SELECT *, NOT base_failed AND n_words - n_removed_words >= {linefreq.MIN_LEFT}::
 """
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def words(text: str) -> str:
+    plain = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
+    return rf"regexp_extract_all({plain}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+OP3 = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {words('text')} AS w FROM documents),
+i AS (SELECT item_id::varchar AS item, {words('text')} AS w FROM benchmark),
+cut AS (
+  SELECT item, w[s + 1 : s + {decontaminate.WINDOW}] AS terms
+  FROM i, unnest(range(greatest(len(w) - {decontaminate.WINDOW}, 0) + 1)) AS r(s) WHERE len(w) > 0
+), windows AS MATERIALIZED (SELECT DISTINCT item, array_to_string(terms, ' ') AS win, terms FROM cut),
+wins AS MATERIALIZED (SELECT DISTINCT win, terms FROM windows),
+grams AS (
+  SELECT doc_id, p AS pos, n, array_to_string(w[p + 1 : p + n], ' ') AS g
+  FROM d, (SELECT DISTINCT len(terms) AS n FROM wins) AS l(n), unnest(range(len(w) - n + 1)) AS r(p)
+), hits AS MATERIALIZED (SELECT doc_id, pos, n, win FROM grams JOIN wins ON g = win),
+covered AS (SELECT doc_id, count(DISTINCT pos + k) AS n FROM hits, unnest(range(n)) AS r(k) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits JOIN windows USING (win)) GROUP BY doc_id
+), tok AS MATERIALIZED (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) AS pos FROM d),
+df AS (SELECT term, count(*) AS df FROM tok GROUP BY term),
+parts AS (SELECT win, len(terms) AS n, unnest(terms) AS term, generate_subscripts(terms, 1) AS off FROM wins),
+known AS (SELECT win, n, term, off, df, count(*) OVER (PARTITION BY win) AS there FROM parts JOIN df USING (term)),
+rare AS MATERIALIZED (
+  SELECT win, term, row_number() OVER (PARTITION BY win ORDER BY df, off) AS k
+  FROM (SELECT win, term, any_value(df) AS df, min(off) AS off FROM known WHERE there = n GROUP BY ALL)
+  QUALIFY k <= {decontaminate.NEAR_WORDS}
+), size_of AS (SELECT win, count(*) AS m FROM rare GROUP BY win),
+spot AS (SELECT win, m, doc_id, pos FROM rare JOIN size_of USING (win) JOIN tok USING (term) WHERE k = 1),
+close AS (
+  SELECT s.win, s.doc_id FROM spot s LEFT JOIN rare r ON r.win = s.win AND r.k > 1
+  LEFT JOIN tok t ON t.doc_id = s.doc_id AND t.term = r.term
+    AND t.pos BETWEEN s.pos - {decontaminate.NEAR_SPAN} AND s.pos + {decontaminate.NEAR_SPAN}
+  GROUP BY s.win, s.m, s.doc_id, s.pos HAVING count(DISTINCT CASE WHEN t.pos IS NOT NULL THEN r.k END) = s.m - 1
+), near AS (SELECT doc_id, count(DISTINCT win) AS n FROM close GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(found.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, covered.n IS NOT NULL AS contaminated, coalesce(near.n, 0)::BIGINT AS n_near
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN near USING (doc_id)
+"""
+
+OP4 = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, text, {words('text')} AS w FROM documents),
+texts AS MATERIALIZED (
+  SELECT md5(text) AS node, any_value(w) AS w, min(doc_id) AS rep, count(*) AS copies FROM d WHERE len(w) > 0 GROUP BY text
+), sets AS MATERIALIZED (
+  SELECT DISTINCT node, array_to_string(w[s + 1 : s + {jaccard.SHINGLE}], ' ') AS g
+  FROM texts, unnest(range(greatest(len(w) - {jaccard.SHINGLE}, 0) + 1)) AS r(s)
+), sizes AS (SELECT node, count(*) AS n FROM sets GROUP BY node),
+common AS (SELECT a.node AS a, b.node AS b, count(*) AS c FROM sets a JOIN sets b ON a.g = b.g AND a.node <> b.node GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.node = a JOIN sizes y ON y.node = b
+  WHERE c / (x.n + y.n - c)::DOUBLE >= {jaccard.THRESHOLD}::DOUBLE
+), reach(a, b) AS (
+  SELECT node, node FROM texts UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), classes AS (SELECT a AS node, min(rep) AS class_id FROM reach JOIN texts ON node = b GROUP BY a),
+degrees AS (SELECT a AS node, count(*) AS n FROM links GROUP BY a)
+SELECT d.doc_id, coalesce(class_id, d.doc_id) AS class_id, coalesce(degrees.n, 0)::BIGINT AS n_links,
+       coalesce(copies, 1)::BIGINT AS n_copies
+FROM d LEFT JOIN texts ON texts.node = md5(d.text) AND len(d.w) > 0
+LEFT JOIN classes USING (node) LEFT JOIN degrees USING (node)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_frequency": OP6}
+    return {"op3_positional_index": OP3, "op4_lsh_forest": OP4, "op6_line_frequency": OP6}
