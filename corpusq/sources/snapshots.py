@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,20 +57,13 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: Sequence[st
 def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows of ``left`` that ``right`` lacks, all columns compared, NULL equal to NULL.
 
-    The copies are removed before the join, where partial aggregation collapses
-    them in each task; ``EXCEPT`` on its own would shuffle every copy to one task.
+    Rows are compared by their digest. Copies are removed in each task first; then the rows of ``left`` cross one
+    exchange, by digest, which the join uses too. Of ``right`` only digests move.
     """
     columns = left.columns
-    rows = left.distinct().withColumn("_hash", F.xxhash64(*columns))
-    others = right.select(columns).distinct().withColumn("_other_hash", F.xxhash64(*columns))
-    others = others.select("_other_hash", *[F.col(c).alias(f"_other_{c}") for c in columns])
-    # The hash comes first, so that sorting and probing seldom compare the texts.
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(c).eqNullSafe(F.col(f"_other_{c}")) for c in columns],
-        F.col("_hash") == F.col("_other_hash"),
-    )
-    return rows.join(others, same, "left_anti").drop("_hash")
+    rows = left.withColumn("_digest", row_digest(columns)).dropDuplicates(["_digest"])
+    others = right.select(row_digest(columns).alias("_digest")).distinct()
+    return rows.join(others, "_digest", "left_anti").select(*columns)
 
 
 def new_rows_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
