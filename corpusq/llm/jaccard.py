@@ -129,9 +129,9 @@ def forest_links(
 ) -> DataFrame:
     """``(node, hub, similarity)``: links between trie branches, similarity estimated by the signatures.
 
-    Prefixes begin ``depth`` long. As long as the links just above the threshold show a recall below the target,
-    prefixes are shortened by one. Each such link stands for ``1 / p`` links, ``p`` being its chance to be found at
-    this depth; without one, the chance at the threshold itself is asked for.
+    Prefixes begin ``depth`` long. Each link just above the threshold stands for ``1 / p`` links, ``p`` being its chance
+    to be found at that depth; from them the recall of every shorter prefix is estimated, and prefixes are shortened
+    until it reaches the target. Without such a link the chance at the threshold itself is asked for.
     """
 
     @F.pandas_udf("double")
@@ -144,17 +144,22 @@ def forest_links(
 
     one = texts.select("node", F.col("signature").alias("s1"))
     two = texts.select(F.col("node").alias("hub"), F.col("signature").alias("s2"))
-    for d in range(depth, least - 1, -1):
+
+    def linked(d: int) -> DataFrame:
         pairs = _branches(texts, d, trees, depth)
         links = pairs.join(one, "node").join(two, "hub").select("node", "hub", alike("s1", "s2").alias("similarity"))
-        links = written(links, "links")
-        weak = links.filter(F.col("similarity").between(threshold, threshold + 0.1))
-        chance = 1 - F.pow(1 - F.pow("similarity", F.lit(d)), F.lit(trees))
-        found, stands_for = weak.agg(F.count(F.lit(1)), F.sum(1 / chance)).first()
+        return written(links, "links")
+
+    links = linked(depth)
+    weak = links.filter(F.col("similarity").between(threshold, threshold + 0.1))
+    chance = lambda d: 1 - F.pow(1 - F.pow("similarity", F.lit(d)), F.lit(trees))
+    shorter = list(range(depth, least - 1, -1))
+    stands_for, *sums = weak.agg(F.sum(1 / chance(depth)), *[F.sum(chance(d) / chance(depth)) for d in shorter]).first()
+    for d, found in zip(shorter, sums, strict=True):
         estimate = found / stands_for if found else float(_found(np.float64(threshold), d, trees))
         if estimate >= recall:
             break
-    return links
+    return links if d == depth else linked(d)
 
 
 def near_duplicates(

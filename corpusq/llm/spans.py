@@ -159,12 +159,11 @@ def _cut(text: str | None, runs: list[int], run: int, piece_words: int):
     found = sentences(text or "", piece_words)
     gone = sorted({k for first in runs for k in range(first, first + run)})
     spans: list[dict] = []
-    for k in gone:
-        if spans and k - 1 == last:  # noqa: F821
+    for before, k in zip([None, *gone], gone):
+        if before is not None and k == before + 1:
             spans[-1]["end"] = found[k][1]
         else:
             spans.append({"start": found[k][0], "end": found[k][1]})
-        last = k  # noqa: F841
     clean = text
     if spans:
         edges = [0, *(e for s in spans for e in (s["start"], s["end"])), len(text)]
