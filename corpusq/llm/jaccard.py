@@ -2,7 +2,7 @@
 
 Equal texts are one node. Every node gets a MinHash signature, cut into trees of prefixes. Nodes
 that share a prefix in a tree are linked to the least node of that trie branch; prefixes start
-long and are shortened until the estimated recall reaches the target. Nodes joined by
+long and are shortened until the recall at the threshold itself reaches the target. Nodes joined by
 plausible links form groups, groups are cut into blocks, and each pair of blocks is
 verified with the whole shingle sets. No list of pairs is ever built: a block pair gives
 one row per node, its number of links and a link to its class.
@@ -116,6 +116,12 @@ def _found(similarity: np.ndarray, depth: int, trees: int) -> np.ndarray:
     return 1 - (1 - similarity**depth) ** trees
 
 
+def shortened(threshold: float, recall: float, trees: int = TREES, depth: int = DEPTH, least: int = LEAST_DEPTH) -> int:
+    """The longest prefix with a chance of ``recall`` at the threshold itself, or ``least``."""
+    reached = (d for d in range(depth, least, -1) if _found(np.float64(threshold), d, trees) >= recall)
+    return next(reached, least)
+
+
 def _branches(texts: DataFrame, depth: int, trees: int, full: int) -> DataFrame:
     """``(node, hub)``: each node with the least node of every trie branch that it shares with others."""
     prefix = lambda t: F.xxhash64(F.lit(t), F.substring("signature", 4 * full * t + 1, 4 * depth))
@@ -129,9 +135,8 @@ def forest_links(
 ) -> DataFrame:
     """``(node, hub, similarity)``: links between trie branches, similarity estimated by the signatures.
 
-    Prefixes begin ``depth`` long. Each link just above the threshold stands for ``1 / p`` links, ``p`` being its chance
-    to be found at that depth; from them the recall of every shorter prefix is estimated, and prefixes are shortened
-    until it reaches the target. Without such a link the chance at the threshold itself is asked for.
+    Links of the full prefixes, whose hubs are closest, and of the longest prefixes at which two texts exactly at the
+    threshold share a branch with a chance of ``recall``. That depth depends on no row.
     """
 
     @F.pandas_udf("double")
@@ -145,21 +150,12 @@ def forest_links(
     one = texts.select("node", F.col("signature").alias("s1"))
     two = texts.select(F.col("node").alias("hub"), F.col("signature").alias("s2"))
 
-    def linked(d: int) -> DataFrame:
-        pairs = _branches(texts, d, trees, depth)
-        links = pairs.join(one, "node").join(two, "hub").select("node", "hub", alike("s1", "s2").alias("similarity"))
-        return written(links, "links")
-
-    links = linked(depth)
-    weak = links.filter(F.col("similarity").between(threshold, threshold + 0.1))
-    chance = lambda d: 1 - F.pow(1 - F.pow("similarity", F.lit(d)), F.lit(trees))
-    shorter = list(range(depth, least - 1, -1))
-    stands_for, *sums = weak.agg(F.sum(1 / chance(depth)), *[F.sum(chance(d) / chance(depth)) for d in shorter]).first()
-    for d, found in zip(shorter, sums, strict=True):
-        estimate = found / stands_for if found else float(_found(np.float64(threshold), d, trees))
-        if estimate >= recall:
-            break
-    return links if d == depth else linked(d)
+    short = shortened(threshold, recall, trees, depth, least)
+    pairs = _branches(texts, depth, trees, depth)
+    if short < depth:
+        pairs = pairs.union(_branches(texts, short, trees, depth)).distinct()
+    links = pairs.join(one, "node").join(two, "hub").select("node", "hub", alike("s1", "s2").alias("similarity"))
+    return written(links, "links")
 
 
 def near_duplicates(

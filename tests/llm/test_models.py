@@ -183,6 +183,30 @@ def test_prefixes_are_shortened_for_weak_links():
     assert p == sorted(p) and p[0] < jaccard.RECALL < p[-1]
 
 
+def test_hot_group_of_close_copies_does_not_hide_a_weak_pair(spark):
+    rng = np.random.default_rng(5)
+    size = jaccard.TREES * jaccard.DEPTH
+    base, weak = rng.integers(0, 1 << 32, (2, size), np.uint32)
+    rows = [(b"\0", base.tobytes())]
+    for i in range(60):  # 0.89 alike the hub, and found by 14 whole trees
+        copy = base.copy()
+        copy[:14] = rng.integers(0, 1 << 32, 14, np.uint32)
+        rows.append((b"h%d" % i, copy.tobytes()))
+    other = weak.copy()  # 0.875 alike, and no prefix of over four in common
+    other[4 :: jaccard.DEPTH] += np.uint32(1)
+    rows += [(b"x", weak.tobytes()), (b"y", other.tobytes())]
+    texts = spark.createDataFrame(rows, "node binary, signature binary")
+    links = jaccard.forest_links(texts, jaccard.THRESHOLD, jaccard.RECALL).collect()
+    assert {(bytes(r.node), bytes(r.hub)): r.similarity for r in links}[b"y", b"x"] == 0.875
+    assert sum(bytes(r.hub) == b"\0" for r in links) == 60
+
+
+def test_depth_reaches_the_recall_at_the_threshold():
+    for threshold in (0.8, 0.9, 0.95):
+        d = jaccard.shortened(threshold, jaccard.RECALL)
+        assert jaccard._found(threshold, d, jaccard.TREES) >= jaccard.RECALL
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1_000, 1_200)]
