@@ -11,8 +11,7 @@ No document needs another one, so this is one pass without a shuffle.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from hashlib import blake2b
 
@@ -102,9 +101,15 @@ def _card(text: str, move: Move) -> str | None:
     d = _digits(text)
     if not 13 <= len(d) <= 19 or luhn_digit(d[:-1]) != d[-1] or len(set(d)) == 1:
         return None
-    n = len(d) - 2
-    payload = d[0] + str(move(f"card{d[0]}", 10**n, int(d[1:-1]))).zfill(n)
-    return _fill(text, payload + luhn_digit(payload))
+    n, rank = len(d) - 2, int(d[1:-1])
+    # Walked on until the digits count alike in a longer number too: what fails its check with digits
+    # before or behind it still does, so pseudonyms are found at the places of the old values.
+    while True:
+        rank = move(f"card{d[0]}", 10**n, rank)
+        payload = d[0] + str(rank).zfill(n)
+        new = payload + luhn_digit(payload)
+        if luhn_digit(new) == luhn_digit(d):
+            return _fill(text, new)
 
 
 def _ip(text: str, move: Move) -> str | None:
@@ -208,34 +213,91 @@ FORMATS: dict[str, tuple[str, Callable[[str, Move], str | None]]] = {
 }
 _PATTERNS = {name: re.compile(pattern, re.ASCII) for name, (pattern, _) in FORMATS.items()}
 _HINT = re.compile(r"\d|@", re.ASCII)
+_DIGIT_RUN = re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,}", re.ASCII)
+_IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
+def _iban_ends(text: str, m: re.Match) -> Iterator[int]:
+    """Where the IBAN at ``m`` may end: at its country's length, then as far as it matches, then at shorter groups."""
+    ends = [i for i in range(m.end(), m.start(), -1) if i == m.end() or text[i] == " "]
+    length = _IBAN_LENGTHS.get(text[m.start() : m.start() + 2])
+    own = [i for i in ends if len(text[m.start() : i].replace(" ", "")) == length]
+    yield from own
+    yield from (i for i in (ends[:1] if length else ends) if i not in own)
+
+
+def _card_ends(text: str, start: int, stop: int) -> list[int]:
+    """Group borders behind 13 to 19 digits from ``start`` on, the farthest first; none inside another kind of value."""
+    ends, digits = [], 0
+    for i in range(start, stop):
+        digits += text[i].isdigit()
+        if digits > 19:
+            break
+        if digits >= 13 and text[i].isdigit() and (i + 1 == stop or not text[i + 1].isdigit()):
+            ends.append(i + 1)
+    others = [(e, m.end()) for e in ends for k in ("email", "ssn", "ip", "date", "phone") if (m := _PATTERNS[k].match(text, e + 1))]
+    inside = lambda e: any(a < e < b for a, b in others)
+    return [e for e in reversed(ends) if not inside(e)]
+
+
+def _cards(text: str, move: Move) -> Iterator[tuple[int, int, str]]:
+    for run in _DIGIT_RUN.finditer(text):
+        at, stop = run.span()
+        if re.match(r"[\w-]", text[stop : stop + 1], re.ASCII):  # the last group goes on in letters: not a number
+            stop = max(text.rfind(" ", at, stop), text.rfind("-", at, stop), at)
+        while at < stop:
+            found = ((e, _card(text[at:e], move)) for e in _card_ends(text, at, stop))
+            end, new = next((x for x in found if x[1] is not None), (at, None))
+            if new is not None:
+                yield at, end, new
+            # On behind the value, or at the next group. A number does not begin behind a hyphen.
+            space = text.find(" ", end, stop)
+            at = space + 1 if space >= 0 else stop
+
+
+def _ibans(text: str, move: Move) -> Iterator[tuple[int, int, str]]:
+    at = 0
+    while m := _PATTERNS["iban"].search(text, at):
+        found = ((e, _iban(text[m.start() : e], move)) for e in _iban_ends(text, m))
+        at, new = next((x for x in found if x[1] is not None), (m.start() + 1, None))
+        if new is not None:
+            yield m.start(), at, new
 
 
 def replacements(text: str, move: Move) -> list[tuple[int, int, str, str]]:
-    """``(start, end, format, new)`` of the validated values, without overlaps."""
+    """``(start, end, format, new)`` of the validated values, without overlaps.
+
+    A format is searched for in what those before it leave. Where the longest match of a card or an IBAN
+    fails its check, shorter ones that end at a separator are tried.
+    """
     if not _HINT.search(text):
         return []
     taken: list[tuple[int, int, str, str]] = []
+    rest = text
     for name, (_, change) in FORMATS.items():
         if name == "email" and "@" not in text:
             continue
-        for m in _PATTERNS[name].finditer(text):
-            new = change(m[0], move)
-            if new is not None:
-                taken.append((m.start(), m.end(), name, new))
-    return _by_precedence(taken, {name: i for i, name in enumerate(FORMATS)})
-
-
-def _by_precedence(taken: list[tuple[int, int, str, str]], order: dict[str, int]) -> list[tuple[int, int, str, str]]:
-    """Of overlapping finds the one whose format comes first, then the earlier one."""
-    starts: list[int] = []
-    kept: list[tuple[int, int, str, str]] = []
-    for found in sorted(taken, key=lambda x: (order[x[2]], x[0])):
-        i = bisect_left(starts, found[0])
-        if (i and kept[i - 1][1] > found[0]) or (i < len(kept) and kept[i][0] < found[1]):
-            continue
-        starts.insert(i, found[0])
-        kept.insert(i, found)
-    return kept
+        if name in ("iban", "card"):
+            found = list((_ibans if name == "iban" else _cards)(rest, move))
+        else:
+            tried = ((m.start(), m.end(), change(m[0], move)) for m in _PATTERNS[name].finditer(rest))
+            found = [x for x in tried if x[2] is not None]
+        parts, at = [], 0
+        for start, end, new in found:
+            taken.append((start, end, name, new))
+            parts += [rest[at:start], "x" * (end - start)]
+            at = end
+        rest = "".join([*parts, rest[at:]]) if found else rest
+    return sorted(taken)
 
 
 def mover(key: bytes, back: bool = False) -> Move:

@@ -306,3 +306,24 @@ def test_pseudonyms_link_across_documents(spark):
     order = lambda rs: sorted(rs, key=str)
     assert order((r.id, r.text) for r in back.collect()) == order((r[0], r[1]) for r in rows)
     assert pseudonyms.pseudonymise(frame(spark, []), b"key").count() == 0
+
+
+@pytest.mark.parametrize("tail", ["", " EUR 50", " BIC COBADEFF", " 12/27", " 737", " 555 123 4567", " AND 4222222222222 12", ", so"])
+def test_values_are_found_before_words_and_numbers(tail):
+    forth, back = pseudonyms.mover(b"key"), pseudonyms.mover(b"key", back=True)
+    cards = ["4111111111111111", "4111 1111 1111 1111", "3782 822463 10005"]
+    for value in ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", *cards]:
+        for lead in ("", "NR 12 "):
+            text = lead + value + tail
+            found = pseudonyms.replacements(text, forth)
+            assert any(s <= len(lead) and e >= len(lead + value) for s, e, _, _ in found), text
+            assert tail != " 555 123 4567" or found[-1][2] == "phone", text
+            new, at = "", 0
+            for s, e, _, value_new in found:
+                new, at = new + text[at:s] + value_new, e
+            new += text[at:]
+            if not lead:
+                old, at = "", 0
+                for s, e, _, v in pseudonyms.replacements(new, back):
+                    old, at = old + new[at:s] + v, e
+                assert old + new[at:] == text
