@@ -128,6 +128,21 @@ def test_shuffle_takes_odd_rows_and_writes(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/shards").count() == len(rows)
 
 
+def test_repeated_rows_spread_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 30, raising=False)
+    rows = [(1, "the same row", "en", "a", 0)] * 200 + [(None, None, "en", f"s{i}", 0) for i in range(200)]
+    rows += [(10 + i, sentence(i, 3), "en", "a", 0) for i in range(200)] + [(2, None, "en", "a", 0), (2, "en", None, "a", 0)]
+    df = frame(spark, rows)
+    got = sharding.shuffled_shards(df, 6, bucket_bytes=200).collect()
+    check_shards(got, 6)
+    assert Counter((r.doc_id, r.text, r.lang, r.source) for r in got) == Counter(r[:4] for r in rows)
+    for some in ([r for r in got if r.doc_id == 1], [r for r in got if r.doc_id is None]):
+        per_shard = Counter(r.shard for r in some)
+        assert len(per_shard) == 6 and max(per_shard.values()) < 60
+    again = sharding.shuffled_shards(df.repartition(3), 6, bucket_bytes=200).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_op9_columns(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = queries.op9_external_shuffle(spark, sf).collect()
