@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusq.llm import decontaminate, jaccard, linefreq
+from corpusq.llm import decontaminate, jaccard, linefreq, repair
 
 OP6 = rf"""
 WITH d AS (
@@ -121,5 +121,100 @@ LEFT JOIN classes USING (node) LEFT JOIN degrees USING (node)
 """
 
 
+#: A state of the fold: cost in nine digits, the audit, chr(1), the repaired lines. Such texts compare as (cost, audit).
+NONE = "'900000000' || chr(1)"
+
+
+def _edit(state: str, cost: str, letter: str, line: str = "''") -> str:
+    cut = f"strpos({state}, chr(1))"
+    return (
+        f"lpad((substr({state}, 1, 9)::INT + {cost})::VARCHAR, 9, '0') || substr({state}, 10, {cut} - 10) || '{letter}'"
+        f" || substr({state}, {cut}) || {line}"
+    )
+
+
+def _row_step(place: int) -> str:
+    """The least way through row ``x`` that ends at a place of the grammar, from the states ``a.v``."""
+    ways = [_edit(f"a.v[{place + 1}]", "2", repair.DELETE)]
+    more = f"(CASE WHEN x.fault = 'truncated' THEN {repair.TRUNCATED_COST} ELSE 0 END)"
+    for (p, initial), q in repair._NEXT.items():
+        if q != place:
+            continue
+        state = f"a.v[{p + 1}]"
+        keep = _edit(state, more, repair.KEEP, "chr(10) || x.role || ':' || x.txt")
+        ways.append(f"CASE WHEN x.fault IN ('', 'truncated') AND x.ini = '{initial}' THEN {keep} ELSE {NONE} END")
+        if initial in repair.ROLES:
+            change = _edit(state, f"1 + {more}", repair.RELABEL, f"chr(10) || '{repair.ROLES[initial]}:' || x.txt")
+            ways.append(f"CASE WHEN x.fault IN ('', 'truncated') THEN {change} ELSE {NONE} END")
+    return f"least({', '.join(ways)})"
+
+
+def _insert(state: str, initial: str) -> str:
+    return _edit(state, str(repair.COSTS[repair.INSERT]), repair.INSERT, f"chr(10) || '{repair.ROLES[initial]}:'")
+
+
+def _closed(states: str) -> str:
+    """The states after any inserted rows: a user's from start, system or assistant, then an assistant's."""
+    user = f"least(t[3], {_insert('t[1]', 'u')}, {_insert('t[2]', 'u')}, {_insert('t[4]', 'u')})"
+    return (
+        f"list_transform([list_transform([{states}], lambda t: [t[1], t[2], {user}, t[4]])[1]],"
+        f" lambda t: [t[1], t[2], t[3], least(t[4], {_insert('t[3]', 'a')})])[1]"
+    )
+
+
+def _first_state() -> str:
+    return _closed(f"['000000000' || chr(1), {NONE}, {NONE}, {NONE}]")
+
+
+_CRC = """
+crc AS MATERIALIZED (
+  SELECT list(list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS tab
+  FROM range(256) r(i)
+), keyed AS (
+  SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS txt,
+         xor(list_reduce(list_transform(string_split(k, ''), lambda ch: ascii(ch)::BIGINT),
+             lambda c, b: xor(c // 256, tab[xor(c, b) % 256 + 1]), 4294967295::BIGINT), 4294967295::BIGINT) % 20 AS kind
+  FROM keyed, crc
+)"""
+
+OP11 = rf"""
+WITH {_CRC}, damaged AS MATERIALIZED (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(txt, '.!?', '') ELSE txt END AS txt,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM coded WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(txt), copy) AS pos,
+         rtrim(txt, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged
+), judged AS (
+  SELECT *, substr(role, 1, 1) AS ini,
+         CASE WHEN body = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, txt ORDER BY pos) > 1 THEN 'duplicate'
+              WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), folded AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || ini NOT IN {repair.LEGAL}) AS illegal,
+         list_reduce(
+           list({{'ini': ini, 'fault': fault, 'role': role, 'txt': txt, 'v': ['']}} ORDER BY pos),
+           lambda a, x: {{'ini': '', 'fault': '', 'role': '', 'txt': '', 'v': {_closed('[' + ', '.join(map(_row_step, range(4))) + ']')}}},
+           {{'ini': '', 'fault': '', 'role': '', 'txt': '', 'v': {_first_state()}}}).v AS states
+  FROM judged GROUP BY conv_id
+), best AS (
+  SELECT *, least(states[1], states[4]) AS s FROM folded
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+       coalesce(substr(s, 1, 9)::BIGINT, 0) AS cost, coalesce(substr(s, 10, strpos(s, chr(1)) - 10), '') AS audit,
+       sha256(coalesce(substr(s, strpos(s, chr(1)) + 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_positional_index": OP3, "op4_lsh_forest": OP4, "op6_line_frequency": OP6}
+    return {"op3_positional_index": OP3, "op4_lsh_forest": OP4, "op6_line_frequency": OP6, "op11_cyk_repair": OP11}

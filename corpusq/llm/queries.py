@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import blobs, decontaminate, jaccard, linefreq, oracles, pieces, pseudonyms, ranking, sharding, spans, toxicity
+from corpusq.llm import blobs, decontaminate, jaccard, linefreq, oracles, pieces, pseudonyms, ranking, repair, sharding, spans, toxicity
 from corpusq.llm.common import held_out, scan_documents, scratch_path
 
 SHARDS = 24
@@ -126,6 +126,23 @@ def op10_pairwise_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    plans, rows = repair.repair(repair.damaged(conversations))
+    ids = conversations.select("conv_id").distinct().withColumn("conv", repair.conversation_key(F.col("conv_id")))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        ids.join(plans, "conv", "left")
+        .join(repair.repaired_digests(rows), "conv", "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_sentencepiece,
@@ -138,6 +155,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_feistel_pseudonyms,
         op9_external_shuffle,
         op10_pairwise_ranking,
+        op11_cyk_repair,
     )
     return {f.__name__: f for f in named}
 
