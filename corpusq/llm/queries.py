@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import blobs, decontaminate, jaccard, linefreq, oracles, pieces, pseudonyms, ranking, repair, sharding, spans, toxicity
+from corpusq.llm import blobs, decontaminate, jaccard, linefreq, oracles, pieces, pseudonyms, ranking, repair, sharding, spans, tokencache, toxicity
 from corpusq.llm.common import held_out, scan_documents, scratch_path
 
 SHARDS = 24
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+TOKENIZER_PATH = "/opt/tokenizers/word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 #: The key of the registered query; a user of the operator keeps their own secret.
 DEMO_KEY = b"pseudonym key of the registered query"
 
@@ -143,6 +145,13 @@ def op11_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = scan_documents(spark, sf_dir, "doc_id", "text")
+    counter = tokencache.load_counter(TOKENIZER_PATH)
+    counted = tokencache.count_tokens(docs, counter, scratch_path(spark, "token-cache"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_sentencepiece,
@@ -156,6 +165,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_external_shuffle,
         op10_pairwise_ranking,
         op11_cyk_repair,
+        op12_digest_cache,
     )
     return {f.__name__: f for f in named}
 
