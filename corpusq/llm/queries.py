@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.llm import blobs, decontaminate, jaccard, linefreq, oracles, pieces, pseudonyms, ranking, repair, sharding, spans, tokencache, toxicity
+from corpusq.llm import blobs, decontaminate, jaccard, linefreq, oracles, pieces, pseudonyms, ranking, repair, sharding, spans, tokencache, toxicity, whitening
 from corpusq.llm.common import held_out, scan_documents, scratch_path
 
 SHARDS = 24
@@ -152,6 +152,20 @@ def op12_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op13_spectrum_slicing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    pairs = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "pair")
+    return white.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", pairs).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("pair.whitened").alias("whitened"),
+        F.col("pair.explained").alias("explained"),
+        "identity_error",
+    )
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_sentencepiece,
@@ -166,6 +180,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_pairwise_ranking,
         op11_cyk_repair,
         op12_digest_cache,
+        op13_spectrum_slicing,
     )
     return {f.__name__: f for f in named}
 
