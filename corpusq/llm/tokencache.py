@@ -24,8 +24,9 @@ from corpusq.llm.common import map_arrow, written
 CACHE = "digest binary, n_tokens long"
 BROADCAST_MISSES = 100_000
 CHUNK_BYTES = 4 << 20
-#: Longer texts are encoded in parts of about so many characters where that is exact.
-PART_CHARS = 50_000
+#: A worker remembers the counts of so many words, of so many characters at most.
+MEMO_WORDS = 500_000
+MEMO_CHARS = 64
 
 #: Characters beyond these may compose with or lower to others, and ``<|`` may begin a special token: such texts are their own normal form.
 _SPECIAL = r"[^\x00-\xFF‐-‧]|<\|"
@@ -111,16 +112,43 @@ def open_cache(spark: SparkSession, path: str, version: str) -> tuple[DataFrame,
     return spark.read.schema(CACHE).parquet(folder), folder
 
 
-def parts(text: str, size: int = PART_CHARS) -> list[str]:
-    """``text`` cut before white space into parts of at least ``size`` characters; their counts add up for a tokenizer that folds."""
-    out, start = [], 0
-    while len(text) - start > 2 * size:
-        found = min((p for p in (text.find(c, start + size) for c in " \n") if p >= 0), default=-1)
-        if found < 0:
-            break
-        out.append(text[start:found])
-        start = found
-    return [*out, text[start:]]
+class WordCounts:
+    """Counts of whole texts as sums over what stands between spaces and line ends, exact for a tokenizer that folds.
+
+    White space parts and is dropped there, so nothing is merged across it; every different word is encoded once per worker while the memo
+    holds, which is what keeps the encoder's share small: a corpus repeats its words far more often than its texts.
+    """
+
+    def __init__(self, count):
+        self.count = count
+        self.memo: dict[str, int] = {}
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        return [self._total(t.replace("\n", " ").split(" ")) for t in texts]
+
+    def _total(self, words: list[str]) -> int:
+        memo = self.memo
+        new = [w for w in set(words) if w not in memo]
+        if not new:
+            return sum(map(memo.__getitem__, words))
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
+            new = list(set(words))
+        counts = dict(zip(new, self.count(new), strict=True))
+        memo.update((w, n) for w, n in counts.items() if len(w) <= MEMO_CHARS)
+        return sum(counts[w] if w in counts else memo[w] for w in words)
+
+
+_OPEN: dict[str, WordCounts | object] = {}
+
+
+def _opened(counter: Counter):
+    """The worker's counting function for a tokenizer, opened once per process."""
+    if counter.version not in _OPEN:
+        _OPEN.clear()
+        count = counter.open()
+        _OPEN[counter.version] = WordCounts(count) if counter.folds else count
+    return _OPEN[counter.version]
 
 
 def encode_misses(docs: DataFrame, counter: Counter, cache_path: str, text: str = "text") -> int | None:
@@ -147,11 +175,7 @@ def encode_misses(docs: DataFrame, counter: Counter, cache_path: str, text: str
         once = once.join(misses, "digest", "left_semi")
 
     def encode(table: pa.Table) -> pa.Table:
-        count = counter.open()
-        values = table["text"].to_pylist()
-        cut = [parts(v) if counter.folds else [v] for v in values]
-        each = iter(count([p for ps in cut for p in ps]))
-        totals = [sum(next(each) for _ in ps) for ps in cut]
+        totals = _opened(counter)(table["text"].to_pylist())
         return pa.table([table["digest"], pa.array(totals, pa.int64())], names=["digest", "n_tokens"])
 
     map_arrow(once, encode, CACHE, CHUNK_BYTES).write.mode("append").parquet(folder)

@@ -69,11 +69,18 @@ def test_normal_forms_have_the_same_count(spark, counter, library):
 
 
 @settings(max_examples=100, deadline=None)
-@given(TEXT.map(lambda t: t * 8))
-def test_parts_add_up(counter, library, text):
-    cut = tokencache.parts(text, 7)
-    assert "".join(cut) == text
-    assert sum(count(library, p) for p in cut) == count(library, text)
+@given(st.lists(TEXT.map(lambda t: t * 4), max_size=6))
+def test_words_add_up(counter, library, texts):
+    counts = tokencache.WordCounts(counter.open())
+    assert counts(texts + texts) == [count(library, t) for t in texts] * 2
+
+
+def test_memo_is_bounded(counter, library, monkeypatch):
+    monkeypatch.setattr(tokencache, "MEMO_WORDS", 20)
+    counts = tokencache.WordCounts(counter.open())
+    texts = [sentence(i, 15) + " " + "z" * 100 for i in range(30)]
+    assert counts(texts) == [count(library, t) for t in texts]
+    assert len(counts.memo) <= 20 + 16 and all(len(w) <= tokencache.MEMO_CHARS for w in counts.memo)
 
 
 def test_only_misses_are_encoded_and_appended(spark, counter, library):
