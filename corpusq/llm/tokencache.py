@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from importlib.metadata import version as library_version
@@ -30,7 +31,13 @@ MEMO_CHARS = 64
 
 #: Characters beyond these may compose with or lower to others, and ``<|`` may begin a special token: such texts are their own normal form.
 _SPECIAL = r"[^\x00-\xFF‐-‧]|<\|"
-_RUNS = r"(?: *[\x09-\x0D]| {2})[\x09-\x0D\x20]*+"
+_SPACES = r"(?: *[\x09-\x0D]| {2})[\x09-\x0D\x20]*+"
+
+
+#: A word that stays whole, and the runs of any other.
+_WHOLE = re.compile(r"[^\x00-\xFF]|'|<\|")
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+_RUN = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}]+")
 
 
 @dataclass
@@ -98,7 +105,7 @@ def normal_form(text: Column, folds: bool) -> Column:
     text = F.coalesce(text, F.lit(""))
     if not folds:
         return text
-    return F.when(text.rlike(_SPECIAL), text).otherwise(F.trim(F.regexp_replace(F.lower(text), _RUNS, " ")))
+    return F.when(text.rlike(_SPECIAL), text).otherwise(F.trim(F.regexp_replace(F.lower(text), _SPACES, " ")))
 
 
 def content_digest(text: Column, folds: bool) -> Column:
@@ -113,30 +120,42 @@ def open_cache(spark: SparkSession, path: str, version: str) -> tuple[DataFrame,
 
 
 class WordCounts:
-    """Counts of whole texts as sums over what stands between spaces and line ends, exact for a tokenizer that folds.
+    """Counts of whole texts as sums over their words and runs of letters, exact for a tokenizer that folds.
 
-    White space parts and is dropped there, so nothing is merged across it; every different word is encoded once per worker while the memo
+    White space parts words and is dropped, and a word of plain characters without an apostrophe is parted again between letters and
+    others, so nothing is merged across either border. A different run is encoded once per worker while the memo
     holds, which is what keeps the encoder's share small: a corpus repeats its words far more often than its texts.
     """
 
     def __init__(self, count):
         self.count = count
-        self.memo: dict[str, int] = {}
+        self.words: dict[str, int] = {}
+        self.runs: dict[str, int] = {}
 
     def __call__(self, texts: list[str]) -> list[int]:
         return [self._total(t.replace("\n", " ").split(" ")) for t in texts]
 
     def _total(self, words: list[str]) -> int:
-        memo = self.memo
-        new = [w for w in set(words) if w not in memo]
-        if not new:
-            return sum(map(memo.__getitem__, words))
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-            new = list(set(words))
+        different = set(words)
+        new = [w for w in different if w not in self.words]
+        if len(self.words) + len(new) > MEMO_WORDS:
+            self.words = {w: self.words[w] for w in different if w in self.words}
+        self.words.update(self._words(new))
+        total = sum(map(self.words.__getitem__, words))
+        for w in new:
+            if len(w) > MEMO_CHARS:
+                del self.words[w]
+        return total
+
+    def _words(self, words: list[str]) -> dict[str, int]:
+        cut = {w: [w] if _WHOLE.search(w) else _RUN.findall(w.lower()) for w in words}
+        new = list({r for runs in cut.values() for r in runs if r not in self.runs})
         counts = dict(zip(new, self.count(new), strict=True))
-        memo.update((w, n) for w, n in counts.items() if len(w) <= MEMO_CHARS)
-        return sum(counts[w] if w in counts else memo[w] for w in words)
+        out = {w: sum(counts[r] if r in counts else self.runs[r] for r in runs) for w, runs in cut.items()}
+        if len(self.runs) > MEMO_WORDS:
+            self.runs.clear()
+        self.runs.update((r, n) for r, n in counts.items() if len(r) <= MEMO_CHARS)
+        return out
 
 
 _OPEN: dict[str, WordCounts | object] = {}

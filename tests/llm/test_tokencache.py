@@ -48,7 +48,7 @@ def test_counts_equal_the_library(spark, counter, library):
     assert tokencache.count_tokens(frame(spark, []), counter, scratch_path(spark, "cache")).count() == 0
 
 
-TEXT = st.text(st.sampled_from("aAjJ éÉß'sT  \t\n\x0b\x85\xa0<|endoftext|>̱̌İıΣ“–9.,日") | st.characters(codec="utf-8", exclude_categories=["Cs"]), max_size=40)
+TEXT = st.text(st.sampled_from("aAjJ éÉß'sT.,;ª²½µÿ×÷12#  \t\n\x0b\x85\xa0<|endoftext|>̱̌İıΣ“–9.,日") | st.characters(codec="utf-8", exclude_categories=["Cs"]), max_size=40)
 
 
 def test_normal_forms_have_the_same_count(spark, counter, library):
@@ -68,7 +68,7 @@ def test_normal_forms_have_the_same_count(spark, counter, library):
     assert sum(r.form != r.text for r in got) > 50
 
 
-@settings(max_examples=100, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(st.lists(TEXT.map(lambda t: t * 4), max_size=6))
 def test_words_add_up(counter, library, texts):
     counts = tokencache.WordCounts(counter.open())
@@ -80,7 +80,8 @@ def test_memo_is_bounded(counter, library, monkeypatch):
     counts = tokencache.WordCounts(counter.open())
     texts = [sentence(i, 15) + " " + "z" * 100 for i in range(30)]
     assert counts(texts) == [count(library, t) for t in texts]
-    assert len(counts.memo) <= 20 + 16 and all(len(w) <= tokencache.MEMO_CHARS for w in counts.memo)
+    for memo in (counts.words, counts.runs):
+        assert len(memo) <= 20 + 17 and all(len(w) <= tokencache.MEMO_CHARS for w in memo)
 
 
 def test_only_misses_are_encoded_and_appended(spark, counter, library):
