@@ -372,6 +372,27 @@ def oracle_sql() -> dict[str, str]:
     sql["text_search_encoder"] = f"""
       WITH {asks}, {search('documents', 'doc_id', 'text', 'asks', 'item_id', 'question', 64, k=1)}
       SELECT item_id, round(score, 4) AS score, rank FROM hits"""
+    gated = """
+      df AS (SELECT term, count(*) AS df FROM dt GROUP BY term),
+      idf AS (SELECT term, round(ln((1 + (SELECT count(*) FROM documents)) / (1 + coalesce(df, 0))) * 1000)::bigint AS idf
+              FROM (SELECT DISTINCT term FROM qt UNION SELECT term FROM df) LEFT JOIN df USING (term)),
+      d AS MATERIALIZED (SELECT doc_id, term, tf * idf AS w FROM dt JOIN idf USING (term)),
+      q AS MATERIALIZED (SELECT query_id, term, tf * idf AS w FROM qt JOIN idf USING (term)),
+      dn AS (SELECT doc_id, sum(w * w)::bigint AS n2 FROM d GROUP BY ALL),
+      qn AS (SELECT query_id, sum(w * w)::bigint AS n2 FROM q GROUP BY ALL),
+      dots AS (SELECT query_id, doc_id, sum(q.w * d.w)::bigint AS dot FROM q JOIN d USING (term) GROUP BY ALL),
+      scored AS (SELECT query_id, doc_id, dot / (sqrt(qn.n2::double) * sqrt(dn.n2::double)) AS score
+                 FROM dots JOIN dn USING (doc_id) JOIN qn USING (query_id))"""
+    held = f"dt AS MATERIALIZED ({term_table('documents', 'doc_id', 'text', V.DEFAULT_BUCKETS)})"
+    rank = "row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::int AS rank"
+    sql["text_join"] = f"""
+      WITH {held}, qt AS (SELECT doc_id AS query_id, term, tf FROM dt), {gated}
+      SELECT query_id, doc_id, round(score, 6) AS score, {rank}
+      FROM scored WHERE score > {Q.GATE} AND query_id <> doc_id QUALIFY rank <= 3"""
+    sql["text_join_questions"] = f"""
+      WITH {held}, qt AS ({term_table('(SELECT item_id AS query_id, text FROM benchmark)', 'query_id', 'text', V.DEFAULT_BUCKETS)}), {gated}
+      SELECT query_id AS item_id, doc_id, round(score, 6) AS score, {rank}
+      FROM scored WHERE score > {Q.TEXT_GATE} QUALIFY rank <= 3"""
     unit = "CASE WHEN count(term) > 0 THEN 1.0::double ELSE 0.0::double END AS length"
     sql["index_build_dense"] = f"""
       WITH t AS ({term_table('documents', 'doc_id', 'text', 64)})

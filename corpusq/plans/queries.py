@@ -17,7 +17,7 @@ from corpusq.functions import html as H
 from corpusq.functions import prompts as P
 from corpusq.functions import terms as V
 from corpusq.functions import text as X
-from corpusq.operators import approximate, chat, chunks, corpus, entities, experiments, flow, index, infer, ordered, search
+from corpusq.operators import approximate, chat, chunks, corpus, entities, experiments, flow, index, infer, ordered, search, textjoin
 from corpusq.operators.joins import compute_once
 from corpusq.session import spread
 from corpusq.sources import snapshots, tables
@@ -538,6 +538,19 @@ def text_search_encoder(spark, sf):
     return _coarse(hits).select("item_id", "score", "rank")
 
 
+@query
+def text_join(spark, sf):
+    """Every document as a question, by an exact join behind the gate."""
+    hits = textjoin.text_join(documents(spark, sf), None, GATE, 3, id_col="doc_id", text="text", query_id="query_id")
+    return _rounded(hits)
+
+
+@query
+def text_join_questions(spark, sf):
+    hits = textjoin.text_join(documents(spark, sf), _questions(spark, sf), TEXT_GATE, 3, **_TEXT_COLUMNS)
+    return _rounded(hits)
+
+
 @query
 def index_build_dense(spark, sf):
     built = index.build_index(documents(spark, sf), "doc_id", "text", ["lang"], encode=index.hashed_encoder(64))
