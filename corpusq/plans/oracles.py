@@ -417,6 +417,7 @@ def oracle_sql() -> dict[str, str]:
       hits AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::int AS rank
                FROM scored WHERE score > 0 QUALIFY rank <= 3)
       SELECT item_id, doc_id, round(score, 6) AS score, rank FROM hits"""
+    sql["keyword_search_stored"] = sql["keyword_search"]
     sql["index_sync"] = f"""
       WITH s AS (SELECT doc_id, CASE WHEN lang = 'en' THEN {collapse('text')} || ' (revised)' ELSE text END AS text
                  FROM documents WHERE {NOT_TOXIC}

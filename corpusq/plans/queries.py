@@ -17,7 +17,7 @@ from corpusq.functions import html as H
 from corpusq.functions import prompts as P
 from corpusq.functions import terms as V
 from corpusq.functions import text as X
-from corpusq.operators import approximate, chat, chunks, corpus, entities, experiments, flow, index, infer, ordered, search, textjoin
+from corpusq.operators import approximate, chat, chunks, corpus, entities, experiments, flow, index, infer, ordered, postings, search, textjoin
 from corpusq.operators.joins import compute_once
 from corpusq.session import spread
 from corpusq.sources import snapshots, tables
@@ -585,11 +585,21 @@ def index_sync_dense(spark, sf):
 
 @query
 def keyword_search(spark, sf):
+    """One batch of questions in a scan of the documents, without stored postings."""
     rows = search.with_term_vector(documents(spark, sf).select("doc_id", "text"), "text")
     asked = search.with_term_vector(_questions(spark, sf), "question")
     return _rounded(search.keyword_search(rows, asked, 3, id_col="doc_id", query_id="item_id"))
 
 
+@query
+def keyword_search_stored(spark, sf):
+    """Over a stored inverted table, of which a question reads the blocks that can matter."""
+    path = _folder(spark, "postings")
+    postings.write_postings(documents(spark, sf), path, "doc_id", "text")
+    asked = search.with_term_vector(_questions(spark, sf), "question")
+    return _rounded(postings.search_postings(spark, path, asked, 3, id_col="doc_id", query_id="item_id"))
+
+
 @query
 def index_sync(spark, sf):
     docs = documents(spark, sf)
