@@ -360,6 +360,21 @@ def oracle_sql() -> dict[str, str]:
                 JOIN embeddings q ON q.vec_id = query_id JOIN embeddings d ON d.vec_id = near.vec_id),
       hits AS (SELECT *, {RANKED} FROM pairs QUALIFY rank <= 3)
       SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hits"""
+    bits, probes = Q.PROBES["bits"], Q.PROBES["probes"]
+    planes = random_planes(64, 1, bits, Q.PROBES["seed"])
+    unit = (planes / (planes**2).sum(axis=0) ** 0.5).T.tolist()
+    sql["topk_multiprobe"] = f"""
+      WITH planes AS (SELECT unnest({unit}::double[][]) AS p, unnest(range({bits})) AS n),
+      sides AS (SELECT vec_id, n, list_inner_product(embedding::double[], p) AS x FROM embeddings, planes),
+      own AS (SELECT vec_id, sum(CASE WHEN x > 0 THEN 1 << n ELSE 0 END)::bigint AS bucket FROM sides GROUP BY ALL),
+      cost AS (SELECT vec_id, m, sum(CASE WHEN (m >> n) & 1 = 1 THEN x * x ELSE 0 END) AS c FROM sides, range({1 << bits}) AS r(m) GROUP BY ALL),
+      visits AS (SELECT vec_id AS query_id, xor(bucket, m) AS bucket FROM cost JOIN own USING (vec_id)
+                 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY c, m) <= {probes}),
+      near AS (SELECT query_id, vec_id FROM visits JOIN own USING (bucket) WHERE query_id <> vec_id),
+      pairs AS (SELECT query_id, d.vec_id, {COSINE} AS score FROM near
+                JOIN embeddings q ON q.vec_id = query_id JOIN embeddings d ON d.vec_id = near.vec_id),
+      hits AS (SELECT *, {RANKED} FROM pairs QUALIFY rank <= 3)
+      SELECT query_id, vec_id, round(score, 6) AS score, rank FROM hits"""
     asks = "asks AS (SELECT item_id, text AS question FROM benchmark)"
     for name, buckets in (("text_search", V.DEFAULT_BUCKETS), ("text_search_dense64", 64)):
         sql[name] = f"""

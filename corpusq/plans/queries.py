@@ -498,6 +498,19 @@ def topk_lsh(spark, sf):
     return _rounded(approximate.topk_lsh(vectors, asked, 3, skip_equal=True, **LSH, **_VECTOR_COLUMNS))
 
 
+PROBES = {"bits": 6, "probes": 50, "seed": 42}
+
+
+@query
+def topk_multiprobe(spark, sf):
+    """Over a table stored by bucket; the fixture's vectors have no near neighbours, so many buckets are visited."""
+    path = _folder(spark, "buckets")
+    vectors, asked = _vectors(spark, sf)
+    approximate.write_signatures(vectors, path, "embedding", PROBES["bits"], PROBES["seed"])
+    hits = approximate.topk_multiprobe(spark.read.parquet(path), asked, 3, skip_equal=True, **PROBES, **_VECTOR_COLUMNS)
+    return _rounded(hits)
+
+
 _TEXT_COLUMNS = {"id_col": "doc_id", "text": "text", "query_id": "item_id", "query_text": "question"}
 
 

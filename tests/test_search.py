@@ -158,6 +158,58 @@ def test_lsh_finds_copies_in_a_hot_bucket(spark):
     assert [h[1] for h in got] == [0, 1, 2, 3, 4]
 
 
+def clustered(n=2000, dim=16, centres=40, seed=1):
+    rng = np.random.default_rng(seed)
+    middle = rng.standard_normal((centres, dim))
+    return (middle[rng.integers(0, centres, n)] + 0.15 * rng.standard_normal((n, dim))).round(3)
+
+
+def test_multiprobe_on_clusters_scores_few_pairs(spark, tmp_path):
+    vectors = clustered()
+    ids = list(range(len(vectors)))
+    a, b = frames(spark, ids, vectors, ids, vectors)
+    bits = approximate.bits_for(len(ids), 32)
+    assert bits == 6 and approximate.bits_for(10) == 1 and approximate.bits_for(10**12) == approximate.MAX_BITS
+    probes = approximate.calibrate(a, b, bits, 3, 0.95, skip_equal=True, **COLUMNS)
+    approximate.write_signatures(a, str(tmp_path / "index"), "v", bits)
+    index = spark.read.parquet(str(tmp_path / "index"))
+    assert index.count() == len(ids)
+    near = hits(approximate.topk_multiprobe(index, b, 3, bits=bits, probes=probes, skip_equal=True, **COLUMNS))
+    exact = hits(search.topk_dense(a, b, 3, skip_equal=True, **COLUMNS))
+    assert len({h[:3] for h in near} & {h[:3] for h in exact}) / len(exact) >= 0.95
+    visits = approximate.probed(b, "qv", bits, probes)
+    pairs = visits.join(index.groupBy("bucket").count(), "bucket").agg(F.sum("count")).first()[0]
+    assert pairs < 0.2 * len(ids) ** 2
+    assert visits.count() == visits.select("q", "bucket").distinct().count()  # so no pair is scored twice
+
+
+def test_multiprobe_in_all_buckets_is_exact_and_cuts_hot_ones(spark):
+    vectors = clustered(300)
+    vectors[:120] = vectors[0]
+    vectors[7] = 0
+    ids = list(range(300))
+    a, b = frames(spark, ids, vectors, ids[:40], vectors[:40])
+    a = a.unionByName(spark.createDataFrame([(900, None)], a.schema))
+    signed = approximate.with_bucket(a, "v", 3)
+    for blocks in ((16384, 16384), (20, 8)):
+        got = hits(approximate.topk_multiprobe(signed, b, 3, bits=3, probes=8, blocks=blocks, **COLUMNS))
+        assert got == brute(ids, vectors, ids[:40], vectors[:40], 3)
+    assert approximate.topk_multiprobe(signed.limit(0), b, 3, bits=3, probes=8, **COLUMNS).count() == 0
+
+
+@pytest.mark.parametrize("table", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_multiprobe_recall_of_the_query(spark, table):
+    from corpusq.plans import queries
+
+    vectors = spark.read.parquet(f"{table}/embeddings.parquet")
+    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
+    exact = search.topk_dense(vectors, asked, 3, skip_equal=True, **queries._VECTOR_COLUMNS)
+    near = queries.topk_multiprobe(spark, table)
+    pairs = lambda df: {(r.query_id, r.vec_id) for r in df.collect()}
+    truth = pairs(exact)
+    assert len(pairs(near) & truth) / len(truth) >= 0.9
+
+
 def test_embedding_with_injected_encoder(spark):
     embed = index.encoder_udf(lambda: lambda texts: np.array([[len(t), 1] for t in texts]))
     df = spark.createDataFrame([("abc",), (None,)], "t string").select(embed(F.col("t")).alias("e"))
