@@ -245,6 +245,18 @@ def oracle_sql() -> dict[str, str]:
                  FROM documents WHERE doc_id % 10 <> 0),
       t AS ({term_table('s', 'doc_id', 'text', V.DEFAULT_BUCKETS)})
       SELECT doc_id, text, lang, coalesce(sum(tf * tf), 0)::bigint AS norm2 FROM s LEFT JOIN t USING (doc_id) GROUP BY ALL"""
+    revised = f"SELECT doc_id, CASE WHEN lang = 'en' THEN {collapse('text')} || ' (revised)' ELSE text END AS text, lang FROM documents WHERE {NOT_TOXIC}"
+    sql["change_log"] = f"""
+      WITH o AS (SELECT doc_id, text, lang FROM documents WHERE {LABELLED}), n AS ({revised})
+      SELECT doc_id, 'insert' AS kind, 1::bigint AS version, text, lang FROM o
+      UNION ALL
+      SELECT coalesce(o.doc_id, n.doc_id), CASE WHEN o.doc_id IS NULL THEN 'insert' WHEN n.doc_id IS NULL THEN 'delete' ELSE 'update' END,
+             2, n.text, n.lang
+      FROM o FULL JOIN n ON o.doc_id = n.doc_id WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.text <> n.text OR o.lang <> n.lang"""
+    sql["change_feed_index"] = f"""
+      WITH s AS ({revised}), t AS ({term_table('s', 'doc_id', 'text', V.DEFAULT_BUCKETS)})
+      SELECT doc_id, text, lang, count(term) AS n_terms, coalesce(sum(tf * tf), 0)::bigint AS norm2
+      FROM s LEFT JOIN t USING (doc_id) GROUP BY ALL"""
     sql["project_alias"] = (
         "SELECT doc_id AS player_id, text AS document, source AS player_position FROM documents"
     )

@@ -21,6 +21,7 @@ from corpusq.operators import approximate, chat, chunks, corpus, entities, exper
 from corpusq.operators.joins import compute_once
 from corpusq.session import spread
 from corpusq.sources import snapshots, tables
+from corpusq.sources.changelog import ChangeLog, follow_index
 from corpusq.sources.materialise import shared_folder
 from corpusq.streaming import sync
 from corpusq.streaming.memory import keep_last_words, stream_summaries
@@ -183,6 +184,33 @@ def stream_sync(spark, sf):
     return sync.read_index(spark, f"{root}/index", "doc_id").select("doc_id", "text", "lang", "norm2")
 
 
+def _committed(spark, sf, root, index=None):
+    """A source with two commits: labelled documents, then the revised ones that are not toxic. ``index`` follows each."""
+    docs = documents(spark, sf)
+    source = ChangeLog(spark, f"{root}/source", "doc_id")
+    revised = F.when(F.col("lang") == "en", F.concat(X.collapse_whitespace(F.col("text")), F.lit(" (revised)"))).otherwise(F.col("text"))
+    for state in (labelled(spark, sf, docs), not_toxic(spark, sf, docs).withColumn("text", revised)):
+        source.commit(state.select("doc_id", "text", "lang"))
+        if index is not None:
+            follow_index(source, index, "text", ["lang"])
+    return source
+
+
+@query
+def change_log(spark, sf):
+    """What two commits changed, as the log tells it."""
+    return _committed(spark, sf, _folder(spark, "changes")).changes()
+
+
+@query
+def change_feed_index(spark, sf):
+    """An index that follows the source's log: documents that left the source have left the index."""
+    root = _folder(spark, "feed")
+    index_log = ChangeLog(spark, f"{root}/index", "doc_id")
+    _committed(spark, sf, root, index_log)
+    return index_log.read().select("doc_id", "text", "lang", F.size("vector").cast("long").alias("n_terms"), "norm2")
+
+
 @query
 def stream_memory(spark, sf):
     """Running summaries of streamed turn pairs, read back from the sink."""

@@ -39,11 +39,18 @@ def assert_unique(df: DataFrame, key: str) -> DataFrame:
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """``(key, change)`` with change insert, update or delete; unchanged keys are left out.
 
-    Only the key and a digest are shuffled, not the texts.
+    Only the key and a digest are shuffled, not the texts. Keys must be unique and not NULL on both sides: a job that meets another key
+    fails. Keys are counted on the way to the join, in the same exchange.
     """
     columns = list(columns or [c for c in new.columns if c != key])
-    before = old.select(F.col(key), row_digest(columns).alias("_before"))
-    after = new.select(F.col(key), row_digest(columns).alias("_after"))
+
+    def digests(df: DataFrame, out: str) -> DataFrame:
+        rows = df.select(F.col(key), row_digest(columns).alias(out)).groupBy(key).agg(F.first(out).alias(out), F.count(F.lit(1)).alias("_n"))
+        bad = F.col(key).isNull() | (F.col("_n") > 1)
+        told = F.raise_error(F.concat(F.lit(f"key {key} is not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))).cast("string")
+        return rows.select(key, F.when(bad, told).otherwise(F.col(out)).alias(out))
+
+    before, after = digests(old, "_before"), digests(new, "_after")
     change = (
         F.when(F.col("_before").isNull(), "insert")
         .when(F.col("_after").isNull(), "delete")
