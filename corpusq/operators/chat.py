@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Iterator, Mapping
-from typing import Any
+from typing import Any, Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +19,7 @@ from corpusq.operators import ordered as O
 from corpusq.operators import search as S
 from corpusq.operators.infer import Scorer, batch_score
 from corpusq.operators.joins import lookup_join
-from corpusq.sources.materialise import materialise
+from corpusq.sources.materialise import materialise, stored
 
 USER, ASSISTANT = "user", "assistant"
 
@@ -103,8 +105,8 @@ def fold_summary(
 ) -> DataFrame:
     """Running summary over ``turn_pairs`` with an injected ``(summary, input, output) -> summary``.
 
-    A fold depends on its previous step, so a conversation stays in one task;
-    rows stream through it in order and only the running summary is held.
+    A fold with any summariser depends on its previous step, so a conversation stays in one task;
+    rows stream through it in order and only the running summary is held. ``fold_mergeable`` spreads a conversation over many tasks.
     """
     schema = T.StructType([df.schema[conv], df.schema[turn], T.StructField("summary", T.StringType())])
 
@@ -124,6 +126,108 @@ def fold_summary(
     return ordered.mapInPandas(fold, schema)
 
 
+class Mergeable(Protocol):
+    """A running summary that two halves of a conversation can make apart: ``merge`` is associative, states are texts.
+
+    ``of`` is the state of one pair, ``show`` the summary that a state stands for.
+    """
+
+    def of(self, said: str, answer: str) -> str: ...
+
+    def merge(self, earlier: str, later: str) -> str: ...
+
+    def show(self, state: str) -> str: ...
+
+
+class RunningSummary:
+    """Counts of pairs and words, a checksum that depends on every pair and its place, and the last words."""
+
+    MODULUS = 1_000_003
+
+    def __init__(self, last: int = 20):
+        self.last = last
+
+    def of(self, said: str, answer: str) -> str:
+        words = f"{said} {answer}".split()
+        value = int(hashlib.md5(f"{said} {answer}".encode()).hexdigest()[:8], 16) % self.MODULUS
+        return json.dumps([1, len(words), value, value, words[-self.last :]])
+
+    def merge(self, earlier: str, later: str) -> str:
+        n, words, total, placed, tail = json.loads(earlier)
+        n2, words2, total2, placed2, tail2 = json.loads(later)
+        placed = (placed + placed2 + n * total2) % self.MODULUS  # the later pairs stand n places further on
+        return json.dumps([n + n2, words + words2, (total + total2) % self.MODULUS, placed, (tail + tail2)[-self.last :]])
+
+    def show(self, state: str) -> str:
+        n, words, _, placed, tail = json.loads(state)
+        return f"{n} pairs, {words} words, checksum {placed}: {' '.join(tail)}"
+
+
+def fold_mergeable(
+    df: DataFrame,
+    factory: Callable[[], Mergeable],
+    conv: str = "conv_id",
+    turn: str = "turn",
+    block_rows: int = O.BLOCK_ROWS,
+) -> DataFrame:
+    """``(conv, turn, summary)``: the running summary of ``turn_pairs``, as a serial fold gives it, made by many tasks per conversation.
+
+    Two sweeps: each block of turns is summarised on its own and a scan over the blocks' states gives what stands before each; then each
+    block is folded from there. Rows stream through a task block by block. Only conversations of more than one block take part in the first sweep.
+    """
+    schema = T.StructType([df.schema[conv], df.schema[turn], T.StructField("summary", T.StringType())])
+    rows = stored(df.select(conv, turn, "input", "output", O._block(turn, block_rows).alias("_block")), "pairs")
+    blocks = rows.select(conv, "_block").distinct()
+    many = blocks.groupBy(conv).count().filter("count > 1").select(conv)
+    state_schema = T.StructType([df.schema[conv], T.StructField("_block", T.LongType()), T.StructField("_state", T.StringType())])
+
+    def in_blocks(frame: DataFrame) -> DataFrame:
+        return frame.repartition(conv, "_block").sortWithinPartitions(conv, "_block", turn)
+
+    def steps(batches: Iterator[pd.DataFrame], summary: Mergeable):
+        """``(conv, block, turn, state)`` after each row, a block's first head put before its first row."""
+        place, state = None, None
+        for pdf in batches:
+            heads = pdf["_head"] if "_head" in pdf else [None] * len(pdf)
+            for c, b, t, said, answer, head in zip(pdf[conv], pdf["_block"], pdf[turn], pdf["input"], pdf["output"], heads):
+                own = summary.of(said, answer)
+                if (c, b) != place:
+                    place, state = (c, b), head if isinstance(head, str) else None
+                state = own if state is None else summary.merge(state, own)
+                yield c, b, t, state
+
+    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, out = None, []
+        for c, b, _, state in steps(batches, factory()):
+            if last is not None and last[:2] != (c, b):
+                out.append(last)
+            last = (c, b, state)
+            if len(out) >= 1000:
+                yield pd.DataFrame(out, columns=state_schema.names)
+                out = []
+        if last is not None:
+            yield pd.DataFrame([*out, last], columns=state_schema.names)
+
+    def show(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        summary, out = factory(), []
+        for c, _, t, state in steps(batches, summary):
+            out.append((c, t, summary.show(state)))
+            if len(out) >= 1000:
+                yield pd.DataFrame(out, columns=schema.names)
+                out = []
+        if out:
+            yield pd.DataFrame(out, columns=schema.names)
+
+    def merged(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        summary = factory()
+        for earlier, later in pairs:
+            yield pd.Series([None if a is None else summary.merge(a, b) for a, b in zip(earlier, later)], dtype=object)
+
+    states = in_blocks(rows.join(many, conv, "left_semi")).mapInPandas(sweep, state_schema)
+    heads = O.scan_blocks(states, blocks, conv, "_state", F.pandas_udf(merged, T.StringType()), "_head")
+    return in_blocks(rows.join(heads, [conv, "_block"], "left")).mapInPandas(show, schema)
+
+
 def turn_keywords(
     df: DataFrame, n: int = 10, conv: str = "conv_id", turn: str = "turn", text: str = "text"
 ) -> DataFrame:

@@ -63,6 +63,18 @@ def write_results(df: DataFrame, path: str) -> None:
     df.select(*columns).write.mode("overwrite").partitionBy("prompt_style").parquet(path)
 
 
+RESULT_COLUMNS = ("prompt_style", "temperature", "prompt", "model_output")
+
+
+def log_results(df: DataFrame, path: str, keep: Sequence[str] = ()) -> None:
+    """Put runs into the result log at ``path``: rows of a run that is logged already are replaced, those of other runs stay.
+
+    The log is partitioned by ``run_name``, and only the partitions that ``df`` has rows for are overwritten, in one commit each run. An empty ``df`` changes nothing.
+    """
+    rows = df.select("run_name", *keep, *RESULT_COLUMNS).repartition("run_name", F.pmod(F.xxhash64("prompt"), F.lit(16)))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_name").parquet(path)
+
+
 def compare_by_prompt(results: DataFrame, question: str, runs: Sequence[str]) -> DataFrame:
     """One row per question and prompt with one output column per run.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 from typing import Protocol
 
@@ -94,6 +94,59 @@ def lead_answer(prompt: Column, max_new_tokens: Column | int, content: Column |
     return lead_words(after if content is None else F.coalesce(content, after), max_new_tokens)
 
 
+def row_seed(run_seed: int, *key: str) -> Column:
+    """A 31-bit seed from a row's key and the run's seed: the same in every batch, partition and retry."""
+    text = F.concat_ws("\x1f", F.lit(str(run_seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % (1 << 31)).alias("seed")
+
+
+class SampledScorer:
+    """A stand-in for a sampling model: ``max_new_tokens`` words of the content from a place that the row's seed and temperature choose."""
+
+    def __call__(self, requests: pd.DataFrame) -> pd.Series:
+        out = []
+        for prompt, content, n, seed, t in zip(*(requests[c] for c in ("prompt", "content", "max_new_tokens", "seed", "temperature"))):
+            words = (prompt if content is None or content != content else content).split(" ")
+            start = int(seed) % len(words) if t > 0 else 0
+            out.append(" ".join(words[start : start + int(n)]))
+        return pd.Series(out, index=requests.index, dtype=object)
+
+
+def score_all(
+    df: DataFrame,
+    factories: Mapping[str, Callable[[], Scorer]],
+    key: Sequence[str],
+    seed: int = 0,
+    content: Column | None = None,
+    requests: Mapping[str, Mapping[str, Column]] | None = None,
+) -> DataFrame:
+    """Adds one text column per scorer, all from one pass over the rows.
+
+    The request travels to Python once, as a struct with the row's ``seed`` made from its ``key``; each scorer is built once per task and sees every row. ``requests``
+    overrides request columns for one scorer, for example another prompt. A repeated run, whatever its batches, gives the same texts as far as
+    the scorers keep to their seed.
+    """
+    given = F.lit(None).cast("string") if content is None else content
+    ready = with_request_defaults(df)
+    own = {name: dict((requests or {}).get(name, {})) for name in factories}
+    common = F.struct(*[F.col(c) for c in REQUEST[:-1]], given.alias("content"), row_seed(seed, *key))
+    more = [c.alias(f"{i}_{column}") for i, name in enumerate(factories) for column, c in own[name].items()]
+    out = T.StructType([T.StructField(name, T.StringType()) for name in factories])
+    changes = {name: list(columns) for name, columns in own.items()}
+
+    def score(batches: Iterator[tuple[pd.DataFrame, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+        scorers = [f() for f in factories.values()]
+        for request, changed in batches:
+            found = {}
+            for i, (name, scorer) in enumerate(zip(factories, scorers)):
+                mine = request.assign(**{c: changed[f"{i}_{c}"] for c in changes[name]})
+                found[name] = scorer(mine) if len(mine) else pd.Series([], dtype=object)
+            yield pd.DataFrame(found)
+
+    scored = F.pandas_udf(score, out)(common, F.struct(*(more or [F.lit(0).alias("none")])))
+    return ready.withColumn("_scored", scored).select(*[c for c in ready.columns if c not in factories], "_scored.*")
+
+
 def classify(
     df: DataFrame,
     text: str,

@@ -9,6 +9,7 @@ from corpusq.functions import terms as V
 from corpusq.functions import text as X
 from corpusq.operators import experiments
 from corpusq.operators.approximate import random_planes
+from corpusq.operators.chat import RunningSummary
 from corpusq.plans import queries as Q
 
 
@@ -239,6 +240,9 @@ def oracle_sql() -> dict[str, str]:
     sql["overwrite_merging_schema"] = "SELECT doc_id, NULL::varchar AS lang, n_chars FROM documents WHERE lang = 'fr'"
     sql["append_rows"] = "SELECT doc_id, lang, CASE WHEN lang = 'en' THEN n_chars END AS n_chars FROM documents"
     sql["align_schema"] = "SELECT doc_id, NULL::varchar AS lang, NULL::varchar AS source, n_chars FROM documents"
+    sql["rows_of_settings"] = """
+      SELECT lang, doc_id, CASE lang WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' END AS name, NULL::varchar AS other FROM documents"""
+    sql["namespace_table"] = "SELECT doc_id, lang FROM documents"
     sql["write_clustered"] = "SELECT lang, doc_id FROM documents WHERE doc_id >= 100"
     sql["stream_sync"] = f"""
       WITH s AS (SELECT doc_id, {collapse("CASE WHEN doc_id % 5 = 0 THEN text || ' (revised)' ELSE text END")} AS text, lang
@@ -477,6 +481,16 @@ def oracle_sql() -> dict[str, str]:
     sql["batch_score"] = f"SELECT doc_id, {lead(scored, 50)} AS model_output FROM documents"
     sql["batch_score_marker"] = f"SELECT doc_id, {lead("'Table of content: ' || text", 50)} AS model_output FROM documents"
     sql["batch_score_injected"] = f"SELECT conv_id, turn, {lead('text', 20)} AS model_output FROM conversations"
+    sql["batch_score_seeded"] = """
+      SELECT doc_id, array_to_string(w[s + 1 : s + 5], ' ') AS sampled FROM (
+        SELECT doc_id, w, (('0x' || substr(md5('7' || chr(31) || doc_id), 1, 8))::bigint % 2147483648) % len(w) AS s
+        FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents))"""
+    logged = "'Use this report. content: ' || {0} AS prompt, {1} AS model_output"
+    parts = [("prompt_style <> 'DIRECT'", "text"), ("prompt_style = 'DIRECT'", "'again ' || text")]
+    sql["experiment_log"] = " UNION ALL ".join(
+        f"SELECT item_id, run_name, prompt_style, temperature, {logged.format(t, lead(t, 150))} FROM benchmark, {GRID} WHERE {where}"
+        for where, t in parts
+    )
     sql["strip_prompt"] = "SELECT conv_id, turn, text AS answer FROM conversations"
     sql["lead_summary"] = f"SELECT doc_id, {lead('text', 50)} AS summary FROM documents"
     answer = recommendation("lang", "source", lead(collapse("text"), 50))
@@ -504,6 +518,8 @@ def oracle_sql() -> dict[str, str]:
     sql["flow_parallel"] = """
       SELECT doc_id, quality AS passed, quality * 3 AS mult, quality + 1 AS modified,
              'joke on ' || doc_id AS joke, 'poem on ' || toxic AS poem FROM labels"""
+    sql["flow_parallel_scored"] = """
+      SELECT doc_id, quality, 'joke on ' || doc_id AS joke, 'poem on' AS poem FROM labels"""
     sql["classify_rows"] = f"WITH {TOPICS} SELECT conv_id, turn, topic FROM topics"
     sql["classify_scored"] = sql["classify_rows"]
     routes = " ".join(f"WHEN '{n}' THEN {filled(t, question='text')}" for n, t in Q.ROUTES.items())
@@ -532,12 +548,36 @@ def oracle_sql() -> dict[str, str]:
                lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS output FROM conversations)
       WHERE role = 'user' AND next_role = 'assistant'"""
     sql["history_summary"] = f"WITH {SUMMARY} SELECT * FROM summaries"
-    sql["summary_fold"] = rf"""
+    one = "SELECT 1::bigint AS conv_id, conv_id * 1000 + turn AS turn, role, text FROM conversations"
+
+    def folded(table: str) -> str:
+        pairs = sql["turn_pairs"].replace("FROM conversations", f"FROM ({table})")
+        spaced = r"trim(regexp_replace(input || ' ' || output, '\s+', ' ', 'g'))"
+        w = "OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        return f"""
+      WITH pairs AS ({pairs}),
+      said AS (SELECT *, {spaced} AS t, ('0x' || substr(md5(input || ' ' || output), 1, 8))::bigint % {RunningSummary.MODULUS} AS v,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place FROM pairs)
+      SELECT conv_id, turn, place || ' pairs, ' || (sum(CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' ')) END) {w})::bigint
+             || ' words, checksum ' || (sum(v * place) {w} % {RunningSummary.MODULUS})::bigint || ': '
+             || array_to_string((string_split(trim(string_agg(t, ' ') OVER (PARTITION BY conv_id ORDER BY turn
+                ROWS BETWEEN 24 PRECEDING AND CURRENT ROW)), ' '))[-20:], ' ') AS summary FROM said"""
+
+    sql["summary_fold"] = folded("SELECT * FROM conversations")
+    sql["summary_fold_hot"] = folded(one)
+    gapped = f"""
+      SELECT conv_id, turn, {lead("(string_split(h, 'New summary:'))[-1]", 50)} AS summary
+      FROM (SELECT *, coalesce(string_agg({LINE}, ' ') OVER (ORDER BY turn ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), '') AS h FROM ({one}))"""
+    sql["turn_pairs_gaps"] = f"""
+      SELECT s.*, input, output FROM ({gapped}) s
+      LEFT JOIN ({sql['turn_pairs'].replace('FROM conversations', f'FROM ({one})')}) p USING (conv_id, turn)"""
+    sql["summary_last_words"] = rf"""
       WITH pairs AS ({sql['turn_pairs']}),
       said AS (SELECT conv_id, turn, string_agg(input || ' ' || output, ' ') OVER (PARTITION BY conv_id ORDER BY turn
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t FROM pairs)
       SELECT conv_id, turn, array_to_string((string_split_regex(trim({collapse('t')}), ' '))[-20:], ' ') AS summary
       FROM said"""
+    sql["stream_last_words"] = sql["summary_last_words"]
     sql["stream_memory"] = sql["summary_fold"]
     sql["accumulate_query"] = f"WITH {ACCUMULATED} SELECT * FROM accumulated"
     sql["turn_keywords"] = f"WITH {keyword_table('conversations', 'text')} SELECT * FROM kw".replace("WITH \n", "WITH ")

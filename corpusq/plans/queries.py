@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusq.functions import html as H
 from corpusq.functions import prompts as P
@@ -24,7 +25,7 @@ from corpusq.sources import snapshots, tables
 from corpusq.sources.changelog import ChangeLog, follow_index
 from corpusq.sources.materialise import shared_folder
 from corpusq.streaming import sync
-from corpusq.streaming.memory import keep_last_words, stream_summaries
+from corpusq.streaming.memory import keep_last_words, stream_ordered_summaries, stream_summaries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +160,29 @@ def align_schema(spark, sf):
     return tables.align(tables.scan(spark, sf, "documents").select("n_chars", "doc_id"), schema, required=["doc_id"])
 
 
+@query
+def rows_of_settings(spark, sf):
+    """A small local list with a full schema, joined to the table that it describes, and an empty one."""
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("name", T.StringType())])
+    names = tables.from_rows(spark, [("en", "English"), ("de", "German")], schema)
+    none = tables.from_rows(spark, [], schema).withColumnRenamed("name", "other")
+    docs = tables.scan(spark, sf, "documents").select("doc_id", "lang")
+    return docs.join(F.broadcast(names), "lang", "left").join(none, "lang", "left")
+
+
+@query
+def namespace_table(spark, sf):
+    """A table written in a namespace of its own and read by its full name after the session has left it."""
+    before = spark.sql("SELECT current_schema() AS s").first().s
+    space = _table(spark, "space")
+    tables.use_namespace(spark, space)
+    try:
+        tables.overwrite_table(tables.scan(spark, sf, "documents").select("doc_id", "lang"), "docs")
+    finally:
+        tables.use_namespace(spark, before)
+    return spark.table(f"{space}.docs")
+
+
 @query
 def write_clustered(spark, sf):
     path = _folder(spark, "clustered")
@@ -211,23 +235,36 @@ def change_feed_index(spark, sf):
     return index_log.read().select("doc_id", "text", "lang", F.size("vector").cast("long").alias("n_terms"), "norm2")
 
 
-@query
-def stream_memory(spark, sf):
-    """Running summaries of streamed turn pairs, read back from the sink."""
+def _streamed(spark, batches, stream_of):
+    """What a stream over ``batches``, one file folder each and one per micro-batch, writes."""
     root = _folder(spark, "memory")
-    pairs = chat.turn_pairs(_turns(spark, sf))
-    pairs.write.parquet(f"{root}/in")
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
     spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        stream = spark.readStream.schema(pairs.schema).parquet(f"{root}/in")
-        summaries = stream_summaries(stream, lambda: keep_last_words(20))
-        writer = summaries.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
-        writer.format("parquet").option("path", f"{root}/out").start().awaitTermination()
+        for n, rows in enumerate(batches):
+            rows.write.parquet(f"{root}/in/batch={n}")
+            stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in/*")
+            out = stream_of(stream)
+            writer = out.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+            writer.format("parquet").option("path", f"{root}/out").start().awaitTermination()
     finally:
         spark.conf.set(key, before)
-    return spark.read.schema(summaries.schema).parquet(f"{root}/out")
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+@query
+def stream_last_words(spark, sf):
+    """The bounded variant: summaries of 20 words, turn pairs in order."""
+    return _streamed(spark, [chat.turn_pairs(_turns(spark, sf))], lambda stream: stream_summaries(stream, lambda: keep_last_words(20)))
+
+
+@query
+def stream_memory(spark, sf):
+    """Summaries that depend on every turn, while later turns arrive before earlier ones."""
+    pairs = ordered.renumber(chat.turn_pairs(_turns(spark, sf)), "conv_id", "turn", "position")
+    batches = [pairs.filter("position % 3 = 2"), pairs.filter("position % 3 = 0"), pairs.filter("position % 3 = 1")]
+    return _streamed(spark, batches, lambda stream: stream_ordered_summaries(stream, chat.RunningSummary))
 
 
 @query
@@ -726,6 +763,25 @@ def batch_score_injected(spark, sf):
     return infer.batch_score(asked, infer.LeadScorer).select("conv_id", "turn", "model_output")
 
 
+@query
+def batch_score_seeded(spark, sf):
+    """A sampling scorer whose choice follows from the row's key, not from its batch."""
+    asked = documents(spark, sf).select("doc_id", F.lit("Report:").alias("prompt"), F.lit(0.7).alias("temperature"), F.lit(5).cast("long").alias("max_new_tokens"), "text")
+    scored = infer.score_all(asked, {"sampled": infer.SampledScorer}, ["doc_id"], seed=7, content=F.col("text"))
+    return scored.select("doc_id", "sampled")
+
+
+@query
+def experiment_log(spark, sf):
+    """A log of all runs in which one style is run again with other questions: only its runs are replaced."""
+    path = _folder(spark, "results")
+    asked = _questions(spark, sf).withColumnRenamed("question", "text")
+    experiments.log_results(experiments.run_experiments(asked, "text", "item_id"), path, ["item_id"])
+    again = experiments.run_experiments(asked.withColumn("text", F.concat(F.lit("again "), "text")), "text", "item_id")
+    experiments.log_results(again.filter("prompt_style = 'DIRECT'"), path, ["item_id"])
+    return spark.read.parquet(path).select("item_id", F.col("run_name").cast("string").alias("run_name"), *experiments.RESULT_COLUMNS)
+
+
 @query
 def strip_prompt(spark, sf):
     turns = tables.scan(spark, sf, "conversations")
@@ -818,6 +874,15 @@ def flow_parallel(spark, sf):
     return labels.transform(run)
 
 
+@query
+def flow_parallel_scored(spark, sf):
+    """Two scorers over the same rows in one pass, each with a prompt of its own."""
+    labels = tables.scan(spark, sf, "labels").withColumn("prompt", F.lit(""))
+    asked = {name: {"prompt": P.render(f"content: {name} on {{x}} now", {"x": F.col("doc_id")}), "max_new_tokens": F.lit(n).cast("long")} for name, n in (("joke", 3), ("poem", 2))}
+    scored = infer.score_all(labels, {"joke": infer.LeadScorer, "poem": infer.LeadScorer}, ["doc_id"], requests=asked)
+    return scored.select("doc_id", "quality", "joke", "poem")
+
+
 def _topics(spark, sf):
     turns = tables.scan(spark, sf, "conversations")
     return infer.classify(turns, "text", list(TOPICS), rules=TOPIC_RULES)
@@ -890,10 +955,37 @@ def history_summary(spark, sf):
 
 
 @query
-def summary_fold(spark, sf):
+def summary_last_words(spark, sf):
+    """The bounded variant: a summary that keeps 20 words."""
     return chat.fold_summary(chat.turn_pairs(_turns(spark, sf)), lambda: keep_last_words(20))
 
 
+@query
+def summary_fold(spark, sf):
+    """Summaries that depend on every turn so far."""
+    return chat.fold_mergeable(chat.turn_pairs(_turns(spark, sf)), chat.RunningSummary)
+
+
+def _one_conversation(spark, sf):
+    """A derived conversation that holds every turn of the table, with gaps of its own."""
+    place = F.col("conv_id") * 1_000 + F.col("turn")
+    return _turns(spark, sf).select(F.lit(1).cast("long").alias("conv_id"), place.alias("turn"), "role", "text")
+
+
+@query
+def summary_fold_hot(spark, sf):
+    """One conversation that holds all rows, folded by many tasks."""
+    return chat.fold_mergeable(chat.turn_pairs(_one_conversation(spark, sf)), chat.RunningSummary)
+
+
+@query
+def turn_pairs_gaps(spark, sf):
+    """Pairs and bounded summaries over turn numbers with gaps of any size."""
+    turns = _one_conversation(spark, sf)
+    pairs, summaries = chat.turn_pairs(turns, block_rows=16), chat.history_summary(turns, block_rows=16)
+    return summaries.join(pairs, ["conv_id", "turn"], "left")
+
+
 @query
 def accumulate_query(spark, sf):
     return chat.accumulate_query(_turns(spark, sf)).select("conv_id", "turn", "request")

@@ -229,6 +229,69 @@ def test_window_longer_than_block_is_refused(talk):
         chat.history_summary(talk, last=9, block_rows=8)
 
 
+def gapped(spark):
+    """Turns with gaps of all sizes; a third of them belong to one conversation, one block holds nothing."""
+    turns = [7, 9, 10, 30, 31, 32, 33, 100, 101, 207, 3000, 3001, 3002, 9999]
+    data = [(1, t, ["user", "assistant"][i % 2], f"t{t}") for i, t in enumerate(turns)]
+    data += [(c, c * 5 + j * c, ["user", "assistant", "user"][j % 3], f"c{c}j{j}") for c in range(2, 9) for j in range(4)]
+    return data, spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+
+
+@pytest.mark.parametrize("block_rows", [4, 5, 64, 100_000])
+def test_neighbours_over_gaps(spark, block_rows):
+    data, df = gapped(spark)
+    by = {}
+    for c, t, role, text in sorted(data):
+        by.setdefault(c, []).append((t, role, text))
+    pairs, histories = [], []
+    for c, own in by.items():
+        for i, (t, role, _) in enumerate(own):
+            histories.append((c, t, " ".join(f"{r}: {x}" for _, r, x in own[max(0, i - 3) : i])))
+            if role == "user" and i + 1 < len(own) and own[i + 1][1] == "assistant":
+                pairs.append((c, t, own[i][2], own[i + 1][2]))
+    assert rows(chat.turn_pairs(df, block_rows=block_rows)) == sorted(pairs)
+    assert rows(chat.history_summary(df, last=3, block_rows=block_rows)) == sorted(histories)
+    whole = [(c, t, "\n".join(f"{r}: {x}" for _, r, x in own[:i])) for c, own in by.items() for i, (t, _, _) in enumerate(own)]
+    assert rows(chat.history_buffer(df, block_rows=block_rows).select("conv_id", "turn", "history")) == sorted(whole)
+
+
+def test_running_text_leaves_out_null_texts(spark):
+    data = [(1, t, None if t in (0, 1, 5, 6) else f"t{t}") for t in range(10)]
+    df = spark.createDataFrame(data, "k long, t long, x string")
+    for block_rows in (2, 3, 100):
+        got = rows(ordered.running_text(df, "k", "t", F.col("x"), "o", "-", False, block_rows).select("t", "o"))
+        assert got == [(t, "-".join(x for _, u, x in data if u < t and x is not None)) for t in range(10)]
+
+
+@pytest.mark.parametrize("block_rows", [3, 8, 1024])
+def test_hot_conversation_is_folded_by_many_tasks(spark, monkeypatch, block_rows):
+    data = [(1, 2 * t, f"said {t}", f"answer {t}") for t in range(100)] + [(c, 1, f"s{c}", "") for c in range(2, 30)]
+    df = spark.createDataFrame(data, "conv_id long, turn long, input string, output string")
+    want, summary = [], chat.RunningSummary(6)
+    for c in {r[0] for r in data}:
+        state = None
+        for _, t, said, answer in sorted(r for r in data if r[0] == c):
+            own = summary.of(said, answer)
+            state = own if state is None else summary.merge(state, own)
+            want.append((c, t, summary.show(state)))
+    seen, scan = [], ordered.scan_blocks
+    monkeypatch.setattr(ordered, "scan_blocks", lambda *a, **b: seen.append(out := scan(*a, **b)) or out)
+    assert rows(chat.fold_mergeable(df, lambda: chat.RunningSummary(6), block_rows=block_rows)) == sorted(want)
+    blocks = -(-199 // block_rows)
+    assert seen[0].count() == blocks - 1 and len({s.split(":")[0] for _, _, s in want if s.startswith("1 pairs")}) > 20
+
+
+def test_scan_merges_in_order(spark):
+    data = [(k, b * b, f"{k}{b}") for k in "ab" for b in range(11)] + [("c", 5, "c5")]
+    values = spark.createDataFrame(data, "k string, _block long, v string")
+    for backwards in (False, True):
+        merge = (lambda p, v: F.concat(v, p)) if backwards else F.concat
+        got = rows(ordered.scan_blocks(values, values.select("k", "_block"), "k", "v", merge, "h", backwards))
+        place = (lambda b, o: o > b) if backwards else (lambda b, o: o < b)
+        want = [(k, b, "".join(v for k2, o, v in data if k2 == k and place(b, o))) for k, b, _ in data]
+        assert got == sorted(w for w in want if w[2])
+
+
 def test_fold_summary(talk):
     pairs = chat.turn_pairs(talk)
     fold = chat.fold_summary(pairs, lambda: lambda s, i, o: f"old New summary:{s}|{i[-2:].strip()}")
@@ -287,6 +350,29 @@ def test_classify_with_scorer(spark):
     assert rows(got, F.desc("q")) == [("what", "other"), ("how to cook", "cooking")]
 
 
+def test_seeded_scores_do_not_depend_on_batches(spark):
+    df = spark.createDataFrame([(i, f"a{i} b c d e f g") for i in range(60)] + [(None, "x y z"), (None, "x y z")], "k long, text string").withColumns(
+        {"prompt": F.lit("p"), "max_new_tokens": F.lit(2).cast("long")}
+    )
+    run = lambda d, seed: rows(infer.score_all(d, {"a": infer.SampledScorer, "b": infer.LeadScorer}, ["k"], seed, F.col("text")).select("k", "a", "b"))
+    one = run(df.repartition(1), 3)
+    assert one == run(df.repartition(7, "text"), 3) != run(df, 4)
+    assert len({a.split()[0][0] for k, a, _ in one if k is not None}) > 3
+    cold = infer.score_all(df.withColumn("temperature", F.lit(0.0)), {"a": infer.SampledScorer}, ["k"], 3, F.col("text"))
+    assert {r.a for r in cold.filter("k = 5").collect()} == {"a5 b"}
+    assert infer.score_all(df.limit(0), {"a": infer.SampledScorer}, ["k"]).count() == 0
+
+
+def test_result_log_replaces_a_repeated_run_only(spark, tmp_path):
+    path = str(tmp_path / "log")
+    result = lambda *r: spark.createDataFrame(r, "run_name string, prompt_style string, temperature double, prompt string, model_output string")
+    experiments.log_results(result(("A_1", "A", 1.0, "p", "one"), ("A_1", "A", 1.0, "q", "two"), ("B_1", "B", 1.0, "p", "three")), path)
+    experiments.log_results(result(("A_1", "A", 1.0, "p", "new"), ("C_1", "C", 1.0, "p", "four")), path)
+    experiments.log_results(result(("A_1", "A", 1.0, "p", "new")).limit(0), path)
+    got = rows(spark.read.parquet(path).select("run_name", "prompt", "model_output"))
+    assert got == [("A_1", "p", "new"), ("B_1", "p", "three"), ("C_1", "p", "four")]
+
+
 def test_experiments(spark, tmp_path):
     asked = spark.createDataFrame([(1, "r one"), (2, None)], "item_id long, text string")
     results = experiments.run_experiments(asked, "text", "item_id")

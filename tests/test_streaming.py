@@ -1,5 +1,7 @@
 """Triggered sync, streaming preparation and streaming memory."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from corpusq.functions import text as X
@@ -123,3 +125,47 @@ def test_small_source_moves_no_index_row(spark, sf):
     few = docs.filter("doc_id < 3").withColumn("text", F.lit("changed"))
     plan = index.sync_index(built, few, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_turns_in_the_wrong_batch_are_folded_in_order(spark, sf, tmp_path):
+    from corpusq.operators import ordered
+
+    pairs = chat.turn_pairs(spark.read.parquet(f"{sf}/conversations.parquet"))
+    placed = ordered.renumber(pairs, "conv_id", "turn", "position")
+    source = str(tmp_path / "pairs")
+
+    def run(*frames):
+        for n, df in enumerate(frames):
+            write(df, source, len(list((tmp_path / "pairs").glob("*"))) + n)
+        stream = spark.readStream.schema(placed.schema).parquet(f"{source}/*")
+        memory.stream_ordered_summaries(stream, chat.RunningSummary).writeStream.option(
+            "checkpointLocation", str(tmp_path / "c")
+        ).trigger(availableNow=True).outputMode("append").format("parquet").start(str(tmp_path / "out")).awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
+
+    want = sorted(map(tuple, chat.fold_mergeable(pairs, chat.RunningSummary).collect()))
+    assert len(run(placed.filter("position > 0"))) == 0  # every conversation waits for its first pair
+    assert run(placed.filter("position = 0")) == want
+    assert run(placed.filter("position = 1")) == want  # what came twice is left out
+
+
+def test_a_gap_is_given_up_after_patience(spark, tmp_path):
+    rows = [(1, 3, "c", "d", 1), (1, 5, "e", "f", 2), (2, 1, "a", "b", 0)]
+    placed = spark.createDataFrame(rows, "conv_id long, turn long, input string, output string, position long")
+    source, out = str(tmp_path / "pairs"), str(tmp_path / "out")
+    write(placed, source, 0)
+    stream = spark.readStream.schema(placed.schema).parquet(f"{source}/*")
+    summaries = memory.stream_ordered_summaries(stream, chat.RunningSummary, patience=0)
+    query = (
+        summaries.writeStream.option("checkpointLocation", str(tmp_path / "c")).outputMode("append")
+        .trigger(processingTime="1 second").format("parquet").start(out)
+    )
+    got, until = [], time.time() + 60
+    try:
+        while len(got) < 3 and time.time() < until and query.isActive:
+            time.sleep(2)
+            if (tmp_path / "out" / "_spark_metadata").exists():
+                got = sorted((r.conv_id, r.turn, r.summary.split()[0]) for r in spark.read.schema(summaries.schema).parquet(out).collect())
+    finally:
+        query.stop()
+    assert got == [(1, 3, "1"), (1, 5, "2"), (2, 1, "1")]
