@@ -337,6 +337,25 @@ def test_classifiers_take_odd_rows(spark):
             assert all(0 <= r.score <= 1 for r in [*tox, *rank])
 
 
+def test_score_is_a_function_of_the_text_alone():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(1, 40, n).astype(np.int32) for n in (5, 0, 1, 2, 30, 3, 0)]
+    filters = [rng.standard_normal((w, 4, 6)).astype(np.float32) for w in toxicity.WIDTHS]
+    biases = [rng.standard_normal(6).astype(np.float32) for _ in toxicity.WIDTHS]
+    embed = rng.standard_normal((40, 4)).astype(np.float32)
+    embed[0] = 0
+    model = toxicity.ConvModel(np.arange(40, dtype=np.int32), embed, filters, biases, rng.standard_normal(6 * len(biases)), 0.1)
+    score = lambda own: toxicity._logits(model, np.concatenate(own), np.array([len(t) for t in own]))
+    alone = np.concatenate([score([t]) for t in texts])
+    assert np.allclose(score(texts), alone, atol=1e-6)
+    assert np.allclose(score(texts[::-1])[::-1], alone, atol=1e-6)
+    # Against a plain version: all windows over the text followed by zeros.
+    for t, got in zip(texts, alone):
+        x = np.vstack([embed[t], np.zeros((3, 4))])
+        tops = [np.maximum(np.max([sum(x[i + k] @ w[k] for k in range(len(w))) + b for i in range(len(t) + 1)], axis=0), 0) for w, b in zip(filters, biases)]
+        assert abs(np.concatenate(tops) @ model.out + model.offset - got) < 1e-4
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     params = {"embed": rng.normal(0, 1, (6, 3)), "out": rng.normal(0, 1, 6), "offset": np.array([0.1])}
