@@ -12,7 +12,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusq.llm.common import map_arrow, written
@@ -23,7 +23,8 @@ MIN_WORDS = 10
 #: Longer sentences are cut after so many words, so that a long passage always holds a run.
 PIECE_WORDS = 15
 
-_SENTENCE = re.compile(r"[^\n]+?(?:[.!?]+(?=\s)|$|(?=\n))", re.M)
+#: Possessive runs, so that a long row of full stops is read once.
+_SENTENCE = re.compile(r"[^\n](?:[^\n.!?]++|[.!?]++(?!\s))*+[.!?]*+")
 _WORD = re.compile(r"\S+")
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -68,15 +69,19 @@ def _runs(found: list[tuple[int, int, str, int]], run: int, min_words: int) -> t
     return mixed[keep].view(np.int64), keep.astype(np.int32)
 
 
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def repeated_sentences(
     docs: DataFrame, doc_id: str, text: str, run: int = RUN, min_words: int = MIN_WORDS, piece_words: int = PIECE_WORDS
 ) -> DataFrame:
     """``(id, tx, runs)``: numbers of the sentences at which a non-first repeated run begins.
 
-    ``tx`` is a hash of the text. Counts and first places are combined before
+    ``tx`` is a 128-bit digest of the text, so that rows which share an id or have none stay apart. Counts and first places are combined before
     their shuffle, so a run of every document reaches a task once per map task; the join back splits hot runs.
     """
-    rows = docs.select(F.col(doc_id).alias("id"), F.hash(text).alias("tx"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("id"), _digest(F.col(text)).alias("tx"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def hashed(table: pa.Table) -> pa.Table:
@@ -96,7 +101,7 @@ def repeated_sentences(
             }
         )
 
-    schema = f"run long, id {kind}, tx int, first int"
+    schema = f"run long, id {kind}, tx binary, first int"
     places = written(map_arrow(rows, hashed, schema, 8 << 20), "runs")
     at = F.struct("id", "tx", "first")
     repeated = (
@@ -127,7 +132,7 @@ def remove_repeated_spans(
     found = repeated_sentences(docs, doc_id, text, run, min_words, piece_words)
     found = found.select(F.struct("id", "tx").alias("hit"), "runs")
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    own = F.struct(F.col("id"), F.hash("text"))
+    own = F.struct(F.col("id"), _digest(F.col("text")))
     joined = rows.join(found, own.eqNullSafe(F.col("hit")), "left").select("id", "text", "runs")
     kind = rows.schema["id"].dataType.simpleString()
     schema = (

@@ -342,3 +342,21 @@ def test_values_are_found_before_words_and_numbers(tail):
                 for s, e, _, v in pseudonyms.replacements(new, back):
                     old, at = old + new[at:s] + v, e
                 assert old + new[at:] == text
+
+
+def test_rows_without_an_id_are_told_apart_by_their_texts(spark):
+    # Two texts with one 32-bit hash, and many without an id: each is cut in its own places.
+    shared = ". ".join(sentence(50 + i, 9).replace(".", "") for i in range(5)) + "."
+    texts = [f"{shared} {sentence(300 + i, 14)}" for i in range(40)] + [f"{sentence(700 + i, 12)} {shared}" for i in range(40)] + ["one two", "x"]
+    rows = [(None, t, "en", "a", 0) for t in texts]
+    got = spans.remove_repeated_spans(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    assert sum(shared in (r.clean_text or "") for r in got) == 1
+
+
+def test_long_rows_of_full_stops_are_read_once():
+    import time
+
+    began = time.time()
+    assert len(spans.sentences("a " + "." * 200_000 + "b")) == 1
+    assert time.time() - began < 1
