@@ -4,11 +4,9 @@ Lines are normalised (lower case, digits as 0, white space runs as one space) an
 hashed. A line that stands in many different documents of one host is boilerplate
 and is removed; a document of which little is left is rejected.
 
-Equal texts are one document. Documents are further told apart by a mark of the rest of
-their content, the least hash among their other lines: near copies mostly share it. A
-line counts once per mark, and one whose texts share few marks is a copied text, not
-boilerplate. Line hashes and marks are shuffled, texts are not, unless the cleaned text
-is asked for.
+Equal texts are one document. Near copies are documents of their own here: what they share counts like any other
+shared line, and telling them from each other is the work of the near-duplicate operator. Line hashes are shuffled, texts are not,
+unless the cleaned text is asked for.
 """
 
 from __future__ import annotations
@@ -24,8 +22,6 @@ SYMBOLS = "#*$%&|<>"
 MIN_DOCS = 20
 HOST_SHARE = 0.01
 MIN_LEFT = 0.3
-#: Least share of different marks among the texts with a line; near copies stay well below it.
-VARIETY = 0.5
 #: Up to so many frequent lines (16 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_LINES = 200_000
 
@@ -130,7 +126,7 @@ def normalised_lines(text: Column) -> Column:
 
 
 def _lines(docs: DataFrame, doc_id: str, host: str, text: str) -> DataFrame:
-    """One row per line with a word: place, words, 128-bit key of host and line, the mark of its document."""
+    """One row per line with a word: place, words, 128-bit key of host and line."""
     lines = F.transform(normalised_lines(F.col(text)), lambda x, i: F.struct(i.alias("place"), x.alias("line")))
     words = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1
     hashed = F.transform(
@@ -139,26 +135,12 @@ def _lines(docs: DataFrame, doc_id: str, host: str, text: str) -> DataFrame:
             x["place"].alias("place"), words(x["line"]).alias("words"), F.md5(x["line"].cast("binary")).alias("md5")
         ),
     )
-
-    def mark(a: Column) -> Column:
-        least_but = lambda but: F.array_min(F.filter(F.transform(a, lambda x: x["md5"]), but))
-        both = lambda first: F.struct(first.alias("a"), F.coalesce(least_but(lambda m: m != first), first).alias("b"))
-        return let(
-            let(F.array_min(F.transform(a, lambda x: x["md5"])), both),
-            lambda m: F.transform(
-                a, lambda x: x.withField("mark", F.xxhash64(F.when(x["md5"] == m["a"], m["b"]).otherwise(m["a"])))
-            ),
-        )
-
     source = F.coalesce(F.col(host), F.lit(""))
     rows = docs.select(
-        F.col(doc_id).alias("_id"),
-        F.xxhash64(text).alias("_tx"),
-        F.xxhash64(source).alias("_host"),
-        F.inline(let(hashed, mark)),
+        F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_tx"), F.xxhash64(source).alias("_host"), F.inline(hashed)
     )
     keys = [F.xxhash64("_host", "md5").alias("_key1"), F.xxhash64("md5", "_host").alias("_key2")]
-    return rows.select("_id", "_tx", "_host", "place", "words", *keys, "mark")
+    return rows.select("_id", "_tx", "_host", "place", "words", *keys)
 
 
 def frequent_lines(
@@ -166,8 +148,8 @@ def frequent_lines(
 ) -> DataFrame:
     """Keys of ``lines`` above the limit: in more than ``min_docs`` documents and ``host_share`` of their host's.
 
-    Texts are counted per mark, then marks per line. Every step is combined before its
-    shuffle, so the last one gets a line of every document as one row per task.
+    Different texts are counted. Every step is combined before its shuffle: a text's line is one row, and
+    the last step gets one row per line and task.
     """
     hosts = (
         docs.select(F.xxhash64(F.coalesce(F.col(host), F.lit(""))).alias("_host"), F.xxhash64(text).alias("_tx"))
@@ -176,13 +158,11 @@ def frequent_lines(
         .agg(F.count(F.lit(1)).alias("_host_docs"))
     )
     counts = (
-        lines.select("_host", "_key1", "_key2", "mark", "_tx")
+        lines.select("_host", "_key1", "_key2", "_tx")
         .distinct()
-        .groupBy("_host", "_key1", "_key2", "mark")
-        .agg(F.count(F.lit(1)).alias("_n"))
         .groupBy("_host", "_key1", "_key2")
-        .agg(F.count(F.lit(1)).alias("_docs"), F.sum("_n").alias("_texts"))
-        .filter((F.col("_docs") > min_docs) & (F.col("_docs") >= VARIETY * F.col("_texts")))
+        .agg(F.count(F.lit(1)).alias("_docs"))
+        .filter(F.col("_docs") > min_docs)
     )
     above = counts.join(hosts, "_host").filter(F.col("_docs") > host_share * F.col("_host_docs"))
     return above.select("_key1", "_key2")

@@ -26,18 +26,13 @@ WITH d AS (
            '[ \t\x0B\f\r]{{2,}}|[\t\x0B\f\r]', ' ', 'g'), chr(10))) AS line FROM d)
 ), lines AS (
   SELECT doc_id, host, md5(line) AS h, length(line) - length(replace(line, ' ', '')) + 1 AS words FROM plain WHERE line <> ''
-), least_of AS (
-  SELECT doc_id, min(h) AS a FROM lines GROUP BY doc_id
-), marks AS (
-  SELECT l.doc_id, a, coalesce(min(h) FILTER (WHERE h <> a), a) AS b
-  FROM lines l JOIN least_of USING (doc_id) GROUP BY l.doc_id, a
 ), hosts AS (
   SELECT host, count(DISTINCT text) + max((text IS NULL)::int) AS n FROM d GROUP BY host
 ), frequent AS (
   SELECT host, h FROM (
-    SELECT host, h, any_value(n) AS n, count(DISTINCT CASE WHEN h = a THEN b ELSE a END) AS docs, count(DISTINCT t) AS texts
-    FROM lines JOIN marks USING (doc_id) JOIN hosts USING (host) JOIN (SELECT doc_id, t FROM d) USING (doc_id) GROUP BY host, h)
-  WHERE docs > {linefreq.MIN_DOCS} AND docs > {linefreq.HOST_SHARE}::DOUBLE * n AND docs >= {linefreq.VARIETY}::DOUBLE * texts
+    SELECT host, h, any_value(n) AS n, count(DISTINCT t) AS docs
+    FROM lines JOIN hosts USING (host) JOIN (SELECT doc_id, t FROM d) USING (doc_id) GROUP BY host, h)
+  WHERE docs > {linefreq.MIN_DOCS} AND docs > {linefreq.HOST_SHARE}::DOUBLE * n
 ), gone AS (
   SELECT doc_id, count(*) AS n, sum(words) AS words FROM lines JOIN frequent USING (host, h) GROUP BY doc_id
 ), m AS (
