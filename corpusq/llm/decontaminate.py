@@ -62,6 +62,29 @@ def tokenise(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     return words.dictionary_encode(), np.diff(np.searchsorted(starts, borders))
 
 
+def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of up to 35 bits in seven-bit groups, lowest first, the high bit set on all but a value's last byte; and each value's bytes."""
+    sizes = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
+    ends = np.cumsum(sizes)
+    data = np.zeros(ends[-1] if len(ends) else 0, np.uint8)
+    for k in range(5):
+        long = np.flatnonzero(sizes > k)
+        more = (sizes[long] > k + 1) * 128
+        data[ends[long] - sizes[long] + k] = (values[long] >> 7 * k & 127) | more
+    return data, sizes
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The values that ``packed`` wrote."""
+    b = np.frombuffer(data, np.uint8)
+    if not len(b):
+        return np.zeros(0, np.int64)
+    last = b < 128
+    starts = np.append(0, np.flatnonzero(last)[:-1] + 1)
+    group = np.arange(len(b)) - np.repeat(starts, np.diff(np.append(starts, len(b))))
+    return np.add.reduceat((b & 127).astype(np.int64) << 7 * group, starts)
+
+
 def _bounds(n_words: np.ndarray) -> np.ndarray:
     """First position of each document, and the end."""
     return np.concatenate([[0], np.cumsum(n_words + GAP)]).astype(np.int64)
@@ -70,13 +93,13 @@ def _bounds(n_words: np.ndarray) -> np.ndarray:
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """``(segment, term, n, deltas, ids, n_words)``, stored in the shared folder.
 
-    Posting rows have a term, its count and positions as differences; the one directory row of a
+    Posting rows have a term, its count and positions as packed differences; the one directory row of a
     segment (term NULL) has the document ids and word counts. A NULL text has no words.
     Nothing is shuffled.
     """
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"segment long, term binary, n int, deltas array<int>, ids array<{kind}>, n_words array<int>"
+    schema = f"segment long, term binary, n int, deltas binary, ids array<{kind}>, n_words array<int>"
     done = {"task": -1, "segments": 0}
 
     def segment(table: pa.Table) -> pa.Table:
@@ -95,9 +118,9 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seg
         deltas = np.diff(places[order], prepend=0)
         heads = ends - counts
         deltas[heads] = places[order][heads] if len(heads) else 0
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(deltas.astype(np.int32))
-        )
+        data, sizes = packed(deltas)
+        borders = np.append(0, np.cumsum(sizes))[np.append(0, ends)].astype(np.int32)
+        lists = pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(borders), pa.py_buffer(data)])
         n = len(counts)
         ids = table["id"].combine_chunks()
         return pa.table(
@@ -105,7 +128,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seg
                 "segment": pa.array(np.full(n + 1, number, np.int64)),
                 "term": pa.chunked_array([words.dictionary, pa.nulls(1, pa.binary())]),
                 "n": pa.chunked_array([pa.array(counts), pa.nulls(1, pa.int32())]),
-                "deltas": pa.chunked_array([lists, pa.nulls(1, pa.list_(pa.int32()))]),
+                "deltas": pa.chunked_array([lists, pa.nulls(1, pa.binary())]),
                 "ids": pa.chunked_array(
                     [pa.nulls(n, pa.list_(ids.type)), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
                 ),
@@ -220,7 +243,7 @@ def _matcher(near_words: int, near_span: int):
                 decoded[term] = (
                     np.zeros(0, np.int64)
                     if i is None
-                    else np.cumsum(np.asarray(lists["deltas"][i].values, np.int64))
+                    else np.cumsum(unpacked(lists["deltas"][i].as_py()))
                 )
             return decoded[term]
 

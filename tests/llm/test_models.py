@@ -77,6 +77,13 @@ def test_search_without_items_or_documents(spark):
     assert decontaminate.search(decontaminate.build_index(frame(spark, [])), decontaminate.item_windows(items)).count() == 0
 
 
+@given(st.lists(st.integers(0, (1 << 35) - 1) | st.integers(0, 300), max_size=50))
+def test_packed_values_come_back(values):
+    data, sizes = decontaminate.packed(np.array(values, np.int64))
+    assert list(decontaminate.unpacked(data.tobytes())) == values and len(sizes) == len(values)
+    assert data.size == sum(max(1, -(-v.bit_length() // 7)) for v in values)
+
+
 def test_proximity_matches(spark):
     rows = [(1, "alpha x x beta x gamma", "", "", 0), (2, "gamma beta alpha", "", "", 0), (3, "alpha " + "x " * 30 + "beta gamma", "", "", 0)]
     items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
