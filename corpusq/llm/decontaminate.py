@@ -74,7 +74,7 @@ def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return data, sizes
 
 
-def unpacked(data: bytes) -> np.ndarray:
+def unpacked(data: bytes | np.ndarray) -> np.ndarray:
     """The values that ``packed`` wrote."""
     b = np.frombuffer(data, np.uint8)
     if not len(b):
@@ -235,6 +235,12 @@ def _matcher(near_words: int, near_span: int):
         ids = lists["ids"][top].values
         bounds = _bounds(n_words)
         at = {t: i for i, t in enumerate(terms)}
+        # All lists of the segment are unpacked together; a list's values end where its bytes do.
+        held_bytes = lists["deltas"].combine_chunks()
+        cuts = np.frombuffer(held_bytes.buffers()[1], np.int32)[held_bytes.offset : held_bytes.offset + len(held_bytes) + 1]
+        data = np.frombuffer(held_bytes.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]]
+        values = unpacked(data)
+        borders = np.append(0, np.cumsum(data < 128))[cuts - cuts[0]]
         decoded: dict[bytes, np.ndarray] = {}
 
         def places(term: bytes) -> np.ndarray:
@@ -243,7 +249,7 @@ def _matcher(near_words: int, near_span: int):
                 decoded[term] = (
                     np.zeros(0, np.int64)
                     if i is None
-                    else np.cumsum(unpacked(lists["deltas"][i].as_py()))
+                    else np.cumsum(values[borders[i] : borders[i + 1]])
                 )
             return decoded[term]
 
