@@ -64,13 +64,19 @@ def tokenise(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
 
 def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of up to 35 bits in seven-bit groups, lowest first, the high bit set on all but a value's last byte; and each value's bytes."""
-    sizes = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in range(1, 5))
-    ends = np.cumsum(sizes)
-    data = np.zeros(ends[-1] if len(ends) else 0, np.uint8)
-    for k in range(5):
+    values = values.astype(np.uint32) if len(values) and values.max() < 1 << 32 else values
+    sizes = np.ones(len(values), np.int64)
+    for k in range(1, 5):
+        long = values >= 1 << 7 * k if 7 * k < 32 or values.dtype != np.uint32 else np.zeros(1, bool)
+        if not long.any():
+            break
+        sizes += long
+    starts = np.cumsum(sizes) - sizes
+    data = np.zeros(int(sizes.sum()), np.uint8)
+    data[starts] = (values & 127) | ((sizes > 1) * 128).astype(values.dtype)
+    for k in range(1, int(sizes.max(initial=1))):
         long = np.flatnonzero(sizes > k)
-        more = (sizes[long] > k + 1) * 128
-        data[ends[long] - sizes[long] + k] = (values[long] >> 7 * k & 127) | more
+        data[starts[long] + k] = (values[long] >> 7 * k & 127) | ((sizes[long] > k + 1) * 128).astype(values.dtype)
     return data, sizes
 
 
