@@ -111,6 +111,27 @@ def test_table_rows(spark):
     assert one(spark, page, lambda c: H.table_rows(c, "missing")) == []
 
 
+def test_tables_inside_a_cell_at_any_depth(spark):
+    inner = "deep"
+    for level in range(10):
+        inner = f"<TABLE class='t{level}'><tr><td>{inner}</td></tr></TABLE >"
+    page = (
+        f'<table id="scout"><tr><th>Statistic</th><th>V</th></tr><tr><td>a{inner}b</td><td>1{inner}{inner}</td></tr>'
+        f"<tr><td>last</td><td>2</td></tr></table>{inner}<table><tr><td>behind</td></tr></table>"
+    )
+    rows = [["Statistic", "V"], ["ab", "1"], ["last", "2"]]
+    assert one(spark, page, lambda c: H.table_rows(c, "scout")) == rows
+    assert one(spark, '<table id="scout"><tr><td>open</td></tr>', lambda c: H.table_rows(c, "scout")) == [["open"]]
+    assert one(spark, '<table id="scout"></table>', lambda c: H.table_rows(c, "scout")) == []
+
+
+def test_entities_that_repeat_and_stand_alone(spark):
+    text = "&amp;&amp;lt; &#65;&#x41;&#160;&nope;&#xD800;&#0;&eacute;&amp"
+    assert one(spark, text, H.unescape) == "&&lt; AA &nope;&#xD800;&#0;é&amp"
+    assert one(spark, "&amp;", H.unescape) == "&"
+    assert one(spark, "&", H.unescape) == "&"
+
+
 def test_escape_round_trip(spark):
     text = "a < b & c > d &copy; &amp;"
     assert one(spark, text, lambda c: H.inner_text(H.escape(c))) == text
