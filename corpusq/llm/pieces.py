@@ -30,6 +30,10 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = [pow(int(_BASE), k, 1 << 64) for k in range(1025)]
 _BITS = 21
 _NONE = np.int64(1) << 60
+#: A word of over ``LONG_WORD`` characters is cut into blocks, each read ``LONG_WARM`` characters early.
+LONG_WORD = 640
+LONG_BLOCK = 512
+LONG_WARM = 128
 
 
 @dataclass
@@ -222,10 +226,13 @@ def encode_words(model: PieceModel, words: list[str]) -> tuple[np.ndarray, np.nd
     sizes = np.zeros(len(words), np.int64)
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # numbers of words, their sizes, their ids
     by_length: dict[int, list[int]] = {}
+    long: list[int] = []
     for i, w in enumerate(words):
         if model.kind == "bpe" and w.startswith(SPACE * 2):
             ids = _spaces_first(model, w)  # pieces of spaces alone share one score
             parts.append((np.array([i]), np.array([len(ids)]), ids))
+        elif model.kind == "bpe" and len(w) > LONG_WORD:
+            long.append(i)
         elif w:
             by_length.setdefault(len(w), []).append(i)
     for length, numbers in by_length.items():
@@ -233,8 +240,9 @@ def encode_words(model: PieceModel, words: list[str]) -> tuple[np.ndarray, np.nd
         for k in range(0, len(numbers), step):
             some = numbers[k : k + step]
             text = "".join([words[i] for i in some])
-            chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(some), length)
-            parts.append((np.array(some), *_viterbi(model, chars.astype(np.int64))))
+            parts.append((np.array(some), *_viterbi(model, _codes(text).reshape(len(some), length))))
+    if long:
+        parts.append((np.array(long), *_encode_long(model, [words[i] for i in long])))
     for numbers, counts, _ in parts:
         sizes[numbers] = counts
     flat = np.empty(sizes.sum(), np.int64)
@@ -259,19 +267,32 @@ def _fallback(model: PieceModel, code: int) -> list[int]:
     return [model.unknown]
 
 
-def _viterbi(model: PieceModel, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of ids per word and all ids, for words of one length given as rows of code points."""
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+
+
+def _forward(
+    model: PieceModel, chars: np.ndarray, known: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The piece that ends at each place of each word and its size, ``-1 - code`` for a bare character.
+
+    The first places may be ``known``, for a word that goes on; as many as the longest piece has characters.
+    """
     n, length = chars.shape
-    rows = np.arange(n)
     worst = model.scores.min() - 10 if len(model.scores) else -10.0
     best = np.full((length + 1, n), -np.inf)
     best[0] = 0
-    piece = np.full((length + 1, n), -1, np.int64)  # the piece that ends here; -1 - code for a bare character
+    piece = np.full((length + 1, n), -1, np.int64)
     size = np.zeros((length + 1, n), np.int16)
     prefix = np.zeros((length + 1, n), np.uint64)
     for i in range(length):
         prefix[i + 1] = prefix[i] * _BASE + (chars[:, i] + 1).astype(np.uint64)
-    for end in range(1, length + 1):
+    done = 0
+    if known is not None:
+        done = len(known[0])
+        piece[1 : done + 1, 0], size[1 : done + 1, 0] = known
+        best[1 : done + 1] = np.where(size[1 : done + 1] > 0, 0, -np.inf)
+    for end in range(done + 1, length + 1):
         for m in range(min(end, model.longest), 0, -1):
             start = end - m
             open_ = np.flatnonzero(np.isfinite(best[start]) & ((size[end] == 0) | (model.kind == "unigram")))
@@ -293,6 +314,14 @@ def _viterbi(model: PieceModel, chars: np.ndarray) -> tuple[np.ndarray, np.ndarr
             best[end, open_[better]] = total[better]
             piece[end, open_[better]] = found[better]
             size[end, open_[better]] = m
+    return piece, size
+
+
+def _viterbi(model: PieceModel, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids per word and all ids, for words of one length given as rows of code points."""
+    n, length = chars.shape
+    rows = np.arange(n)
+    piece, size = _forward(model, chars)
     steps, at = [], np.full(n, length)
     while at.any():
         live = at > 0
@@ -300,7 +329,56 @@ def _viterbi(model: PieceModel, chars: np.ndarray) -> tuple[np.ndarray, np.ndarr
         at = np.where(live, at - size[at, rows], 0)
     table = np.stack(steps[::-1], axis=1)
     taken = table != _NONE
-    flat, counts = table[taken], taken.sum(axis=1)
+    return _with_fallback(model, taken.sum(axis=1), table[taken])
+
+
+def _encode_long(model: PieceModel, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_viterbi`` for long words of a ``bpe`` model, whose blocks advance together.
+
+    What ends at a place depends only on what ends at the places one longest piece before it. A block is read from some
+    characters before its start; where it then agrees with the block before it on that many places, it
+    is what reading the word from its start gives. Where it does not, the block is read again from those places.
+    """
+    reach = model.longest
+    warm = max(LONG_WARM, 2 * reach)
+    block = max(LONG_BLOCK, warm)
+    codes = [_codes(w) for w in words]
+    starts = [(i, max(0, at - warm)) for i, c in enumerate(codes) for at in range(0, len(c), block)]
+    tables: list[tuple[np.ndarray, np.ndarray]] = []
+    step = max(1, 2_000_000 // (block + warm))
+    for k in range(0, len(starts), step):
+        chars = np.zeros((len(starts[k : k + step]), block + warm), np.int64)
+        for row, (i, at) in zip(chars, starts[k : k + step], strict=True):
+            part = codes[i][at : at + block + warm]
+            row[: len(part)] = part
+        piece, size = _forward(model, chars)
+        tables += zip(piece.T.astype(np.int32), size.T.copy(), strict=True)
+    counts, flat, number = [], [], 0
+    for c in codes:
+        piece, size = np.zeros(len(c) + 1, np.int64), np.zeros(len(c) + 1, np.int64)
+        for at in range(0, len(c), block):
+            own_piece, own_size = tables[number]
+            number += 1
+            end = min(at + block, len(c))
+            skip = warm if at else 0
+            if at:
+                before, seen = slice(at - reach + 1, at + 1), slice(warm - reach + 1, warm + 1)
+                if (own_piece[seen] != piece[before]).any() or (own_size[seen] != size[before]).any():
+                    again = _forward(model, c[None, at - reach : end], (piece[before], size[before]))
+                    own_piece, own_size, skip = again[0][:, 0], again[1][:, 0], reach
+            piece[at + 1 : end + 1] = own_piece[skip + 1 : skip + 1 + end - at]
+            size[at + 1 : end + 1] = own_size[skip + 1 : skip + 1 + end - at]
+        taken, sizes, at = [], size.tolist(), len(c)
+        while at:
+            taken.append(at)
+            at -= sizes[at]
+        counts.append(len(taken))
+        flat.append(piece[taken[::-1]])
+    return _with_fallback(model, np.array(counts), np.concatenate(flat))
+
+
+def _with_fallback(model: PieceModel, counts: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bare characters replaced by their bytes, or the unknown id."""
     bare = np.flatnonzero(flat < 0)
     if len(bare):
         more = [_fallback(model, -1 - c) for c in flat[bare].tolist()]
