@@ -27,7 +27,7 @@ LEDGER = "blob string, rule string, version int, spans array<struct<start:int,en
 
 @dataclass(frozen=True)
 class Rule:
-    """A pattern and a test of its matches. A new ``version`` makes every blob unseen for this rule."""
+    """A pattern and a test of its matches; ``span`` is the group found. A new ``version`` makes every blob unseen for this rule."""
 
     name: str
     version: int
@@ -35,13 +35,14 @@ class Rule:
     flags: int = 0
     least: int = 0
     group: int = 0
+    span: int = 0
 
     def finder(self) -> Callable[[str], list[dict]]:
         compiled = re.compile(self.pattern, self.flags)
 
         def spans(text: str) -> list[dict]:
             return [
-                {"start": m.start(), "end": m.end()}
+                {"start": m.start(self.span), "end": m.end(self.span)}
                 for m in compiled.finditer(text)
                 if m.end(self.group) - m.start(self.group) >= self.least
             ]
@@ -65,7 +66,13 @@ BASE_RULES = (
 )
 MORE_RULES = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*"),
+    # A run of these signs is read once: where its first ``eyJ`` fails, the later ones do.
+    Rule(
+        "jwt",
+        1,
+        r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+)",
+        span=1,
+    ),
     Rule("forge", 1, r"gh[opsur]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_-]{20,}"),
     Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 )

@@ -2,12 +2,13 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from helpers import clashing, frame, odd_rows, sentence
@@ -371,3 +372,19 @@ def test_long_rows_of_full_stops_are_read_once():
     began = time.time()
     assert len(spans.sentences("a " + "." * 200_000 + "b")) == 1
     assert time.time() - began < 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["eyJ", "eyJabcdefgh", "x", ".", "-", " ", "eyJ12345678.eyJ12345678.sig", "eyJeyJeyJeyJ"]), max_size=14))
+def test_jwt_rule_finds_what_the_plain_pattern_finds(parts):
+    text = "".join(parts)
+    rule = next(r for r in blobs.RULES if r.name == "jwt")
+    plain = re.finditer(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*", text)
+    assert rule.finder()(text) == [{"start": m.start(), "end": m.end()} for m in plain]
+
+
+def test_jwt_rule_reads_a_long_run_once():
+    rule = next(r for r in blobs.RULES if r.name == "jwt")
+    begin = time.perf_counter()
+    assert rule.finder()("eyJ" * 300_000) == []
+    assert time.perf_counter() - begin < 2
