@@ -110,7 +110,8 @@ def repeated_sentences(
         .filter("n > 1")
         .select("run", "kept")
     )
-    later = places.join(repeated, "run").filter(~at.eqNullSafe(F.col("kept")))
+    # Written, so that both sides of the join come straight from a shuffle and a hot run can be split.
+    later = places.join(written(repeated, "repeated"), "run").filter(~at.eqNullSafe(F.col("kept")))
     return later.groupBy("id", "tx").agg(F.sort_array(F.collect_set("first")).alias("runs"))
 
 
