@@ -13,8 +13,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
 
     Each round joins every node's larger neighbours, then its smaller ones, to its least neighbour. The
     edges then form stars after a number of rounds that grows with the logarithm of the size. Least
-    neighbours are combined before the shuffle, and a hub's edges are split by the skew join. Edges are
-    written to the shared folder each round; nothing but two numbers reaches the driver. Loops and
+    neighbours are combined before the shuffle and written: Spark splits a hub's edges only where both sides of
+    the join come straight from a shuffle. Edges are written to the shared folder each round; nothing but two numbers reaches the driver. Loops and
     NULL ends are ignored; an empty list gives an empty result.
     """
     pairs = (
@@ -26,10 +26,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     state = _state(pairs)
     for _ in range(max_rounds):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "edges")  # read twice below
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = (
             large.join(least, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -1,8 +1,9 @@
 """N-gram Jaccard join by a MinHash LSH forest with exact verification.
 
-Equal texts are one node. Every node gets a MinHash signature, cut into trees of prefixes. Nodes
-that share a prefix in a tree are linked to the least node of that trie branch; prefixes start
-long and are shortened until the recall at the threshold itself reaches the target. Nodes joined by
+Equal texts are one node. Every node gets a MinHash signature, cut into trees of prefixes. Prefixes are
+shortened until the recall at the threshold itself reaches the target. Branches of that depth which hold
+several nodes are followed upwards to the longest prefix that two of their nodes share, and every node is linked to
+the least node of each branch on its way, so that two nodes meet at their longest match. Nodes joined by
 plausible links form groups, groups are cut into blocks, and each pair of blocks is
 verified with the whole shingle sets. No list of pairs is ever built: a block pair gives
 one row per node, its number of links and a link to its class.
@@ -25,11 +26,13 @@ SHINGLE = 5
 THRESHOLD = 0.8
 TREES = 16
 DEPTH = 8
-LEAST_DEPTH = 4
+LEAST_DEPTH = 1
 RECALL = 0.999
 #: Links of a lower estimated similarity do not join a group: by the triangle inequality two
-#: texts at the threshold are both above it for any text close to one of them.
+#: texts at a threshold of 0.8 are both above it for any text close to one of them. Below a
+#: threshold of 0.7 it gives way by ``MARGIN``, over four deviations of an estimate.
 PLAUSIBLE = 0.5
+MARGIN = 0.2
 BLOCK_NODES = 256
 BLOCK_SHINGLES = 1_000_000
 #: Up to so many nodes (16 bytes each) are broadcast to pick their texts; more are joined by a shuffle.
@@ -117,17 +120,37 @@ def _found(similarity: np.ndarray, depth: int, trees: int) -> np.ndarray:
 
 
 def shortened(threshold: float, recall: float, trees: int = TREES, depth: int = DEPTH, least: int = LEAST_DEPTH) -> int:
-    """The longest prefix with a chance of ``recall`` at the threshold itself, or ``least``."""
-    reached = (d for d in range(depth, least, -1) if _found(np.float64(threshold), d, trees) >= recall)
-    return next(reached, least)
+    """The longest prefix with a chance of ``recall`` at the threshold itself. Raises if none down to ``least`` has it."""
+    for d in range(depth, least - 1, -1):
+        if _found(np.float64(threshold), d, trees) >= recall:
+            return d
+    raise ValueError(f"{trees} trees do not reach a recall of {recall} at a similarity of {threshold}")
 
 
-def _branches(texts: DataFrame, depth: int, trees: int, full: int) -> DataFrame:
-    """``(node, hub)``: each node with the least node of every trie branch that it shares with others."""
-    prefix = lambda t: F.xxhash64(F.lit(t), F.substring("signature", 4 * full * t + 1, 4 * depth))
-    rows = texts.select("node", F.explode(F.array(*[prefix(t) for t in range(trees)])).alias("branch"))
+def _shared(rows: DataFrame) -> DataFrame:
+    """``rows`` whose branch holds several nodes, with its least node as ``hub``.
+
+    Branches are counted before the shuffle and written, so that the join back can split a hot one.
+    """
     hubs = rows.groupBy("branch").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return rows.join(hubs, "branch").filter("node != hub").select("node", "hub").distinct()
+    return rows.join(written(hubs.select("branch", "hub"), "hubs"), "branch")
+
+
+def _branches(texts: DataFrame, short: int, trees: int, full: int) -> DataFrame:
+    """``(node, hub)``: each node with the least node of every shared trie branch on its way, from ``short`` to ``full`` values.
+
+    Only branches that hold several nodes at ``short`` are followed to longer prefixes.
+    """
+    ways = F.array(*[F.struct(F.lit(t).alias("tree"), F.substring("signature", 4 * full * t + 1, 4 * full).alias("way")) for t in range(trees)])
+    rows = texts.select("node", F.explode(ways).alias("at")).select("node", "at.tree", "at.way")
+    branch = lambda d: F.xxhash64("tree", d, F.substring(F.col("way"), F.lit(1), 4 * d))
+    met = _shared(rows.withColumn("branch", branch(F.lit(short)))).select("node", "tree", "way", "hub")
+    if short == full:
+        return met.filter("node != hub").select("node", "hub").distinct()
+    met = written(met, "branches")
+    longer = met.select("node", "tree", "way", F.explode(F.sequence(F.lit(short + 1), F.lit(full))).alias("d"))
+    pairs = met.select("node", "hub").union(_shared(longer.select("node", branch(F.col("d")).alias("branch"))).select("node", "hub"))
+    return pairs.filter("node != hub").distinct()
 
 
 def forest_links(
@@ -135,8 +158,8 @@ def forest_links(
 ) -> DataFrame:
     """``(node, hub, similarity)``: links between trie branches, similarity estimated by the signatures.
 
-    Links of the full prefixes, whose hubs are closest, and of the longest prefixes at which two texts exactly at the
-    threshold share a branch with a chance of ``recall``. That depth depends on no row.
+    Links of all prefixes from the longest at which two texts exactly at the threshold share a branch with a chance of
+    ``recall`` up to the full ones, whose hubs are closest. The least depth depends on no row.
     """
 
     @F.pandas_udf("double")
@@ -149,11 +172,7 @@ def forest_links(
 
     one = texts.select("node", F.col("signature").alias("s1"))
     two = texts.select(F.col("node").alias("hub"), F.col("signature").alias("s2"))
-
-    short = shortened(threshold, recall, trees, depth, least)
-    pairs = _branches(texts, depth, trees, depth)
-    if short < depth:
-        pairs = pairs.union(_branches(texts, short, trees, depth)).distinct()
+    pairs = _branches(texts, shortened(threshold, recall, trees, depth, least), trees, depth)
     links = pairs.join(one, "node").join(two, "hub").select("node", "hub", alike("s1", "s2").alias("similarity"))
     return written(links, "links")
 
@@ -178,7 +197,9 @@ def near_duplicates(
     keep their rows; a class whose ids are all NULL has the id NULL. Extra columns are not read.
     """
     texts = sign_texts(docs, doc_id, text, shingle, trees, depth)
-    links = forest_links(texts, threshold, recall, trees, depth).filter(F.col("similarity") >= PLAUSIBLE)
+    links = forest_links(texts, threshold, recall, trees, depth).filter(
+        F.col("similarity") >= min(PLAUSIBLE, threshold - MARGIN)
+    )
     groups = connected_components(links, "node", "hub")
     verified = _verified(docs, doc_id, text, texts, groups, threshold, shingle)
     classes = connected_components(verified.filter("node != link"), "node", "link")
@@ -189,7 +210,7 @@ def near_duplicates(
         .join(degrees, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
-    ids = labelled.groupBy("root").agg(F.min("rep").alias("class_id"))
+    ids = written(labelled.groupBy("root").agg(F.min("rep").alias("class_id")), "classes")
     known = labelled.join(ids, "root").select(
         F.col("node").alias("known"), "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "copies"
     )
@@ -212,7 +233,7 @@ def _verified(
             F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
         ).cast("int").alias("n_blocks")
     )
-    placed = members.join(sizes, "root").select(
+    placed = members.join(written(sizes, "sizes"), "root").select(
         "node", "rep", "root", "n_blocks", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("block")
     )
     placed = written(placed, "placed")
@@ -220,10 +241,11 @@ def _verified(
     if placed.count() <= BROADCAST_NODES:
         chosen = F.broadcast(chosen)
     rows = docs.select(F.col(doc_id).alias("id"), _digest(F.col(text)).alias("node"), F.col(text).alias("text"))
-    # One row per text: that of the least id. Rows that repeat as a whole meet again in the blocks.
+    # One row per text: that of the least id; of rows that repeat as a whole, one per map task and then one.
     rows = rows.join(
         chosen, (F.col("node") == F.col("chosen")) & F.col("id").eqNullSafe(F.col("chosen_rep")), "left_semi"
     )
+    rows = rows.groupBy("node").agg(F.first("text").alias("text"))
 
     def sets(table: pa.Table) -> pa.Table:
         hashes, counts = shingle_hashes(table["text"].combine_chunks(), shingle)
@@ -247,12 +269,9 @@ def _verified(
 
 
 def _verify(table: pa.Table, threshold: float) -> pa.Table:
-    nodes, blocks = table["node"].to_pylist(), table["block"].to_pylist()
-    first = {n: i for i, n in reversed(list(enumerate(nodes)))}
-    keep = sorted(first.values())
-    nodes, blocks = [nodes[i] for i in keep], np.array([blocks[i] for i in keep])
+    nodes, blocks = table["node"].to_pylist(), table["block"].to_numpy()
     runs = table["runs"].combine_chunks()
-    sets = [np.frombuffer(runs[i].as_buffer(), np.uint64) for i in keep]
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in runs]
     sizes = np.array([len(s) for s in sets], np.float64)
     own = np.repeat(np.arange(len(sets)), sizes.astype(int))
     _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)

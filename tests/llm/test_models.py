@@ -1,6 +1,7 @@
 """Decontamination, near duplicates, pieces, classifiers and the pipeline against plain Python."""
 
 import hashlib
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -208,6 +209,68 @@ def test_hot_group_of_close_copies_does_not_hide_a_weak_pair(spark):
     assert sum(bytes(r.hub) == b"\0" for r in links) == 60
 
 
+@pytest.mark.parametrize("start", ["", "a", "word "])
+def test_long_words_equal_the_library(model, library, start):
+    rng = np.random.default_rng(3)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    chinese = np.array([chr(c) for c in range(0x4E00, 0x9000)])
+    drawn = [rng.choice(a, n) for a in (letters, chinese) for n in (640, 641, 5_000, 100_000)]
+    texts = [start + "".join(x) for x in drawn]
+    begin = time.perf_counter()
+    got = pieces.encode_texts(model, pa.array(texts)).to_pylist()
+    assert time.perf_counter() - begin < 20
+    texts = [start + "a" * 1_001, start + "the" * 2_000, start + "=-" * 3_000 + "x"]
+    got += pieces.encode_texts(model, pa.array(texts)).to_pylist()
+    texts = [start + "".join(x) for x in drawn] + texts
+    assert got == [library.encode(x) for x in texts]
+
+
+def test_blocks_that_do_not_meet_are_encoded_in_order(model, library, monkeypatch):
+    monkeypatch.setattr(pieces, "LONG_BLOCK", 37)
+    monkeypatch.setattr(pieces, "LONG_WARM", 1)
+    for text in ("a" * 500, "ab" * 300, "internationalization" * 40, "0" * 333):
+        assert pieces.encode_texts(model, pa.array([text])).to_pylist() == [library.encode(text)]
+
+
+def test_recall_at_low_thresholds(spark):
+    """Pairs a little above the threshold, among texts that share branches of short prefixes."""
+    rng = np.random.default_rng(11)
+    for threshold in (0.5, 0.6, 0.7, 0.8):
+        rows, n = [], 200
+        for i in range(n):
+            size = 120
+            common = int(np.ceil(2 * size * (threshold + 0.01) / (1 + threshold + 0.01)))
+            runs = rng.integers(0, 1 << 62, 2 * size, np.int64).astype(str)
+            one = list(runs[:size])
+            two = one[:common] + list(runs[size : 2 * size - common])
+            rows += [(2 * i, " ".join(one), "en", "a", 0), (2 * i + 1, " ".join(two), "en", "a", 0)]
+        got = {r.id: r.class_id for r in jaccard.near_duplicates(frame(spark, rows), threshold=threshold, shingle=1).collect()}
+        assert sum(got[2 * i + 1] == 2 * i for i in range(n)) == n, threshold
+        assert all(got[2 * i] == 2 * i for i in range(n))
+
+
+def test_recall_out_of_reach_is_refused():
+    with pytest.raises(ValueError, match="recall"):
+        jaccard.shortened(0.3, jaccard.RECALL)
+    assert jaccard._found(0.5, jaccard.shortened(0.5, jaccard.RECALL), jaccard.TREES) >= jaccard.RECALL
+
+
+def test_equal_rows_reach_the_verification_once(spark, monkeypatch):
+    text = sentence(77, 200)
+    rows = [(None, text, "en", "a", 0)] * 3_000 + [(1, changed(text, 9), "en", "a", 0)]
+    sizes = spark.sparkContext.accumulator(0)
+    verify = jaccard._verify
+
+    def counted(table, threshold):
+        sizes.add(table.num_rows)
+        return verify(table, threshold)
+
+    monkeypatch.setattr(jaccard, "_verify", counted)
+    got = Counter((r.id, r.class_id, r.n_links, r.n_copies) for r in jaccard.near_duplicates(frame(spark, rows)).collect())
+    assert got == {(None, 1, 1, 3_000): 3_000, (1, 1, 1, 1): 1}
+    assert sizes.value == 2
+
+
 def test_depth_reaches_the_recall_at_the_threshold():
     for threshold in (0.8, 0.9, 0.95):
         d = jaccard.shortened(threshold, jaccard.RECALL)
