@@ -464,6 +464,29 @@ def test_pairs_order_by_the_learned_weights():
     assert np.mean((raw >= model.cut) == labels) > 0.95
 
 
+def test_ranking_learns_from_every_labelled_row(spark, monkeypatch):
+    n = 20_600  # more than a former sample held
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.expr("repeat('ab ', cast(id % 9 as int))").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 9 > 3).cast("int").alias("quality"))
+    model = ranking.train(docs, labels)
+    sizes = np.log1p(3 * (np.arange(n) % 9))
+    assert model.mean[0] == pytest.approx(sizes.mean(), rel=1e-12)
+    rows = ranking.score(docs, model).collect()
+    assert np.mean([r.kept == (r.id % 9 > 3) for r in rows]) > 0.99
+
+
+def test_blocks_of_pairs_hold_every_row(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(ranking, "LEAST_SCARCE", 4)
+    values = [f"cast(id as double) AS {name}" for name in ranking.NAMES]
+    table = spark.range(400).selectExpr("id AS _id", "cast(id % 20 = 0 as double) AS _label", *values)
+    blocks = [(np.array(r.x).reshape(-1, len(ranking.NAMES)), np.array(r.y)) for r in ranking._blocks(table, 20, 380, 7).collect()]
+    assert len(blocks) > 5 and all(len(ranking.differences(x, y)) >= (y == 0).sum() for x, y in blocks)
+    bad = sorted(int(v) for x, y in blocks for v in x[y == 0, 0])
+    assert bad == [i for i in range(400) if i % 20]
+    assert {int(v) for x, y in blocks for v in x[y == 1, 0]} == set(range(0, 400, 20))
+
+
 def brute_pipeline(spark, sf):
     """The stages up to the texts, in plain Python; no line of the fixture is frequent enough to go."""
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
