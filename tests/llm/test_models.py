@@ -487,6 +487,23 @@ def test_blocks_of_pairs_hold_every_row(spark, monkeypatch):
     assert {int(v) for x, y in blocks for v in x[y == 1, 0]} == set(range(0, 400, 20))
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    n = 12_400  # more than a former sample held
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("a").alias("text"))
+    model = toxicity.train(docs, docs.select("doc_id", F.lit(0).alias("toxic")))
+    assert float(model.probability(np.array([model.offset]))[0]) == pytest.approx(0.1 / (n + 1), rel=1e-9)
+
+
+def test_parts_train_one_model(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART_ROWS", 150)
+    text = F.expr("concat_ws(' ', concat('w', id % 40), if(id % 4 = 0, 'vile', 'kind'), concat('x', id % 30))")
+    docs = spark.range(1_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), text.alias("text"))
+    model = toxicity.train(docs, docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic")))
+    scores = {r.id: r.score for r in toxicity.score(docs, model).collect()}
+    assert min(scores[i] for i in range(0, 1_000, 4)) > 0.9 and max(v for i, v in scores.items() if i % 4) < 0.1
+    assert 0 < model.threshold < 1 and set(model.thresholds) == {"en"}
+
+
 def brute_pipeline(spark, sf):
     """The stages up to the texts, in plain Python; no line of the fixture is frequent enough to go."""
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
