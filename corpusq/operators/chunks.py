@@ -14,6 +14,8 @@ from corpusq.functions.text import composite_id, let
 
 CHUNK_TOKENS = 200
 CHUNK_OVERLAP = 50
+#: Batches between Spark and an injected tokenizer hold about so many bytes, or one row; what a task hands on, so many characters.
+BATCH_CHARS = 4 << 20
 
 
 class Tokenizer(Protocol):
@@ -104,22 +106,39 @@ def chunk_with_tokenizer(
     )
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = factory()
-        for pdf in batches:
-            pieces = []
-            for value in pdf[text]:
-                tokens = tokenizer.encode(value) if value else []
-                starts = range(0, max(0, len(tokens) - overlap - 1) + 1, step)
-                pieces.append([(i, tokenizer.decode(tokens[s : s + size])) for i, s in enumerate(starts) if value])
-            out = pd.DataFrame({key: pdf[key], "piece": pieces}).explode("piece").dropna(subset=["piece"])
-            out["chunk_index"] = out["piece"].str[0].astype("int64")
-            out["text"] = out["piece"].str[1]
-            yield out[[key, "chunk_index", "text"]]
+        return _token_windows(batches, key, text, factory(), size, overlap, step)
 
+    # By rows alone a batch of long texts could be of any size.
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_CHARS))
     out = df.select(key, text).mapInPandas(windows, schema)
     return out.withColumn("id", composite_id(F.col(key), F.col("chunk_index")))
 
 
+def _token_windows(
+    batches: Iterator[pd.DataFrame], key: str, text: str, tokenizer: Tokenizer, size: int, overlap: int, step: int
+) -> Iterator[pd.DataFrame]:
+    """Rows of key, ordinal and text; a frame is handed on once it holds ``BATCH_CHARS`` characters, so memory does not follow the batch."""
+    for pdf in batches:
+        keys, places, pieces, held = [], [], [], 0
+
+        def frame() -> pd.DataFrame:
+            return pd.DataFrame({key: pd.Series(keys, dtype=pdf[key].dtype), "chunk_index": pd.Series(places, dtype="int64"), "text": pieces})
+
+        for k, value in zip(pdf[key], pdf[text]):
+            tokens = tokenizer.encode(value) if value else []
+            for i, s in enumerate(range(0, max(0, len(tokens) - overlap - 1) + 1, step) if value else ()):
+                piece = tokenizer.decode(tokens[s : s + size])
+                keys.append(k)
+                places.append(i)
+                pieces.append(piece)
+                held += len(piece)
+                if held >= BATCH_CHARS:
+                    yield frame()
+                    keys, places, pieces, held = [], [], [], 0
+        if pieces:
+            yield frame()
+
+
 def attach_metadata(
     chunks: DataFrame,
     meta: DataFrame,

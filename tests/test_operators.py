@@ -464,3 +464,15 @@ def test_model_tokenizer_counts_and_chunks(spark, sf):
     assert {r.doc_id: r.document_num_tokens for r in counted.collect()} == expected
     pieces = chunks.chunk_with_tokenizer(docs, "doc_id", "text", factory).groupBy("doc_id").count().collect()
     assert {r.doc_id: r["count"] for r in pieces} == {d: max(1, -(-(n - 50) // 150)) for d, n in expected.items()}
+
+
+def test_tokenizer_chunks_are_handed_on_in_bounded_frames(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "BATCH_CHARS", 2_000)
+    texts = [" ".join(f"w{i}x{k}" for k in range(n)) for i, n in enumerate((0, 1, 600, 0, 2_000, 200, 201))] + [None]
+    batch = pd.DataFrame({"doc": range(len(texts)), "body": texts})
+    frames = list(chunks._token_windows(iter([batch]), "doc", "body", chunks.SpaceTokenizer(), 200, 50, 150))
+    longest = max(f["text"].str.len().max() for f in frames)
+    assert len(frames) > 5 and all(f["text"].str.len().sum() < 2_000 + longest for f in frames)
+    got = [(r.doc, r.chunk_index, r.text) for f in frames for r in f.itertuples()]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc long, body string")
+    assert got == sorted((r.doc, r.chunk_index, r.text) for r in chunks.chunk(df, "doc", "body").collect())
