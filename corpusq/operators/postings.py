@@ -46,7 +46,8 @@ def write_postings(
     place = F.lit(batch).cast("long") * (1 << 48) + F.col("size") * (1 << 40) + F.pmod(F.xxhash64("id"), parts)
     empty = F.struct(F.lit(EVERY).cast("long").alias("term"), F.lit(0).cast("long").alias("tf"))
     blocked = sized.select("id", place.alias("block"), F.concat(F.array(empty), V.term_vector(F.coalesce(text, F.lit("")), buckets)).alias("vector"))
-    entries = blocked.select("id", "block", F.inline(F.transform("vector", lambda t: F.struct(t["term"], t["tf"]))))
+    # A document moves once, as one row; its entries are made and grouped where its block is.
+    entries = blocked.repartition("block").select("id", "block", F.inline(F.transform("vector", lambda t: F.struct(t["term"], t["tf"]))))
     held = F.when(F.col("term") != EVERY, F.struct("id", "tf"))
     table = entries.groupBy("term", "block").agg(
         F.count(F.lit(1)).alias("n"), F.max("tf").alias("most"), F.collect_list(held).alias("postings")
@@ -94,8 +95,11 @@ def _scored_blocks(spark: SparkSession, path: str, queries: DataFrame, k: int, q
 
     def scored(chosen: DataFrame) -> DataFrame:
         """``(query, id, score)`` of the documents in the chosen (query, block) pairs; only those blocks' postings are joined."""
-        wanted = chosen.select("query", "block").join(weighted, "query")
-        hits = wanted.join(table.select("term", "block", "postings"), ["term", "block"])
+        wanted = stored(chosen.select("query", "block").join(weighted, "query"), "wanted")
+        # Written, so that its size is known before the table would be moved; what no question asks for stays where it is.
+        read = table.select("term", "block", "postings").join(weighted.select("term").distinct(), "term", "left_semi")
+        read = read.join(wanted.select("term", "block").distinct(), ["term", "block"], "left_semi")
+        hits = wanted.join(read, ["term", "block"])
         each = hits.select("query", "idf", F.inline("postings"))
         return each.groupBy("query", "id").agg(F.sum(F.col("tf") * F.col("idf")).alias("score"))
 

@@ -86,3 +86,13 @@ def test_blocks_are_skipped(spark, monkeypatch):
     assert found == brute(docs, [(1, "w1 w2"), (2, "w8")], 3)
     bounds, opened = seen[0]
     assert opened.count() < 0.3 * bounds.count()
+
+
+def test_only_asked_postings_are_moved(spark):
+    _, _, df, questions = frames(spark)
+    path = f"{shared_folder(spark)}/postings-moved"
+    postings.write_postings(df, path, "id", "body", block_rows=32)
+    found = postings.search_postings(spark, path, questions, 3, id_col="id", query_id="q")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    reads = [line for line in plan.splitlines() if "Relation" in line and "postings#" in line]
+    assert len(reads) == 1 and plan.count("LeftSemi") >= 2
