@@ -165,6 +165,7 @@ def train(
         .groupBy(F.col(doc_id).alias("_id"))
         .agg(F.min(label).cast("double").alias("_label"))
     )
+    chosen = written(chosen, "labels")  # of known size: texts are not shuffled where it can be broadcast
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(chosen, "_id")
     table = written(measured(rows, F.col("_text"), [F.col("_id"), F.col("_label")]), "measures")
     is_good, is_bad = F.col("_label") == 1, F.col("_label") == 0

@@ -161,7 +161,7 @@ def _trained_rows(own: np.ndarray, params: dict, n: int) -> pa.RecordBatch:
     flat = np.concatenate([params[k].ravel() for k in _small(params)])
     flat = np.append(flat, np.zeros(-len(flat) % DIMENSIONS)).reshape(-1, DIMENSIONS)
     place = np.concatenate([own[1:], -1 - np.arange(len(flat))])
-    values = np.concatenate([params["embed"][1:], flat])
+    values = np.concatenate([params["embed"][1:], flat]).astype(np.float32)
     return pa.RecordBatch.from_pydict({"place": place, "n": np.full(len(place), n), **{f"v{d}": values[:, d] for d in range(DIMENSIONS)}})
 
 
@@ -204,8 +204,8 @@ def _train_epoch(rows: DataFrame, known: np.ndarray, params: dict, epoch: int, s
 
     bound_batches(rows.sparkSession)
     names = [f"v{d}" for d in range(DIMENSIONS)]
-    each = rows.select("part", "label", "words").mapInArrow(run, "place long, n long, " + ", ".join(f"{v} double" for v in names))
-    mean = each.groupBy("place").agg(*[(F.sum(F.col(v) * F.col("n")) / F.sum("n")).alias(v) for v in names])
+    each = rows.select("part", "label", "words").mapInArrow(run, "place long, n long, " + ", ".join(f"{v} float" for v in names))
+    mean = each.groupBy("place").agg(*[(F.sum(F.col(v).cast("double") * F.col("n")) / F.sum("n")).alias(v) for v in names])
     return _averaged(params, mean.toArrow())
 
 
@@ -327,6 +327,7 @@ def train(
         .groupBy(F.col(doc_id).alias("_id"))
         .agg(F.max(label).cast("double").alias("_label"))
     )
+    chosen = written(chosen, "labels")  # of known size: texts are not shuffled where it can be broadcast
     kept = [F.col(doc_id).alias("_id"), F.col(language).cast("string").alias("_lang"), F.col(text).alias("_text")]
     rows = docs.select(*kept).join(chosen, "_id")
     rows = rows.select(F.xxhash64(F.lit(seed), "_id").alias("place"), "_label", "_lang", "_text")
@@ -346,7 +347,7 @@ def train(
     known, params = _start(counts, toxic / n, buckets, np.random.default_rng(seed))
     parts = -(-n // PART_ROWS)
     dealt = learned.withColumn("part", F.pmod(F.xxhash64("place"), F.lit(parts)).cast("int"))
-    dealt = written(dealt.repartition(parts, "part").sortWithinPartitions("part", "place", "words"), "parts")
+    dealt = written(dealt.repartitionByRange(parts, "part").sortWithinPartitions("part", "place", "words"), "parts")
     for epoch in range(EPOCHS):
         params = _train_epoch(dealt, known, params, epoch, seed)
     model = ConvModel(
