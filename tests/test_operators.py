@@ -263,6 +263,23 @@ def test_running_text_leaves_out_null_texts(spark):
         assert got == [(t, "-".join(x for _, u, x in data if u < t and x is not None)) for t in range(10)]
 
 
+def test_running_text_stores_each_text_once(spark, monkeypatch):
+    data = [(1, 3 * t + t % 2, f"{t:050d}") for t in range(200)] + [(k, t, f"{k}-{t}") for k in (2, 3) for t in range(k)]
+    df = spark.createDataFrame(data, "k long, t long, x string")
+    kept, stored = [], ordered.stored
+
+    def watched(frame, name):
+        out = stored(frame, name)
+        texts = [c for c, kind in out.dtypes if "string" in kind]
+        kept.extend(len("".join(r[c] or "")) for r in out.collect() for c in texts)
+        return out
+
+    monkeypatch.setattr(ordered, "stored", watched)
+    got = rows(ordered.running_text(df, "k", "t", F.col("x"), "o", "-", True, 2).select("k", "t", "o"))
+    assert got == sorted((k, t, "-".join(x for j, u, x in data if j == k and u <= t)) for k, t, _ in data)
+    assert sum(kept) <= 2 * sum(len(x) for _, _, x in data)
+
+
 @pytest.mark.parametrize("block_rows", [3, 8, 1024])
 def test_hot_conversation_is_folded_by_many_tasks(spark, monkeypatch, block_rows):
     data = [(1, 2 * t, f"said {t}", f"answer {t}") for t in range(100)] + [(c, 1, f"s{c}", "") for c in range(2, 30)]
