@@ -3,7 +3,8 @@
 Each document has a few measures of its whole text. From all labelled rows preference pairs (a good
 document before a bad one) are made, and a linear score is learned by the logistic loss on the
 difference of their measures. The decision is a quantile of the scores: the share of bad rows among
-the labelled ones. Measures and scores are DataFrame expressions; scoring is one pass, no shuffle. Training
+the labelled ones. Measures and scores are DataFrame expressions; scoring is one pass, no shuffle. In training every
+text is measured where it is read and only its measures meet the labels; it
 keeps the measures of the labelled rows in a table; only sums over its pairs reach the driver.
 """
 
@@ -157,7 +158,7 @@ def train(
 ) -> RankModel:
     """Fit on all labelled rows, whole texts.
 
-    Rows with a NULL label or id are not used; if an id has several labels the least counts. Each Newton step is one pass over
+    Rows with a NULL label or id are not used; if an id has several labels the least counts. Texts are never shuffled. Each Newton step is one pass over
     the pairs in the tasks.
     """
     chosen = (
@@ -165,9 +166,8 @@ def train(
         .groupBy(F.col(doc_id).alias("_id"))
         .agg(F.min(label).cast("double").alias("_label"))
     )
-    chosen = written(chosen, "labels")  # of known size: texts are not shuffled where it can be broadcast
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(chosen, "_id")
-    table = written(measured(rows, F.col("_text"), [F.col("_id"), F.col("_label")]), "measures")
+    rows = measured(docs.filter(F.col(doc_id).isNotNull()), F.col(text), [F.col(doc_id).alias("_id")])
+    table = written(rows.join(chosen, "_id").select("_id", "_label", *NAMES), "measures")
     is_good, is_bad = F.col("_label") == 1, F.col("_label") == 0
     seen = table.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(is_good).alias("good"), F.count_if(is_bad).alias("bad"),

@@ -475,6 +475,21 @@ def test_ranking_learns_from_every_labelled_row(spark, monkeypatch):
     assert np.mean([r.kept == (r.id % 9 > 3) for r in rows]) > 0.99
 
 
+def test_ranking_measures_texts_before_labels_join(spark, monkeypatch):
+    plans, written = {}, ranking.written
+
+    def watched(frame, name):
+        plans[name] = frame._jdf.queryExecution().optimizedPlan().toString()
+        return written(frame, name)
+
+    monkeypatch.setattr(ranking, "written", watched)
+    docs = spark.createDataFrame([(n, "ab " * (n % 5)) for n in range(60)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(n, int(n % 5 > 2)) for n in range(60)] + [(None, 1)], "doc_id long, quality int")
+    ranking.train(docs, labels)
+    plan = plans["measures"]
+    assert 0 <= plan.index("Join Inner") < plan.index("log_chars", plan.index("Join Inner")) < plan.index("split(")
+
+
 def test_blocks_of_pairs_hold_every_row(spark, monkeypatch):
     monkeypatch.setattr(ranking, "BLOCK_ROWS", 32)
     monkeypatch.setattr(ranking, "LEAST_SCARCE", 4)
