@@ -309,6 +309,21 @@ def test_scan_merges_in_order(spark):
         assert got == sorted(w for w in want if w[2])
 
 
+def test_rounds_of_a_scan_broadcast_nothing(spark, monkeypatch):
+    plans, stored = [], ordered.stored
+
+    def watched(frame, name):
+        plans.append((name, frame._jdf.queryExecution().sparkPlan().toString()))
+        return stored(frame, name)
+
+    monkeypatch.setattr(ordered, "stored", watched)
+    values = spark.createDataFrame([("a", b, f"v{b}") for b in range(9)], "k string, _block long, v string")
+    heads = ordered.scan_blocks(values, values.select("k", "_block"), "k", "v", F.concat, "h")
+    plans.append(("scan", heads._jdf.queryExecution().sparkPlan().toString()))
+    joins = [plan for name, plan in plans if name == "scan"]
+    assert len(joins) == 5 and all("SortMergeJoin" in p and "Broadcast" not in p for p in joins)
+
+
 def test_fold_summary(talk):
     pairs = chat.turn_pairs(talk)
     fold = chat.fold_summary(pairs, lambda: lambda s, i, o: f"old New summary:{s}|{i[-2:].strip()}")
