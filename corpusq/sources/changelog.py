@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusq.sources.materialise import materialise
+from corpusq.sources.materialise import stored
 from corpusq.sources.snapshots import assert_unique, latest_by_key, row_digest
 
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
@@ -55,6 +55,15 @@ class ChangeLog:
         folders = [f"{self.path}/changes/version={n}" for n in numbers]
         return self.spark.read.option("basePath", f"{self.path}/changes").option("mergeSchema", "true").parquet(*folders)
 
+    def _last(self, log: DataFrame, after: int, upto: int) -> DataFrame:
+        """The last change of each key in ``log``, the changes behind ``after`` up to ``upto``.
+
+        One version that ``commit`` wrote has each key once, as it refuses others, so its rows need not move.
+        """
+        known = self._commits().filter(~F.col("base") & (F.col("version") > after) & (F.col("version") <= upto))
+        versions, applied = known.agg(F.count_distinct("version"), F.count("source")).first()
+        return log if versions == 1 and not applied else latest_by_key(log, self.key, [F.col("version").desc()])
+
     def changes(self, after: int = 0, upto: int | None = None, net: bool = False) -> DataFrame:
         """``(key, kind, version, …)`` of the commits behind version ``after`` up to ``upto``, the last if not given.
 
@@ -62,13 +71,14 @@ class ChangeLog:
         key's other columns are NULL. A log without commits cannot be read.
         """
         last = self.version()
-        log = self._log(after, last if upto is None else upto)
+        upto = last if upto is None else upto
+        log = self._log(after, upto)
         if log is None:
             log = self._log(0, last)
             if log is None:
                 raise ValueError(f"no commits in {self.path}")
             log = log.limit(0)
-        rows = latest_by_key(log, self.key, [F.col("version").desc()]) if net else log
+        rows = self._last(log, after, upto) if net else log
         rest = [c for c in rows.columns if c not in (self.key, "kind", "version", _DIGEST)]
         return rows.select(self.key, "kind", F.col("version").cast("long").alias("version"), *rest)
 
@@ -79,7 +89,7 @@ class ChangeLog:
         log = self._log(bases or 0, version)
         if log is None:
             return base
-        last = latest_by_key(log, self.key, [F.col("version").desc()])
+        last = self._last(log, bases or 0, version)
         live = last.filter(F.col("kind") != DELETE).drop("kind", "version")
         if base is None:
             return live
@@ -108,10 +118,11 @@ class ChangeLog:
             before = old.select(F.col(self.key).alias("_key"), F.col(_DIGEST).alias("_before"))
             after = new.select(self.key, _DIGEST)
             kind = F.when(F.col("_key").isNull(), INSERT).when(F.col(self.key).isNull(), DELETE).when(F.col(_DIGEST) != F.col("_before"), UPDATE)
-            differ = materialise(
+            differ = stored(
                 after.join(before, F.col(self.key) == F.col("_key"), "full_outer")
                 .select(F.coalesce(self.key, "_key").alias(self.key), kind.alias("kind"))
-                .filter("kind IS NOT NULL")
+                .filter("kind IS NOT NULL"),
+                "differ",
             )
             if differ.isEmpty():
                 return last
@@ -153,7 +164,7 @@ def follow_index(source: ChangeLog, index: ChangeLog, text: str, meta: Sequence[
     upto, have = source.version(), index.followed()
     if upto <= have:
         return have
-    found = materialise(source.changes(have, upto, net=True))
+    found = stored(source.changes(have, upto, net=True), "changed")
     live = found.filter(F.col("kind") != DELETE)
     built = build_index(live, source.key, text, meta, buckets or DEFAULT_BUCKETS, False, encode).withColumn("kind", F.lit(UPDATE))
     gone = found.filter(F.col("kind") == DELETE).select(source.key, "kind")

@@ -79,3 +79,16 @@ def test_index_follows_the_log(spark, tmp_path):
     source.commit(table(spark, (5, "z", "x")))
     follow_index(source, index, "body", ["tag"])
     assert got(index.read(), "id", "body") == [(5, "z")]
+
+
+def test_one_commit_is_read_without_moving_its_rows(spark, tmp_path):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    log = ChangeLog(spark, str(tmp_path / "once"), "k")
+    log.commit(spark.createDataFrame([(1, "a"), (2, "b")], "k long, x string"))
+    assert "Window" not in plan(log.read()) and "Window" not in plan(log.changes(net=True))
+    log.commit(spark.createDataFrame([(1, "c")], "k long, x string"))
+    assert "Window" in plan(log.read()) and "Window" not in plan(log.changes(1, net=True))
+    assert [tuple(r) for r in log.read().collect()] == [(1, "c")]
+    taken = ChangeLog(spark, str(tmp_path / "taken"), "k")
+    taken.apply(spark.createDataFrame([(1, "a", "update"), (1, "a", "update")], "k long, x string, kind string"), 1)
+    assert [tuple(r) for r in taken.read().collect()] == [(1, "a")]
