@@ -2,15 +2,18 @@
 
 Vectors are tf·idf over hashed terms, the score is their cosine. All terms are ordered by document frequency, rare ones first. Where two
 texts score above the gate, the rarest term that they share lies in the prefix of both: behind its prefix a text's
-weights could not reach the gate even against a text that has nothing else (Cauchy-Schwarz). Only prefixes meet in an equi-join; the products
-of shared prefix terms are summed per pair, pairs whose sum and rests cannot reach the gate go, and each pair that is left is scored once
-from both vectors. The weights make the prefixes short: common words carry little of a text's length.
+weights could not reach the gate even against a text that has nothing else (Cauchy-Schwarz). Blocks of vectors meet block by block; only the postings
+of prefixes meet there, the products of shared prefix terms are summed per pair, pairs whose sum and rests cannot reach the gate go, and each pair
+that is left is scored once from both vectors. The weights make the prefixes short: common words carry little of a text's length.
 
 Equal vectors are one class throughout, so copies are joined once and a group of them is never expanded into pairs.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -22,8 +25,15 @@ from corpusq.sources.materialise import stored
 
 #: idf in thousandths, so that weights are integers and dot products exact.
 IDF_UNIT = 1000
-#: Postings of one term that meet in one salt; a term with more is dealt over several.
+#: Vectors of a block, and their terms.
+BLOCK_ROWS = 16_384
+BLOCK_TERMS = 6 << 20
+MAX_BLOCK_TASKS = 20_000
+#: Pairs of blocks that meet in one round, about.
+ROUND_GROUPS = 128
+#: Products that are added at once, in units of 2,048.
 SALT_ROWS = 512
+_CELLS = 1 << 22
 _SLACK = 1 - 1e-9
 
 
@@ -43,83 +53,163 @@ def weights(vectors: DataFrame, key: str, count: Column, total: int) -> DataFram
     return joined.select(key, F.col("term").cast("long").alias("term"), (F.col("tf") * idf).alias("w"), "df").filter("w > 0")
 
 
-def postings(weighted: DataFrame, key: str) -> DataFrame:
-    """``weighted`` with unit weight ``u``, squared rests ``here`` (from this term on) and ``rest`` (behind it), rare terms first.
-
-    One shuffle by key; a partition of the window is one text's distinct terms.
-    """
-    square = F.col("w").cast("double") * F.col("w")
-    ends = Window.partitionBy(key).orderBy(F.desc("df"), F.desc("term")).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(key)
+def rare_first(weighted: DataFrame, kind: str) -> DataFrame:
+    """``(v, terms, ws, norm2)``: one row per vector, its terms by rising document frequency, as ``kind``."""
     return (
-        weighted.withColumn("_here", F.sum(square).over(ends))
-        .withColumn("_all", F.sum(square).over(whole))
-        .select(
-            key, "term", "w",
-            (F.col("w") / F.sqrt("_all")).alias("u"),
-            (F.col("_here") / F.col("_all")).alias("here"),
-            (F.greatest(F.col("_here") - square, F.lit(0.0)) / F.col("_all")).alias("rest"),
-        )
-    )
+        weighted.groupBy("v")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "term", "w"))).alias("pairs"))
+        .select("v", F.col("pairs.term").cast(f"array<{kind}>").alias("terms"), F.col("pairs.w").alias("ws"))
+        .withColumn("norm2", F.aggregate("ws", F.lit(0).cast("long"), lambda s, w: s + w * w))
+    )
 
 
-def candidates(prefixes: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)`` with a < b: pairs that could score above the threshold, each once.
+class _Block:
+    """Vectors of a block: flat terms and weights, rare terms first, and the entries of the prefixes.
 
-    ``prefixes`` has ``(v, term, u, rest, asks, answers)``; a pair needs one side that asks and one that answers. A term with
-    many postings is dealt by salt: one side by hash, the other repeated per salt. Up to where the shorter prefix ends all
-    shared terms are summed. What lies behind is at most the gate times the other side's rest: the weights behind a prefix are below the
-    gate, the other side's are at most what was left to it behind the last shared term.
+    ``ids`` are the places of the terms in ``vocabulary``; a term that it lacks has the place behind the last one.
     """
-    hot = prefixes.groupBy("term").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).cast("int").alias("salts")).filter("salts > 1")
-    salted = stored(prefixes.join(hot, "term", "left").withColumn("salts", F.coalesce("salts", F.lit(1))), "prefixes")
-
-    def named(v: str, salt: Column, n: int) -> DataFrame:
-        own = [F.col(c).alias(f"{c}{n}") for c in ("u", "rest", "asks", "answers")]
-        return salted.select(F.col("v").alias(v), "term", salt.alias("salt"), *own)
 
-    one = named("a", F.pmod(F.xxhash64("v"), F.col("salts")).cast("int"), 1)
-    other = named("b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)), 2)
-    serves = (F.col("asks1") & F.col("answers2")) | (F.col("asks2") & F.col("answers1"))
-    met = one.join(other, ["term", "salt"]).filter((F.col("a") < F.col("b")) & serves)
-    bound = F.sum(F.col("u1") * F.col("u2")) + threshold * F.sqrt(F.greatest(F.min("rest1"), F.min("rest2")))
-    return met.groupBy("a", "b").agg(bound.alias("bound")).filter(F.col("bound") > threshold * _SLACK).select("a", "b")
-
-
-_SCORED = "a long, b long, score double"
-
-
-def scored(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, score)`` of the pairs above the threshold, from integer dot products of whole vectors.
-
-    ``vectors`` has ``(v, terms, ws, norm2)`` with sorted terms. Terms of a batch are looked up together.
+    def __init__(self, rows: pa.Table, vocabulary: np.ndarray, threshold: float) -> None:
+        terms, ws = rows["terms"].combine_chunks(), rows["ws"].combine_chunks()
+        self.v, self.norm2 = rows["v"].to_numpy(), rows["norm2"].to_numpy()
+        sizes = terms.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.bounds = np.append(0, np.cumsum(sizes))
+        self.ws = ws.flatten().to_numpy(zero_copy_only=False)
+        self.ids = _places(vocabulary, terms.flatten().to_numpy(zero_copy_only=False))
+        # Whole numbers: sums over the block may wrap around, their differences within a vector are exact.
+        square = self.ws * self.ws
+        upto = np.cumsum(square)
+        norm2 = np.repeat(self.norm2.astype(float), sizes)
+        rest = (np.repeat(np.append(0, upto)[self.bounds[1:]], sizes) - upto) / norm2
+        share = square / norm2
+        entries = np.flatnonzero((rest + share > threshold * threshold * _SLACK) & (self.ids < len(vocabulary)))
+        self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[entries]
+        self.term, self.u, self.rest = self.ids[entries], np.sqrt(share[entries]), rest[entries].astype(np.float32)
+
+    def dots(self, rows: np.ndarray, other: _Block, others: np.ndarray, n_terms: int) -> np.ndarray:
+        """Exact integer products of ``rows``, which rise, with the rows ``others`` of ``other``."""
+        spread = np.zeros(n_terms + 1, np.int64)
+        dot = np.zeros(len(rows), np.int64)
+        heads = np.flatnonzero(np.diff(rows, prepend=-1))
+        for head, end in zip(heads, [*heads[1:], len(rows)], strict=True):
+            own = slice(self.bounds[rows[head]], self.bounds[rows[head] + 1])
+            spread[self.ids[own]] = self.ws[own]
+            spread[n_terms] = 0
+            starts = other.bounds[others[head:end]]
+            sizes = other.bounds[others[head:end] + 1] - starts
+            first = np.cumsum(sizes) - sizes
+            place = np.arange(sizes.sum()) + np.repeat(starts - first, sizes)
+            dot[head:end] = np.add.reduceat(spread[other.ids[place]] * other.ws[place], first)
+            spread[self.ids[own]] = 0
+        return dot
+
+
+def _places(vocabulary: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(vocabulary, terms).astype(np.int32)
+    at[vocabulary[np.minimum(at, len(vocabulary) - 1)] != terms] = len(vocabulary)
+    return at
+
+
+def _met(asking: _Block, answering: _Block, n_terms: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of both blocks whose shared prefix terms and rests could reach the gate.
+
+    A strip of asking rows has one cell per pair; the products of its entries with the postings of their terms are added there,
+    some at once. Shared terms come in the same order in both vectors, so the last one's rests stay.
+    """
+    width = len(answering.v)
+    order = np.argsort(answering.term, kind="stable")
+    held = np.bincount(answering.term, minlength=n_terms)
+    first = np.cumsum(held) - held
+    owner, u, rest = answering.row[order], answering.u[order], answering.rest[order]
+    known = np.flatnonzero(held[asking.term])
+    term, row = asking.term[known], asking.row[known]
+    height = max(1, _CELLS // width)
+    for top in range(0, len(asking.v), height):
+        a, b = np.searchsorted(row, [top, top + height])
+        if a == b:
+            continue
+        total = np.zeros(height * width)
+        rest1, rest2 = np.zeros(height * width, np.float32), np.zeros(height * width, np.float32)
+        behind = np.cumsum(held[term[a:b]])
+        cuts = np.unique(np.searchsorted(behind, np.arange(0, behind[-1], SALT_ROWS * 2048)))
+        for c, d in zip(a + cuts, [*(a + cuts[1:]), b], strict=True):
+            n, some = held[term[c:d]], known[c:d]
+            entry = np.repeat(np.arange(d - c), n)
+            posting = np.arange(len(entry)) + np.repeat(first[term[c:d]] - (np.cumsum(n) - n), n)
+            cell = ((row[c:d].astype(np.int64) - top) * width)[entry] + owner[posting]
+            np.add.at(total, cell, asking.u[some][entry] * u[posting])
+            rest1[cell], rest2[cell] = asking.rest[some][entry], rest[posting]
+        cells = np.flatnonzero(total)
+        # The rests are single precision.
+        bound = total[cells] + threshold * np.sqrt(np.maximum(rest1[cells], rest2[cells]).astype(float) * (1 + 1e-6))
+        cells = cells[bound > threshold * _SLACK]
+        yield top + cells // width, cells % width
+
+
+_CANDIDATES = "a long, b long, dot long, n1 long, n2 long"
+
+
+def candidates(vectors: DataFrame, threshold: float, same: bool) -> DataFrame:
+    """``(a, b, dot, n1, n2)``: pairs of an asking and an answering vector with a score at the threshold or above, each once.
+
+    ``vectors`` has ``(v, terms, ws, norm2, asks, answers)``. Both sides are cut into blocks of bounded size and each pair of blocks is one group,
+    which adds up the products of shared prefix terms: no row per shared term or pair is shuffled, only the vectors, once per block of the other
+    side. The answering blocks take turns, about ``ROUND_GROUPS`` groups in each, so that no more than a round's copies are on the disks.
+    Where the sides are the ``same``, a pair of blocks meets once and gives both directions.
+
+    Up to where the shorter prefix ends all shared terms are summed. What lies behind is at most the gate times the other side's rest: the
+    weights behind a prefix are below the gate, the other side's are at most what was left to it behind the last shared term.
     """
-    first = vectors.select(F.col("v").alias("a"), F.col("terms").alias("t1"), F.col("ws").alias("w1"), F.col("norm2").alias("n1"))
-    second = vectors.select(F.col("v").alias("b"), F.col("terms").alias("t2"), F.col("ws").alias("w2"), F.col("norm2").alias("n2"))
-
-    def flat(batch: pa.RecordBatch, terms: str, ws: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        lists = batch[terms]
-        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(batch)), sizes)
-        return row, (row << 40) + lists.flatten().to_numpy(zero_copy_only=False), batch[ws].flatten().to_numpy(zero_copy_only=False)
-
-    def score(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            row, key, weight = flat(batch, "t1", "w1")
-            _, other, others = flat(batch, "t2", "w2")
-            at = np.minimum(np.searchsorted(other, key), len(other) - 1)
-            same = other[at] == key
-            dot = np.zeros(batch.num_rows, np.int64)
-            np.add.at(dot, row[same], weight[same] * others[at[same]])
-            norm = np.sqrt(batch["n1"].to_numpy().astype(float)) * np.sqrt(batch["n2"].to_numpy().astype(float))
-            value = dot / norm
-            keep = np.flatnonzero(value > threshold)
-            yield pa.RecordBatch.from_arrays([batch["a"].take(keep), batch["b"].take(keep), pa.array(value[keep])], names=["a", "b", "score"])
-
-    joined = stored(pairs, "pairs").join(first, "a").join(second, "b")
-    return joined.select("a", "b", "t1", "w1", "n1", "t2", "w2", "n2").mapInArrow(score, _SCORED)
+    spark = vectors.sparkSession
+
+    def blocked(side: str, own: str) -> tuple[DataFrame, int]:
+        rows = vectors.filter(side)
+        n, values = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
+        blocks = max(1, -(-n // BLOCK_ROWS), -(-values // BLOCK_TERMS))
+        kept = [F.col(c).alias(c) for c in ("v", "terms", "ws", "norm2")]
+        return rows.select(*kept, F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int").alias(own)), blocks
+
+    (asking, n_asking), (answering, n_answering) = blocked("asks", "_ab"), blocked("answers", "_bb")
+    step = max(1, ROUND_GROUPS // n_asking)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * n_asking * min(step, n_answering))
+    partitions = min(partitions, MAX_BLOCK_TASKS)
+
+    def meet(key: tuple, one: pa.Table, other: pa.Table) -> pa.Table:
+        found = []
+        if one.num_rows and other.num_rows:
+            vocabulary = np.unique(other["terms"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
+            x, y = _Block(one, vocabulary, threshold), _Block(other, vocabulary, threshold)
+            for i, j in _met(x, y, len(vocabulary), threshold):
+                dot = x.dots(i, y, j, len(vocabulary))
+                n1, n2 = x.norm2[i], y.norm2[j]
+                kept = (dot > threshold * _SLACK * np.sqrt(n1.astype(float)) * np.sqrt(n2.astype(float))) & (x.v[i] != y.v[j])
+                found.append([c[kept] for c in (x.v[i], y.v[j], dot, n1, n2)])
+            if same and key[0].as_py() != key[1].as_py():
+                found += [[b, a, dot, n2, n1] for a, b, dot, n1, n2 in found]
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 5
+        return pa.table(dict(zip(("a", "b", "dot", "n1", "n2"), columns, strict=True)))
+
+    def meeting(start: int, stop: int) -> DataFrame:
+        left, right = asking, answering.filter((F.col("_bb") >= start) & (F.col("_bb") < stop))
+        if same:
+            left = left.filter(F.col("_ab") < stop)
+            left = left.withColumn("_bb", F.explode(F.sequence(F.greatest("_ab", F.lit(start)), F.lit(stop - 1))))
+            right = right.withColumn("_ab", F.explode(F.sequence(F.lit(0), "_bb")))
+        else:
+            left = left.withColumn("_bb", F.explode(F.sequence(F.lit(start), F.lit(stop - 1))))
+            right = right.withColumn("_ab", F.explode(F.sequence(F.lit(0), F.lit(n_asking - 1))))
+        left, right = (df.repartition(partitions, "_ab", "_bb").groupBy("_ab", "_bb") for df in (left, right))
+        return stored(left.cogroup(right).applyInArrow(meet, _CANDIDATES), "candidates")
+
+    rounds = [meeting(start, min(start + step, n_answering)) for start in range(0, n_answering, step)]
+    return functools.reduce(DataFrame.unionByName, rounds)
+
+
+def scored(pairs: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b, score)`` of the pairs above the threshold, from integer dot products of whole vectors."""
+    norm = F.sqrt(F.col("n1").cast("double")) * F.sqrt(F.col("n2").cast("double"))
+    rows = pairs.select("a", "b", (F.col("dot").cast("double") / norm).alias("score"))
+    return rows.filter(F.col("score") > threshold)
 
 
 def text_join(
@@ -169,20 +259,11 @@ def text_join(
         "classes",
     )
     sides = classes.select("v", "asks", (F.col("n") > 0).alias("answers"))
-    posted = stored(postings(weights(classes, "v", F.col("n"), total), "v"), "postings")
-    vectors = stored(
-        posted.groupBy("v")
-        .agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("pairs"))
-        .select("v", F.col("pairs.term").alias("terms"), F.col("pairs.w").alias("ws"))
-        .withColumn("norm2", F.aggregate("ws", F.lit(0).cast("long"), lambda s, w: s + w * w)),
-        "vectors",
-    )
-    prefixes = posted.filter(F.col("here") > threshold * threshold * _SLACK).join(sides, "v")
-    above = scored(candidates(prefixes.drop("w", "here"), threshold), vectors, threshold)
-    both = above.unionByName(above.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
+    vectors = stored(rare_first(weights(classes, "v", F.col("n"), total), "int" if buckets <= 1 << 31 else "long").join(sides, "v"), "vectors")
+    above = scored(candidates(vectors, threshold, questions is None), threshold)
     root = F.sqrt(F.col("norm2").cast("double"))
     own = vectors.select(F.col("v").alias("a"), F.col("v").alias("b"), (F.col("norm2") / (root * root)).alias("score"))
-    links = both.unionByName(own).join(sides.filter("asks").select(F.col("v").alias("a")), "a", "left_semi")
+    links = above.unionByName(own).join(sides.filter("asks").select(F.col("v").alias("a")), "a", "left_semi")
     wanted = k + (questions is None)
     best = stored(_expanded(links, rows, classes, wanted), "best")
     asked = rows.filter("asks").select(F.col("id").alias("_query"), "class").join(classes.select("class", "v"), "class")

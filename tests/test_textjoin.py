@@ -93,3 +93,30 @@ def test_few_pairs_are_scored_and_none_is_joined_blindly(spark, monkeypatch):
     assert seen[0].count() < 0.1 * n * n / 2
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_blocks_that_meet_in_rounds_lose_and_repeat_no_pair(spark, monkeypatch):
+    """Vectors meet by blocks: no table of shared terms or of pairs is shuffled, and a round's shuffle files go as it ends."""
+    monkeypatch.setattr(textjoin, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(textjoin, "ROUND_GROUPS", 12)
+    written, rounds, store = [], [], textjoin.stored
+
+    def keep(df, name):
+        if name == "candidates":
+            rounds.append(df)
+        out = store(df, name)
+        written.append((name, out))
+        return out
+
+    monkeypatch.setattr(textjoin, "stored", keep)
+    data = rows()
+    asks = [(i, data[3 * i][1]) for i in range(60)]
+    df, questions = spark.createDataFrame(data, "id long, body string"), spark.createDataFrame(asks, "q long, ask string")
+    columns = {"id_col": "id", "text": "body", "query_id": "q"}
+    assert got(textjoin.text_join(df, None, 0.7, 3, **columns)) == brute(data, data, 0.7, 3, True)
+    assert len(rounds) > 1
+    pairs = [(r.a, r.b) for name, out in written if name == "candidates" for r in out.collect()]
+    assert pairs and len(pairs) == len(set(pairs))
+    vectors = next(out.count() for name, out in written if name == "vectors")
+    assert all(out.count() <= 40 * vectors for _, out in written)
+    assert got(textjoin.text_join(df, questions, 0.3, 3, query_text="ask", **columns)) == brute(data, asks, 0.3, 3, False)
