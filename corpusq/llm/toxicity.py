@@ -12,7 +12,7 @@ language come from the same rows; the language is never an input of a score.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from corpusq.llm.common import bound_batches, map_arrow, written
 from corpusq.llm.decontaminate import tokenise
+from corpusq.sources.materialise import shuffles_dropped
 
 BUCKETS = 1 << 18
 #: Labelled rows of a part, about, and the words after which a part is cut in two.
@@ -40,6 +41,8 @@ LEAST_TEXTS = 3
 STEPS = 256
 WIDTHS = (1, 2, 3)
 CHUNK_BYTES = 4 << 20
+#: Bits that tell rows without a label apart before their texts are read: rows of 4 KB for a broadcast, 4 MB in all.
+SIEVE_BITS = 1 << 25
 
 
 @dataclass
@@ -156,22 +159,28 @@ def _small(params: dict) -> list[str]:
     return sorted(k for k in params if k != "embed")
 
 
-def _trained_rows(own: np.ndarray, params: dict, n: int) -> pa.RecordBatch:
-    """A part's weights as rows of ``DIMENSIONS`` numbers: embeddings by row, the others behind -1 downwards."""
+def _trained_rows(own: np.ndarray, before: dict, params: dict, n: int) -> pa.RecordBatch:
+    """A part's weights as rows of ``DIMENSIONS`` numbers: the embeddings it changed by row, the others behind -1 downwards."""
     flat = np.concatenate([params[k].ravel() for k in _small(params)])
     flat = np.append(flat, np.zeros(-len(flat) % DIMENSIONS)).reshape(-1, DIMENSIONS)
-    place = np.concatenate([own[1:], -1 - np.arange(len(flat))])
-    values = np.concatenate([params["embed"][1:], flat]).astype(np.float32)
+    moved = np.flatnonzero((params["embed"] != before["embed"][own]).any(axis=1))
+    place = np.concatenate([own[moved], -1 - np.arange(len(flat))])
+    values = np.concatenate([params["embed"][moved], flat]).astype(np.float32)
     return pa.RecordBatch.from_pydict({"place": place, "n": np.full(len(place), n), **{f"v{d}": values[:, d] for d in range(DIMENSIONS)}})
 
 
-def _averaged(params: dict, found: pa.Table) -> dict:
-    """``params`` with the averages that came back; words of no part keep their weights."""
-    place = found["place"].to_numpy()
-    values = np.stack([found[f"v{d}"].to_numpy() for d in range(DIMENSIONS)], axis=1)
-    embed = params["embed"].copy()
-    embed[place[place > 0]] = values[place > 0]
-    flat = values[place < 0][np.argsort(-place[place < 0])].ravel()
+def _averaged(params: dict, found: pa.Table, held: np.ndarray) -> dict:
+    """``params`` with the averages over the parts; a part that holds a word and left it alone counts with the weights before.
+
+    ``held`` has per row the texts of the parts that hold its word. Words of no part keep their weights.
+    """
+    place, n = found["place"].to_numpy(), found["n"].to_numpy()
+    sums = np.stack([found[f"v{d}"].to_numpy() for d in range(DIMENSIONS)], axis=1)
+    word = place > 0
+    embed = np.where((held > 0)[:, None], params["embed"].astype(np.float32), params["embed"]).astype(np.float64)
+    at, whole = place[word], held[place[word]][:, None]
+    embed[at] = (sums[word] + (whole - n[word][:, None]) * embed[at]) / whole
+    flat = (sums[~word] / n[~word][:, None])[np.argsort(-place[~word])].ravel()
     out, at = {"embed": embed}, 0
     for k in _small(params):
         out[k] = flat[at : at + params[k].size].reshape(params[k].shape)
@@ -179,34 +188,56 @@ def _averaged(params: dict, found: pa.Table) -> dict:
     return out
 
 
-def _train_epoch(rows: DataFrame, known: np.ndarray, params: dict, epoch: int, seed: int) -> dict:
-    """One epoch of every part, side by side, and the average of their weights by rows."""
-    rate = 0.02 / (1 + epoch)
-
-    def trained(part: int, texts: list[np.ndarray], labels: list[float]) -> pa.RecordBatch:
-        rng = np.random.default_rng([seed, epoch, part])
-        own, after = _epoch(params, [known[t].astype(np.int64) for t in texts], np.array(labels), rate, rng)
-        return _trained_rows(own, after, len(texts))
+def _over_parts(rows: DataFrame, function: Callable[[int, list[np.ndarray], list[float]], pa.RecordBatch], schema: str) -> DataFrame:
+    """``function(part, texts, labels)`` of every part of ``rows``, which is sorted by parts; a long one is cut in two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, texts, labels, words = None, [], [], 0
         for batch in batches:
             for p, y, t in zip(batch["part"].to_pylist(), batch["label"].to_pylist(), batch["words"]):
                 if texts and (p != part or words > PART_WORDS):
-                    yield trained(part, texts, labels)
+                    yield function(part, texts, labels)
                     texts, labels, words = [], [], 0
                 part = p
                 texts.append(np.array(t.values, np.int32))
                 labels.append(y)
                 words += len(texts[-1])
         if texts:
-            yield trained(part, texts, labels)
+            yield function(part, texts, labels)
 
     bound_batches(rows.sparkSession)
+    return rows.select("part", "label", "words").mapInArrow(run, schema)
+
+
+def _held(rows: DataFrame, known: np.ndarray, size: int) -> np.ndarray:
+    """Per row of ``embed`` the texts of the parts that hold its word; the same in every epoch."""
+
+    def words(part: int, texts: list[np.ndarray], labels: list[float]) -> pa.RecordBatch:
+        own = np.unique(known[np.concatenate(texts)]).astype(np.int64)
+        return pa.RecordBatch.from_pydict({"place": own, "n": np.full(len(own), len(texts))})
+
+    with shuffles_dropped(rows.sparkSession):
+        found = _over_parts(rows, words, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    held = np.zeros(size, np.int64)
+    held[found["place"].to_numpy()] = found["n"].to_numpy()
+    held[0] = 0
+    return held
+
+
+def _train_epoch(rows: DataFrame, known: np.ndarray, params: dict, held: np.ndarray, epoch: int, seed: int) -> dict:
+    """One epoch of every part, side by side, and the average of their weights by rows."""
+    rate = 0.02 / (1 + epoch)
+
+    def trained(part: int, texts: list[np.ndarray], labels: list[float]) -> pa.RecordBatch:
+        rng = np.random.default_rng([seed, epoch, part])
+        own, after = _epoch(params, [known[t].astype(np.int64) for t in texts], np.array(labels), rate, rng)
+        return _trained_rows(own, params, after, len(texts))
+
     names = [f"v{d}" for d in range(DIMENSIONS)]
-    each = rows.select("part", "label", "words").mapInArrow(run, "place long, n long, " + ", ".join(f"{v} float" for v in names))
-    mean = each.groupBy("place").agg(*[(F.sum(F.col(v).cast("double") * F.col("n")) / F.sum("n")).alias(v) for v in names])
-    return _averaged(params, mean.toArrow())
+    each = _over_parts(rows, trained, "place long, n long, " + ", ".join(f"{v} float" for v in names))
+    sums = each.groupBy("place").agg(F.sum("n").alias("n"), *[F.sum(F.col(v).cast("double") * F.col("n")).alias(v) for v in names])
+    with shuffles_dropped(rows.sparkSession):
+        return _averaged(params, sums.toArrow(), held)
 
 
 def _constant(n: int, toxic: float, buckets: int) -> ConvModel:
@@ -327,17 +358,19 @@ def train(
         .groupBy(F.col(doc_id).alias("_id"))
         .agg(F.max(label).cast("double").alias("_label"))
     )
-    chosen = written(chosen, "labels")  # of known size: texts are not shuffled where it can be broadcast
+    chosen = written(chosen, "labels")
     kept = [F.col(doc_id).alias("_id"), F.col(language).cast("string").alias("_lang"), F.col(text).alias("_text")]
-    rows = docs.select(*kept).join(chosen, "_id")
-    rows = rows.select(F.xxhash64(F.lit(seed), "_id").alias("place"), "_label", "_lang", "_text")
+    rows = _sifted(docs.select(*kept), chosen)
+    kind = rows.schema["_id"].dataType.simpleString()
 
     def hashed(table: pa.Table) -> pa.Table:
         words, counts = word_buckets(table["_text"].combine_chunks(), buckets)
         lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(words))
-        return pa.table({"place": table["place"], "label": table["_label"], "lang": table["_lang"], "words": lists})
+        return pa.table({"_id": table["_id"], "lang": table["_lang"], "words": lists})
 
-    found = written(map_arrow(rows, hashed, "place long, label double, lang string, words array<int>", CHUNK_BYTES), "words")
+    # Texts become words where they are read; only words meet the labels, by the same plan whatever the size.
+    words = map_arrow(rows, hashed, f"_id {kind}, lang string, words array<int>", CHUNK_BYTES).join(chosen.hint("merge"), "_id")
+    found = written(words.select(F.xxhash64(F.lit(seed), "_id").alias("place"), F.col("_label").alias("label"), "lang", "words"), "words")
     checks = F.pmod(F.col("place"), F.lit(5)) == 0
     learned = found.filter(~checks)
     n, toxic, low, high = learned.agg(F.count(F.lit(1)), F.sum("label"), F.min("label"), F.max("label")).first()
@@ -348,8 +381,9 @@ def train(
     parts = -(-n // PART_ROWS)
     dealt = learned.withColumn("part", F.pmod(F.xxhash64("place"), F.lit(parts)).cast("int"))
     dealt = written(dealt.repartitionByRange(parts, "part").sortWithinPartitions("part", "place", "words"), "parts")
+    held = _held(dealt, known, len(params["embed"]))
     for epoch in range(EPOCHS):
-        params = _train_epoch(dealt, known, params, epoch, seed)
+        params = _train_epoch(dealt, known, params, held, epoch, seed)
     model = ConvModel(
         known, params["embed"].astype(np.float32), [params[f"w{k}"].astype(np.float32) for k in range(len(WIDTHS))],
         [params[f"b{k}"].astype(np.float32) for k in range(len(WIDTHS))], params["out"], float(params["offset"][0]),
@@ -366,6 +400,22 @@ def train(
     return model
 
 
+def _sifted(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``rows`` without most of those that have no label: ids whose bit no label has. The join by id decides about the rest.
+
+    The bits take the same few MB however many labels there are.
+    """
+    if rows.schema["_id"].dataType != chosen.schema["_id"].dataType:  # equal values of two types have different hashes
+        return rows
+    bit = F.pmod(F.xxhash64("_id"), F.lit(SIEVE_BITS))
+    bits = chosen.select(bit.alias("bit")).select(F.bitmap_bucket_number("bit").alias("_bucket"), F.bitmap_bit_position("bit").alias("at"))
+    bits = bits.groupBy("_bucket").agg(F.bitmap_construct_agg("at").alias("_bits"))
+    position = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    known = F.getbit(byte, (position % 8).cast("int")) == 1
+    return rows.join(F.broadcast(bits), (F.bitmap_bucket_number(bit) == F.col("_bucket")) & known, "left_semi")
+
+
 def _bucket_counts(rows: DataFrame, buckets: int) -> DataFrame:
     """``(bucket, n, toxic)``: the texts that hold a bucket and those of them with label 1, added up per task first."""
 

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -519,6 +520,48 @@ def test_parts_train_one_model(spark, monkeypatch):
     assert 0 < model.threshold < 1 and set(model.thresholds) == {"en"}
 
 
+def test_parts_send_the_words_they_changed(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PART_ROWS", 150)
+    seen, average = [], toxicity._averaged
+    monkeypatch.setattr(toxicity, "_averaged", lambda params, found, *a: seen.append((len(params["embed"]), found)) or average(params, found, *a))
+    words = F.expr("concat_ws(' ', transform(sequence(1, 400), i -> concat('w', pmod(hash(id, i), 20000))))")
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat(words, F.expr("if(id % 4 = 0, ' vile', ' kind')")).alias("text"))
+    toxicity.train(docs, docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic")))
+    assert len(seen) == toxicity.EPOCHS and all((found["place"].to_numpy() > 0).sum() < 0.8 * n for n, found in seen)
+
+
+def test_unchanged_words_count_in_the_average():
+    rng = np.random.default_rng(3)
+    before = {"embed": rng.normal(size=(5, toxicity.DIMENSIONS)), "out": rng.normal(size=3)}
+    before["embed"][0] = 0
+    parts = [(np.array([0, 1, 2]), 3, [1]), (np.array([0, 1, 3]), 5, [])]  # rows that a part holds, its texts, what it changes
+    sent, whole = [], np.zeros((5, toxicity.DIMENSIONS))
+    for own, n, changed in parts:
+        after = {"embed": before["embed"][own].copy(), "out": before["out"] + n}
+        after["embed"][[list(own).index(c) for c in changed]] += n
+        whole[own] += n * after["embed"].astype(np.float32).astype(float)
+        sent.append(toxicity._trained_rows(own, before, after, n).to_pandas())
+    assert [(r.place > 0).sum() for r in sent] == [1, 0]
+    rows = pd.concat(sent)
+    values = [f"v{d}" for d in range(toxicity.DIMENSIONS)]
+    rows[values] = rows[values].astype(float).mul(rows["n"], axis=0)
+    held = np.array([0, 8, 3, 5, 0])
+    found = toxicity._averaged(before, pa.Table.from_pandas(rows.groupby("place", as_index=False).sum()), held)
+    assert found["embed"][1:4] == pytest.approx(whole[1:4] / held[1:4, None], rel=1e-12)
+    assert (found["embed"][4] == before["embed"][4]).all()
+    assert found["out"] == pytest.approx(before["out"] + (3 * 3 + 5 * 5) / 8, rel=1e-6)
+
+
+def test_texts_without_a_label_go_before_they_are_read(spark):
+    for column in ("id - 500", "cast(id AS string)", "cast(id AS double) / 3"):
+        rows = spark.range(4_000).select(F.expr(column).alias("_id"), F.lit("text").alias("_text"))
+        chosen = rows.filter("pmod(hash(_id), 20) = 0").select("_id")
+        kept = toxicity._sifted(rows.unionByName(rows.limit(10).withColumn("_id", F.lit(None).cast(rows.schema["_id"].dataType))), chosen)
+        assert chosen.join(kept, "_id", "left_anti").count() == 0
+        assert chosen.count() <= kept.count() < chosen.count() + 20
+    assert toxicity._sifted(rows, spark.range(3).toDF("_id")).count() == 4_000  # ids of another type
+
+
 def brute_pipeline(spark, sf):
     """The stages up to the texts, in plain Python; no line of the fixture is frequent enough to go."""
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
