@@ -562,6 +562,15 @@ def test_texts_without_a_label_go_before_they_are_read(spark):
     assert toxicity._sifted(rows, spark.range(3).toDF("_id")).count() == 4_000  # ids of another type
 
 
+def test_encoding_holds_few_texts_at_once(spark, monkeypatch):
+    """A worker keeps what its largest run needed, also while it waits for other steps."""
+    seen, run = [], pieces.map_arrow
+    monkeypatch.setattr(pieces, "map_arrow", lambda df, f, schema, size: seen.append(size) or run(df, f, schema, size))
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    rows = pieces.encode(docs, pieces.load_model(queries.MODEL_PATH, "bpe")).collect()
+    assert len(rows) == 2 and all(r.restored for r in rows) and max(seen) <= 4 << 20
+
+
 def brute_pipeline(spark, sf):
     """The stages up to the texts, in plain Python; no line of the fixture is frequent enough to go."""
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
