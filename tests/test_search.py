@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusq.operators import approximate, index, search
+from corpusq.operators import approximate, blocks, index, search
 
 COLUMNS = {"id_col": "id", "vector": "v", "query_id": "q", "query_vector": "qv"}
 
@@ -325,3 +325,45 @@ def test_text_search_filters_and_returns_columns(spark):
     for encode in (None, index.hashed_encoder(32)):
         hits = search.text_search(docs, asked, 3, encode=encode, **kwargs)
         assert [(r.q, r.id, r.lang) for r in hits.collect()] == [(7, 2, "de")]
+
+
+def sparse_block(rng, rows, terms):
+    """Rows of skewed terms, with empty rows, copies, rows without a norm and very frequent terms."""
+    vectors = [np.unique((terms * rng.random(rng.integers(0, 12)) ** 3).astype(np.int32)) for _ in range(rows)]
+    weights = [rng.integers(1, 4, len(v)).astype(float) for v in vectors]
+    for i in range(0, rows // 3):
+        vectors[i], weights[i] = vectors[rows - 1], weights[rows - 1]
+    norms = np.array([(w * w).sum() for w in weights])
+    norms[rows // 2] = 0
+    offsets = np.append(0, np.cumsum([len(v) for v in vectors]))
+    return blocks.SparseBlock(np.arange(rows), offsets, np.concatenate(vectors), np.concatenate(weights), norms)
+
+
+@pytest.mark.parametrize("k", [1, 3, 40])
+def test_rows_laid_out_by_term_give_the_same_top_k(k, monkeypatch):
+    monkeypatch.setattr(blocks, "_LONG", 20)
+    monkeypatch.setattr(blocks, "_PAIRS", 500)
+    monkeypatch.setattr(blocks, "_RUN", 16)
+    rng = np.random.default_rng(k)
+    index_block, asked = sparse_block(rng, 700, 400), sparse_block(rng, 300, 500)
+    top = blocks.TopK("sparse", asked, k, keep_zero=False)
+    top.add(index_block)
+    kept = blocks.first_copies(index_block, k)
+    assert 700 - 700 // 3 + k - 1 >= len(kept) and np.array_equal(blocks.first_copies(index_block, 700), np.arange(700))
+    found = [np.concatenate(c) for c in zip(*blocks.TermIndex(index_block, asked, k), strict=True)]
+    assert all(np.array_equal(a, b) for a, b in zip(found, top.parts[0][2], strict=True))
+
+
+def test_term_blocks_meet_in_rounds_of_stored_results(spark, monkeypatch):
+    monkeypatch.setattr(search, "ROUND_GROUPS", 3)
+    words = [f"w{int(30 * r ** 2)}" for r in np.random.default_rng(3).random(3000)]
+    texts = [" ".join(words[i : i + 12]) for i in range(0, 2400, 12)]
+    rows = [(i, t if i % 9 else texts[0]) for i, t in enumerate(texts)] + [(900, None), (None, "w1"), (901, "")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    asked = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(texts[:50])] + [("none", ""), (None, "w1")], "q string, ask string")
+    names = {"id_col": "id", "text": "text", "query_id": "q", "query_text": "ask"}
+    whole = search.text_search(docs, asked, 3, **names)
+    parts = search.text_search(docs, asked, 3, max_broadcast=10, blocks=(40, 20), **names)
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
+    # What met in a round is on disk as k rows per query; no pair of blocks is left for the plan, nor its shuffles.
+    assert "FlatMapCoGroupsInArrow" not in parts._jdf.queryExecution().toString()
