@@ -3,7 +3,7 @@
 Vectors are tf·idf over hashed terms, the score is their cosine. All terms are ordered by document frequency, rare ones first. Where two
 texts score above the gate, the rarest term that they share lies in the prefix of both: behind its prefix a text's
 weights could not reach the gate even against a text that has nothing else (Cauchy-Schwarz). Blocks of vectors meet block by block; only the postings
-of prefixes meet there, the products of shared prefix terms are summed per pair, pairs whose sum and rests cannot reach the gate go, and each pair
+of prefixes meet there, the products of the rarest shared terms are summed per pair, pairs whose sum and rests cannot reach the gate go, and each pair
 that is left is scored once from both vectors. The weights make the prefixes short: common words carry little of a text's length.
 
 Equal vectors are one class throughout, so copies are joined once and a group of them is never expanded into pairs.
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusq.functions import terms as V
+from corpusq.operators.blocks import _by_place
 from corpusq.operators.joins import lookup_join
 from corpusq.sources.materialise import stored
 
@@ -27,14 +28,26 @@ from corpusq.sources.materialise import stored
 IDF_UNIT = 1000
 #: Vectors of a block, and their terms.
 BLOCK_ROWS = 16_384
-BLOCK_TERMS = 6 << 20
+BLOCK_TERMS = 2 << 20
 MAX_BLOCK_TASKS = 20_000
 #: Pairs of blocks that meet in one round, about.
 ROUND_GROUPS = 128
 #: Products that are added at once, in units of 2,048.
-SALT_ROWS = 512
-_CELLS = 1 << 22
+SALT_ROWS = 128
+#: Cells of a strip, which stay in a core's cache.
+_CELLS = 1 << 18
+#: Asking vectors that are laid out at once, and products of whole vectors that are made at once.
+_SPREAD_ROWS = 16
+_PAIRS = 1 << 19
 _SLACK = 1 - 1e-9
+#: Products are made as long as both shares could reach this part of the gate: below 1 fewer pairs are left, at more products.
+_CUT = 0.93
+#: Steps of shares by which postings are laid out.
+_LEVELS = 16
+#: Sums are single precision.
+_ROUNDING = 1e-4
+#: Terms below it are their own places.
+_DIRECT = 1 << 20
 
 
 def weights(vectors: DataFrame, key: str, count: Column, total: int) -> DataFrame:
@@ -66,86 +79,156 @@ def rare_first(weighted: DataFrame, kind: str) -> DataFrame:
 class _Block:
     """Vectors of a block: flat terms and weights, rare terms first, and the entries of the prefixes.
 
-    ``ids`` are the places of the terms in ``vocabulary``; a term that it lacks has the place behind the last one.
+    ``ids`` are the places of the terms in ``vocabulary``, which ``n_terms`` is the size of; a term that it lacks has the place behind the last
+    one. Without a vocabulary the terms are places below ``n_terms``.
     """
 
-    def __init__(self, rows: pa.Table, vocabulary: np.ndarray, threshold: float) -> None:
+    def __init__(self, rows: pa.Table, vocabulary: np.ndarray | None, n_terms: int, threshold: float) -> None:
         terms, ws = rows["terms"].combine_chunks(), rows["ws"].combine_chunks()
         self.v, self.norm2 = rows["v"].to_numpy(), rows["norm2"].to_numpy()
         sizes = terms.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         self.bounds = np.append(0, np.cumsum(sizes))
         self.ws = ws.flatten().to_numpy(zero_copy_only=False)
-        self.ids = _places(vocabulary, terms.flatten().to_numpy(zero_copy_only=False))
+        flat = terms.flatten().to_numpy(zero_copy_only=False)
+        self.ids = flat if vocabulary is None else _places(vocabulary, flat)
         # Whole numbers: sums over the block may wrap around, their differences within a vector are exact.
-        square = self.ws * self.ws
+        square = self.ws.astype(np.int64) ** 2
         upto = np.cumsum(square)
-        norm2 = np.repeat(self.norm2.astype(float), sizes)
-        rest = (np.repeat(np.append(0, upto)[self.bounds[1:]], sizes) - upto) / norm2
-        share = square / norm2
-        entries = np.flatnonzero((rest + share > threshold * threshold * _SLACK) & (self.ids < len(vocabulary)))
+        inverse = np.repeat(1.0 / self.norm2, sizes)
+        rest = (np.repeat(np.append(0, upto)[self.bounds[1:]], sizes) - upto) * inverse
+        share = square * inverse
+        kept = rest + share > (_CUT * threshold) ** 2 * _SLACK
+        if vocabulary is not None:
+            kept &= self.ids < n_terms
+        entries = np.flatnonzero(kept)
         self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[entries]
-        self.term, self.u, self.rest = self.ids[entries], np.sqrt(share[entries]), rest[entries].astype(np.float32)
+        self.term, self.u = self.ids[entries], np.sqrt(share[entries]).astype(np.float32)
+        # The share of the vector from an entry on, and the length of what stands behind it.
+        self.mass, self.rest = (rest + share)[entries], np.sqrt(np.maximum(rest[entries], 0)).astype(np.float32)
 
     def dots(self, rows: np.ndarray, other: _Block, others: np.ndarray, n_terms: int) -> np.ndarray:
-        """Exact integer products of ``rows``, which rise, with the rows ``others`` of ``other``."""
-        spread = np.zeros(n_terms + 1, np.int64)
+        """Exact integer products of ``rows``, which rise, with the rows ``others`` of ``other``; some rows are laid out at once."""
+        width = n_terms + 1
+        spread = np.zeros(_SPREAD_ROWS * width, np.int64)
         dot = np.zeros(len(rows), np.int64)
-        heads = np.flatnonzero(np.diff(rows, prepend=-1))
-        for head, end in zip(heads, [*heads[1:], len(rows)], strict=True):
-            own = slice(self.bounds[rows[head]], self.bounds[rows[head] + 1])
-            spread[self.ids[own]] = self.ws[own]
-            spread[n_terms] = 0
-            starts = other.bounds[others[head:end]]
-            sizes = other.bounds[others[head:end] + 1] - starts
-            first = np.cumsum(sizes) - sizes
-            place = np.arange(sizes.sum()) + np.repeat(starts - first, sizes)
-            dot[head:end] = np.add.reduceat(spread[other.ids[place]] * other.ws[place], first)
-            spread[self.ids[own]] = 0
+        own, place = np.unique(rows, return_inverse=True)
+        sizes = other.bounds[others + 1] - other.bounds[others]
+        for start in range(0, len(own), _SPREAD_ROWS):
+            some = own[start : start + _SPREAD_ROWS]
+            held = self.bounds[some + 1] - self.bounds[some]
+            at = _expand(self.bounds[some], held)
+            cell = np.repeat(np.arange(len(some)) * width, held) + self.ids[at]
+            spread[cell] = self.ws[at]
+            spread[n_terms::width] = 0
+            head, end = np.searchsorted(place, [start, start + len(some)])
+            for c, d in _runs(sizes[head:end], _PAIRS):
+                c, d = head + c, head + d
+                at = _expand(other.bounds[others[c:d]], sizes[c:d])
+                product = spread[np.repeat((place[c:d] - start) * width, sizes[c:d]) + other.ids[at]] * other.ws[at]
+                dot[c:d] = np.add.reduceat(product, np.cumsum(sizes[c:d]) - sizes[c:d])
+            spread[cell] = 0
         return dot
 
 
+def _expand(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges ``starts .. starts + sizes``, one after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of ``sizes`` of about ``most`` in sum, or of one."""
+    behind = np.cumsum(sizes)
+    cuts = np.unique(np.searchsorted(behind, np.arange(0, behind[-1], most))) if len(sizes) else []
+    yield from zip(cuts, [*cuts[1:], len(sizes)], strict=True)
+
+
 def _places(vocabulary: np.ndarray, terms: np.ndarray) -> np.ndarray:
     at = np.searchsorted(vocabulary, terms).astype(np.int32)
     at[vocabulary[np.minimum(at, len(vocabulary) - 1)] != terms] = len(vocabulary)
     return at
 
 
+def _blocks(one: pa.Table, other: pa.Table, threshold: float) -> tuple[_Block, _Block, int]:
+    """Both blocks and the number of their terms' places."""
+    flat = [t["terms"].combine_chunks().flatten().to_numpy(zero_copy_only=False) for t in (one, other)]
+    if min(x.min(initial=0) for x in flat) >= 0 and (most := max(x.max(initial=0) for x in flat)) < _DIRECT:
+        vocabulary, n_terms = None, int(most) + 1
+    else:
+        vocabulary = np.unique(flat[1])
+        n_terms = len(vocabulary)
+    return _Block(one, vocabulary, n_terms, threshold), _Block(other, vocabulary, n_terms, threshold), n_terms
+
+
+def _packed(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """An integer and two single-precision numbers per item of 16 bytes, so that they are read at once."""
+    items = np.zeros((len(first), 4), np.int32)
+    items[:, 0], items[:, 1], items[:, 2] = first, second.view(np.int32), third.view(np.int32)
+    return items.view(np.complex128).ravel()
+
+
+def _unpacked(items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    whole = items.view(np.int32).reshape(-1, 4)
+    parts = whole.view(np.float32)
+    return whole[:, 0], parts[:, 1], parts[:, 2]
+
+
 def _met(asking: _Block, answering: _Block, n_terms: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of both blocks whose shared prefix terms and rests could reach the gate.
 
-    A strip of asking rows has one cell per pair; the products of its entries with the postings of their terms are added there,
-    some at once. Shared terms come in the same order in both vectors, so the last one's rests stay.
+    From a term on, two vectors add at most the root of both shares from there. Only products of terms are made whose shares could reach
+    ``_CUT`` of the gate: shares only fall, so these are the first ones that a pair shares, and what lies behind them stays below it. Postings
+    are laid out by term and share. A strip of asking rows has one cell per pair; the products are added there, some at once. Shared
+    terms come in the same order in both vectors, so what the last one leaves stays.
     """
-    width = len(answering.v)
-    order = np.argsort(answering.term, kind="stable")
-    held = np.bincount(answering.term, minlength=n_terms)
-    first = np.cumsum(held) - held
-    owner, u, rest = answering.row[order], answering.u[order], answering.rest[order]
-    known = np.flatnonzero(held[asking.term])
-    term, row = asking.term[known], asking.row[known]
+    width, gate = len(answering.v), (_CUT * threshold) ** 2 * _SLACK
+
+    def level(mass: np.ndarray) -> np.ndarray:
+        return np.clip((mass - gate) * (_LEVELS / (1 - gate)), 0, _LEVELS - 1).astype(np.int64)
+
+    key = answering.term.astype(np.int64) * _LEVELS + level(answering.mass)
+    order = _by_place(key) if n_terms * _LEVELS < 1 << 32 else np.argsort(key, kind="stable")
+    starts = np.append(0, np.cumsum(np.bincount(key, minlength=n_terms * _LEVELS)))
+    postings = _packed(answering.row[order], answering.u[order], answering.rest[order])
+    del key, order
+    need = asking.term.astype(np.int64) * _LEVELS + level(gate / asking.mass)
+    first, sizes = starts[need], starts[(asking.term.astype(np.int64) + 1) * _LEVELS] - starts[need]
+    known = np.flatnonzero(sizes)
+    first, sizes, row = first[known], sizes[known], asking.row[known]
     height = max(1, _CELLS // width)
+    entries = _packed(row % height * width, asking.u[known], asking.rest[known])
+    total, behind = np.zeros(height * width, np.float32), np.zeros(height * width, np.float32)
     for top in range(0, len(asking.v), height):
         a, b = np.searchsorted(row, [top, top + height])
         if a == b:
             continue
-        total = np.zeros(height * width)
-        rest1, rest2 = np.zeros(height * width, np.float32), np.zeros(height * width, np.float32)
-        behind = np.cumsum(held[term[a:b]])
-        cuts = np.unique(np.searchsorted(behind, np.arange(0, behind[-1], SALT_ROWS * 2048)))
-        for c, d in zip(a + cuts, [*(a + cuts[1:]), b], strict=True):
-            n, some = held[term[c:d]], known[c:d]
-            entry = np.repeat(np.arange(d - c), n)
-            posting = np.arange(len(entry)) + np.repeat(first[term[c:d]] - (np.cumsum(n) - n), n)
-            cell = ((row[c:d].astype(np.int64) - top) * width)[entry] + owner[posting]
-            np.add.at(total, cell, asking.u[some][entry] * u[posting])
-            rest1[cell], rest2[cell] = asking.rest[some][entry], rest[posting]
-        cells = np.flatnonzero(total)
-        # The rests are single precision.
-        bound = total[cells] + threshold * np.sqrt(np.maximum(rest1[cells], rest2[cells]).astype(float) * (1 + 1e-6))
-        cells = cells[bound > threshold * _SLACK]
+        for c, d in _runs(sizes[a:b], SALT_ROWS * 2048):
+            c, d = a + c, a + d
+            base, own, left = _unpacked(np.repeat(entries[c:d], sizes[c:d]))
+            column, other, rest = _unpacked(postings[_expand(first[c:d], sizes[c:d])])
+            cell = (base + column).astype(np.int64)
+            np.add.at(total, cell, own * other)
+            behind[cell] = left * rest
+        np.minimum(behind, _CUT * threshold, out=behind)
+        total += behind
+        cells = np.flatnonzero(total > threshold - _ROUNDING)
+        total.fill(0)
+        behind.fill(0)
         yield top + cells // width, cells % width
 
 
+def _gathered(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of several strips at once, in their order."""
+    kept, n = [], 0
+    for pair in found:
+        kept.append(pair)
+        n += len(pair[0])
+        if n >= 1 << 14:
+            yield tuple(np.concatenate(c) for c in zip(*kept, strict=True))
+            kept, n = [], 0
+    if n:
+        yield tuple(np.concatenate(c) for c in zip(*kept, strict=True))
+
+
 _CANDIDATES = "a long, b long, dot long, n1 long, n2 long"
 
 
@@ -157,16 +240,17 @@ def candidates(vectors: DataFrame, threshold: float, same: bool) -> DataFrame:
     side. The answering blocks take turns, about ``ROUND_GROUPS`` groups in each, so that no more than a round's copies are on the disks.
     Where the sides are the ``same``, a pair of blocks meets once and gives both directions.
 
-    Up to where the shorter prefix ends all shared terms are summed. What lies behind is at most the gate times the other side's rest: the
-    weights behind a prefix are below the gate, the other side's are at most what was left to it behind the last shared term.
+    A pair's first shared terms are summed, up to one from which on both sides' shares cannot reach a part of the gate. What lies behind is below
+    that part, and at most the product of what the last summed term leaves to both sides.
     """
     spark = vectors.sparkSession
 
     def blocked(side: str, own: str) -> tuple[DataFrame, int]:
         rows = vectors.filter(side)
-        n, values = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
+        n, values, most = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("terms")), F.lit(0)), F.max(F.array_max("ws"))).first()
         blocks = max(1, -(-n // BLOCK_ROWS), -(-values // BLOCK_TERMS))
-        kept = [F.col(c).alias(c) for c in ("v", "terms", "ws", "norm2")]
+        ws = F.col("ws").cast("array<int>" if most is None or most < 1 << 31 else "array<long>")
+        kept = [F.col("v").alias("v"), F.col("terms").alias("terms"), ws.alias("ws"), F.col("norm2").alias("norm2")]
         return rows.select(*kept, F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int").alias(own)), blocks
 
     (asking, n_asking), (answering, n_answering) = blocked("asks", "_ab"), blocked("answers", "_bb")
@@ -177,10 +261,9 @@ def candidates(vectors: DataFrame, threshold: float, same: bool) -> DataFrame:
     def meet(key: tuple, one: pa.Table, other: pa.Table) -> pa.Table:
         found = []
         if one.num_rows and other.num_rows:
-            vocabulary = np.unique(other["terms"].combine_chunks().flatten().to_numpy(zero_copy_only=False))
-            x, y = _Block(one, vocabulary, threshold), _Block(other, vocabulary, threshold)
-            for i, j in _met(x, y, len(vocabulary), threshold):
-                dot = x.dots(i, y, j, len(vocabulary))
+            x, y, n_terms = _blocks(one, other, threshold)
+            for i, j in _gathered(_met(x, y, n_terms, threshold)):
+                dot = x.dots(i, y, j, n_terms)
                 n1, n2 = x.norm2[i], y.norm2[j]
                 kept = (dot > threshold * _SLACK * np.sqrt(n1.astype(float)) * np.sqrt(n2.astype(float))) & (x.v[i] != y.v[j])
                 found.append([c[kept] for c in (x.v[i], y.v[j], dot, n1, n2)])
@@ -235,9 +318,12 @@ def text_join(
 
     def side(df: DataFrame, key: str, column: str, asks: bool, answers: bool) -> DataFrame:
         known = df.filter(F.col(key).isNotNull() & F.col(column).isNotNull())
-        return known.select(
-            F.col(key).alias("id"), V.term_vector(F.col(column), buckets).alias("vector"), F.lit(asks).alias("asks"), F.lit(answers).alias("answers")
-        )
+        # Both from one vector, which is built once.
+        made = F.transform(F.array(V.term_vector(F.col(column), buckets)), lambda v: F.struct(v.alias("vector"), digest(v).alias("class")))
+        return known.select(F.col(key).alias("id"), F.lit(asks).alias("asks"), F.lit(answers).alias("answers"), F.inline(made))
+
+    def digest(vector: Column) -> Column:
+        return F.md5(F.array_join(F.transform(vector, lambda t: F.concat_ws(":", t["term"], t["tf"])), ","))
 
     if questions is None:
         rows, query_type = side(documents, id_col, text, True, True), documents.schema[id_col].dataType
@@ -249,7 +335,7 @@ def text_join(
         if documents.schema[id_col].dataType != query_type:
             raise ValueError("question and document ids must have one type")
     # A filter on the vector itself would be pushed below its projection and build it twice.
-    rows = stored(rows, "texts").withColumn("class", F.md5(F.array_join(F.transform("vector", lambda t: F.concat_ws(":", t["term"], t["tf"])), ",")))
+    rows = stored(rows, "texts")
     total = rows.filter("answers").count()
     classes = stored(
         rows.filter(F.size("vector") > 0)
