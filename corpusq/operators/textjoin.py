@@ -30,6 +30,8 @@ IDF_UNIT = 1000
 BLOCK_ROWS = 16_384
 BLOCK_TERMS = 2 << 20
 MAX_BLOCK_TASKS = 20_000
+#: Terms of which a table may go to every task, 12 bytes each.
+MAX_SHARED_TERMS = 1 << 20
 #: Pairs of blocks that meet in one round, about.
 ROUND_GROUPS = 128
 #: Products that are added at once, in units of 2,048.
@@ -76,6 +78,48 @@ def rare_first(weighted: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def weighted_vectors(vectors: DataFrame, count: Column, total: int, buckets: int) -> DataFrame:
+    """``(v, asks, answers, terms, ws, norm2)`` of ``vectors``: as ``weights`` and ``rare_first`` give them, without a row per term.
+
+    Hashed terms are at most ``buckets``; the idf and the rank of each go to every task, where a vector's terms are weighed and ordered in place.
+    """
+    spark = vectors.sparkSession
+    held = vectors.select(count.alias("n"), F.explode(F.transform("vector", lambda t: t["term"])).alias("term"))
+    idf = F.round(F.log((1 + F.lit(total)) / (1 + F.col("df"))) * IDF_UNIT).cast("long").alias("idf")
+    table = held.groupBy("term").agg(F.sum("n").alias("df")).select("term", "df", idf).toArrow()
+    term, df, value = (table[c].to_numpy() for c in ("term", "df", "idf"))
+    idfs, ranks = np.zeros(buckets, np.int64), np.zeros(buckets, np.int32)
+    idfs[term] = value
+    ranks[term[np.lexsort((term, df))]] = np.arange(len(term))
+    shared = spark.sparkContext.broadcast((idfs, ranks))
+    kind = "int" if buckets <= 1 << 31 else "long"
+    names = ["v", "asks", "answers", "terms", "ws", "norm2"]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idfs, ranks = shared.value
+        for batch in batches:
+            vector = batch["vector"]
+            sizes = vector.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            terms, tf = (c.to_numpy(zero_copy_only=False) for c in vector.flatten().flatten())
+            ws = tf * idfs[terms]
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            kept = ws > 0
+            row, terms, ws = row[kept], terms[kept], ws[kept]
+            order = _by_place(ranks[terms])
+            order = order[_by_place(row[order])]
+            terms, ws = terms[order], ws[order]
+            sizes = np.bincount(row, minlength=len(sizes))
+            some = np.flatnonzero(sizes)
+            offsets = np.append(0, np.cumsum(sizes[some]))
+            norm2 = np.add.reduceat(ws * ws, offsets[:-1]) if len(some) else np.zeros(0, np.int64)
+            lists = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x)) for x in (terms.astype(np.int32 if kind == "int" else np.int64), ws)]
+            rows = batch.take(pa.array(some))
+            yield pa.RecordBatch.from_arrays([*(rows[c] for c in names[:3]), *lists, pa.array(norm2)], names=names)
+
+    rows = vectors.select("v", "asks", (F.col("n") > 0).alias("answers"), "vector")
+    return rows.mapInArrow(task, f"v long, asks boolean, answers boolean, terms array<{kind}>, ws array<long>, norm2 long")
+
+
 class _Block:
     """Vectors of a block: flat terms and weights, rare terms first, and the entries of the prefixes.
 
@@ -345,7 +389,11 @@ def text_join(
         "classes",
     )
     sides = classes.select("v", "asks", (F.col("n") > 0).alias("answers"))
-    vectors = stored(rare_first(weights(classes, "v", F.col("n"), total), "int" if buckets <= 1 << 31 else "long").join(sides, "v"), "vectors")
+    if buckets <= MAX_SHARED_TERMS:
+        vectors = weighted_vectors(classes, F.col("n"), total, buckets)
+    else:
+        vectors = rare_first(weights(classes, "v", F.col("n"), total), "int" if buckets <= 1 << 31 else "long").join(sides, "v")
+    vectors = stored(vectors, "vectors")
     above = scored(candidates(vectors, threshold, questions is None), threshold)
     root = F.sqrt(F.col("norm2").cast("double"))
     own = vectors.select(F.col("v").alias("a"), F.col("v").alias("b"), (F.col("norm2") / (root * root)).alias("score"))
